@@ -28,6 +28,18 @@ def ratio(numerator: Column, denominator: Column, scale: int = 2, default=None)
     return value if default is None else F.coalesce(value, F.lit(default).cast("double"))
 
 
+def exact_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
+    """Quotient of non-negative counts, rounded half-up in integer arithmetic.
+
+    Counts divide exactly here, so the rounded value does not depend on how a
+    binary fraction happens to fall around the half.
+    """
+    n, d = numerator.cast("long"), denominator.cast("long")
+    top, below = n * (2 * 10**scale) + d, d * 2
+    units = (top - F.pmod(top, below)) / below  # divides evenly
+    return F.when(d > 0, (units.cast("decimal(18,0)") / F.lit(10**scale)).cast(f"decimal(16,{scale})"))
+
+
 def percent(numerator: Column, denominator: Column, scale: int = 2) -> Column:
     """``numerator*100/denominator`` where an empty denominator counts as one."""
     below = F.when(denominator > 0, denominator.cast("double")).otherwise(F.lit(1.0))
