@@ -50,7 +50,8 @@ def _tail(value: Column) -> Column:
 
 
 def last_token(value: Column, separator: str = ",") -> Column:
-    return F.substring_index(value, separator, -1)
+    """Text after the last separator; trailing separators do not count."""
+    return F.substring_index(F.rtrim(value, F.lit(separator)), separator, -1)
 
 
 def array_text(values: Column) -> Column:
