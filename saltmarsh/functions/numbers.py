@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,9 +43,14 @@ def exact_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Colum
 
 
 def percent(numerator: Column, denominator: Column, scale: int = 2) -> Column:
-    """``numerator*100/denominator`` where an empty denominator counts as one."""
-    below = F.when(denominator > 0, denominator.cast("double")).otherwise(F.lit(1.0))
-    return F.round(F.coalesce(numerator.cast("double") * 100.0 / below, F.lit(0.0)), scale)
+    """Percentage of two counts; an empty denominator counts as one."""
+    below = F.when(denominator > 0, denominator).otherwise(F.lit(1))
+    return F.coalesce(exact_ratio(numerator * 100, below, scale).cast("double"), F.lit(0.0))
+
+
+def fixed(value: str) -> Column:
+    """Decimal literal, so weighted sums of rounded scores stay exact."""
+    return F.lit(Decimal(value))
 
 
 def bands(value: Column, limits: list[tuple[float, str]], rest: str) -> Column:

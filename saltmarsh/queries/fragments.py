@@ -114,7 +114,5 @@ def ratio(numerator: str, denominator: str, scale: int = 2) -> str:
 
 
 def percent(numerator: str, denominator: str) -> str:
-    return (
-        f"round(coalesce(CAST({numerator} AS DOUBLE) * 100.0 / "
-        f"CASE WHEN {denominator} > 0 THEN CAST({denominator} AS DOUBLE) ELSE 1.0 END, 0.0), 2)"
-    )
+    below = f"greatest(coalesce({denominator}, 1), 1)"
+    return f"CAST((coalesce({numerator}, 0) * 20000 + {below}) // (2 * {below}) AS DOUBLE) / 100.0"
