@@ -1,3 +1,10 @@
 """Layered-warehouse and streaming analytics operators written as Spark DataFrame code."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions sent to executors carry their code, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

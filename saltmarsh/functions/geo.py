@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # WGS-84 ellipsoid and the mean earth radius in metres.
 SEMI_MAJOR = 6378137.0
@@ -60,7 +61,10 @@ def ellipsoid_metres(lat1, lon1, lat2, lon2, tolerance: float = 1e-12, rounds: i
     return np.where(open_rows, np.nan, metres)
 
 
-@F.pandas_udf("double")
-def ellipsoid_distance(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
-    """Arrow-batched ellipsoidal metres between two points."""
+def _distances(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     return pd.Series(ellipsoid_metres(lat1, lon1, lat2, lon2))
+
+
+def ellipsoid_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Ellipsoidal metres between two points, computed in Arrow batches."""
+    return F.pandas_udf(_distances, DoubleType())(lat1, lon1, lat2, lon2)

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from saltmarsh.queries.registry import ENTRIES, Entry
 
-MODULES = ["retail", "logistics", "boards"]
+MODULES = ["retail", "logistics", "boards", "traffic", "streams"]
 
 
 def all_entries() -> dict[str, Entry]:

@@ -215,10 +215,12 @@ def running_profile_stream(df: DataFrame, user: str, ts: str, fields: Sequence[s
 # -- end of the initial snapshot ------------------------------------------------------
 
 
-def snapshot_rows_stream(df: DataFrame, key: str, idle_ms: int = 15_000) -> DataFrame:
+def snapshot_rows_stream(df: DataFrame, key: str, idle_ms: int | None = 15_000) -> DataFrame:
     """Pass snapshot rows and add one marker row when the snapshot of a key is over.
 
-    It is over at the first other row, or when no row came for ``idle_ms``.
+    It is over at the first other row, or when no row came for ``idle_ms``.  The
+    idle timer needs a running query (processing-time trigger); without it a
+    run over the available files ends by itself.
     Needs columns ``op`` and ``is_snapshot``; the marker has ``completed = true``
     and nulls elsewhere.
     """
@@ -247,9 +249,8 @@ def snapshot_rows_stream(df: DataFrame, key: str, idle_ms: int = 15_000) -> Data
         state.update((bool(done or ended),))
         if ended and not done:
             yield marker(k)
-        if not (done or ended):
+        if idle_ms and not (done or ended):
             state.setTimeoutDuration(idle_ms)
 
-    return df.groupBy(key).applyInPandasWithState(
-        step, schema, "done boolean", "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else NO_TIMEOUT
+    return df.groupBy(key).applyInPandasWithState(step, schema, "done boolean", "append", timeout)
