@@ -76,45 +76,38 @@ def global_row_number(df: DataFrame, score: str, tie: str, name: str) -> DataFra
     cell gives the rest.  Cells are small even if a third of all rows share one
     score, because equal scores are split by the tie column.  Null scores go last.
     """
-    cells = df.withColumn("_b", _magnitude_bin(F.col(score))).withColumn("_t", _tie_bin(df, tie))
-    n = cells.groupBy("_b", F.col(score).alias("_s"), "_t").agg(F.count(F.lit(1)).alias("_n"))
+    bins = F.struct(_magnitude_bin(F.col(score)).alias("b"), F.col(score).alias("s"), _tie_bin(df, tie).alias("t"))
+    cells = df.withColumn("_cell", bins)
+    n = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    n = n.select("_cell", "_cell.b", "_cell.s", "_cell.t", "_n")
 
+    # every frame below has one row per cell, per score or per bin
     ahead = Window.unboundedPreceding
-    w_tie = Window.partitionBy("_b", "_s").orderBy("_t").rowsBetween(ahead, -1)
+    w_tie = Window.partitionBy("b", "s").orderBy("t").rowsBetween(ahead, -1)
     by_tie = n.withColumn("_before_t", F.coalesce(F.sum("_n").over(w_tie), F.lit(0)))
 
-    s = n.groupBy("_b", "_s").agg(F.sum("_n").alias("_n_s"))
-    w_score = Window.partitionBy("_b").orderBy(F.col("_s").desc()).rowsBetween(ahead, -1)
-    by_score = s.withColumn("_before_s", F.coalesce(F.sum("_n_s").over(w_score), F.lit(0)))
-
-    b = s.groupBy("_b").agg(F.sum("_n_s").alias("_n_b"))
-    w_bin = Window.orderBy(F.col("_b").desc_nulls_last()).rowsBetween(ahead, -1)
-    by_bin = b.withColumn("_before_b", F.coalesce(F.sum("_n_b").over(w_bin), F.lit(0)))
+    s = n.groupBy("b", "s").agg(F.sum("_n").alias("_n_s"))
+    w_score = Window.partitionBy("b").orderBy(F.col("s").desc()).rowsBetween(ahead, -1)
+    by_score = s.select(
+        F.struct("b", "s").alias("_score2"), F.coalesce(F.sum("_n_s").over(w_score), F.lit(0)).alias("_before_s")
+    )
 
-    def renamed(frame: DataFrame, names: Sequence[str], mark: str, keep: str) -> DataFrame:
-        return frame.select(*[F.col(c).alias(mark + c) for c in names], keep)
+    b = s.groupBy("b").agg(F.sum("_n_s").alias("_n_b"))
+    w_bin = Window.orderBy(F.col("b").desc_nulls_last()).rowsBetween(ahead, -1)
+    by_bin = b.select(F.struct("b").alias("_bin2"), F.coalesce(F.sum("_n_b").over(w_bin), F.lit(0)).alias("_before_b"))
 
-    sb = renamed(by_score, ["_b", "_s"], "x", "_before_s")
-    bb = renamed(by_bin, ["_b"], "y", "_before_b")
     offsets = (
-        by_tie.join(sb, F.col("_b").eqNullSafe(F.col("x_b")) & F.col("_s").eqNullSafe(F.col("x_s")))
-        .join(bb, F.col("_b").eqNullSafe(F.col("y_b")))
+        by_tie.join(by_score, F.struct("b", "s") == F.col("_score2"))
+        .join(by_bin, F.struct("b") == F.col("_bin2"))
         .select(
-            F.col("_b").alias("z_b"),
-            F.col("_s").alias("z_s"),
-            F.col("_t").alias("z_t"),
+            F.col("_cell").alias("_cell2"),
             (F.col("_before_t") + F.col("_before_s") + F.col("_before_b")).alias("_ahead"),
         )
     )
-    w_cell = Window.partitionBy("_b", score, "_t").orderBy(tie)
+    w_cell = Window.partitionBy("_cell").orderBy(tie)
     return (
         cells.withColumn("_in", F.row_number().over(w_cell))
-        .join(
-            offsets,
-            F.col("_b").eqNullSafe(F.col("z_b"))
-            & F.col(score).eqNullSafe(F.col("z_s"))
-            & F.col("_t").eqNullSafe(F.col("z_t")),
-        )
+        .join(offsets, F.col("_cell") == F.col("_cell2"))
         .select(*df.columns, (F.col("_ahead") + F.col("_in")).cast("long").alias(name))
     )
 

@@ -10,7 +10,6 @@ has as many rows per key as there are slices, whatever the number of events.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,9 +43,9 @@ def ordered_columns(
     """
     following, carried = following or {}, carried or {}
     max_before, running_sum = max_before or {}, running_sum or {}
-    spread = df.withColumn("_slice", slice_by)
-    inner_keys = [*keys, "_slice"]
-    inner = Window.partitionBy(*inner_keys).orderBy(*order)
+    # one struct as key: null keys match, and window and join share one shuffle
+    spread = df.withColumn("_cell", F.struct(*keys, slice_by.alias("_slice")))
+    inner = Window.partitionBy("_cell").orderBy(*order)
     upto = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = inner.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -74,10 +73,10 @@ def ordered_columns(
     facts += [F.max(src).alias(f"_lm_{new}") for new, src in max_before.items()]
     facts += [F.sum(src).alias(f"_ls_{new}") for new, src in running_sum.items()]
 
-    outer = Window.partitionBy(*keys).orderBy("_slice")
+    outer = Window.partitionBy(*[F.col("_cell")[k] for k in keys]).orderBy(F.col("_cell._slice"))
     earlier = outer.rowsBetween(Window.unboundedPreceding, -1)
-    steps = spread.groupBy(*inner_keys).agg(*facts)
-    picked: list[Column] = [F.col(k).alias(f"_k{i}") for i, k in enumerate(inner_keys)]
+    steps = spread.groupBy("_cell").agg(*facts)
+    picked: list[Column] = [F.col("_cell").alias("_cell2")]
     if row_number:
         picked.append(F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     if following:
@@ -87,11 +86,7 @@ def ordered_columns(
     picked += [F.sum(f"_ls_{new}").over(earlier).alias(f"_ps_{new}") for new in running_sum]
     steps = steps.select(*picked)
 
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(inner_keys)],
-    )
-    both = local.join(steps, same, "inner")
+    both = local.join(steps, F.col("_cell") == F.col("_cell2"), "inner")
     out: list[Column] = [F.col(c) for c in df.columns]
     if row_number:
         out.append((F.col("_rn") + F.col("_before")).alias(row_number))

@@ -114,32 +114,24 @@ def spending_power(amount: Column) -> Column:
 def score_factors(df: DataFrame, table: DataFrame, factors: dict[str, str]) -> DataFrame:
     """Add ``<factor>_<band>`` points for each factor; ``factors`` maps factor to column.
 
-    Missing values score zero, unlisted ones the "*" row of the factor.
+    Missing values score zero, unlisted ones the "*" row of the factor.  The
+    table is configuration of a few dozen rows: it becomes one map value, and
+    rows look their points up without a join.
     """
-    out = df
+    entry = F.struct(F.concat_ws("|", "factor", "value"), F.array(*[F.col(band_column("w", b)) for b in BANDS]))
+    points = table.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+    found = df.withColumn("_points", points)
+    zero = F.array(*[F.lit(0).cast("decimal(6,3)") for _ in BANDS])
+    boxes = {}
     for factor, column in factors.items():
-        rows = table.filter(F.col("factor") == factor)
-        listed = rows.filter(F.col("value") != "*")
-        known = listed.select(
-            F.col("value").alias("_v"),
-            *[F.col(band_column("w", b)).alias(band_column("_k", b)) for b in BANDS],
-        )
-        rest = {
-            b: rows.filter(F.col("value") == "*").agg(F.max(band_column("w", b))).scalar() for b in BANDS
-        }
         usable = F.col(column).isNotNull() & (F.col(column) != "")
-        joined = out.join(known, F.col(column) == F.col("_v"), "left")
-        zero = F.lit(0).cast("decimal(6,3)")
-        out = joined.select(
-            *out.columns,
-            *[
-                F.when(usable, F.coalesce(F.col(band_column("_k", b)), rest[b], zero)).otherwise(zero).alias(
-                    band_column(factor, b)
-                )
-                for b in BANDS
-            ],
-        )
-    return out
+        own = F.try_element_at(F.col("_points"), F.concat_ws("|", F.lit(factor), F.col(column)))
+        rest = F.try_element_at(F.col("_points"), F.lit(f"{factor}|*"))
+        boxes["_" + factor] = F.when(usable, F.coalesce(own, rest, zero)).otherwise(zero)
+    boxed = found.withColumns(boxes)
+    return boxed.select(
+        *df.columns, *[F.col("_" + f)[i].alias(band_column(f, b)) for f in factors for i, b in enumerate(BANDS)]
+    )
 
 
 def device_search_scores(profile: DataFrame, table: DataFrame, category_names: DataFrame) -> DataFrame:
