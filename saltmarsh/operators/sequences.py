@@ -95,8 +95,7 @@ def ordered_columns(
         out += [nxt[new].alias(new) for new in following]
     out += [F.coalesce(F.col(f"_c_{new}"), F.col(f"_pc_{new}")).alias(new) for new in carried]
     out += [F.greatest(f"_m_{new}", f"_pm_{new}").alias(new) for new in max_before]
-    out += [
-        (F.col(f"_s_{new}") + F.coalesce(F.col(f"_ps_{new}"), F.lit(0))).alias(new)
-        for new in running_sum
-    ]
+    for new in running_sum:
+        here, earlier_sum = F.col(f"_s_{new}"), F.col(f"_ps_{new}")
+        out.append(F.coalesce(here + earlier_sum, here, earlier_sum).alias(new))
     return both.select(*out)
