@@ -92,14 +92,16 @@ def as_of_lookup(
     )
 
 
-def range_lookup(facts: DataFrame, history: DataFrame, keys: Sequence[str], day: str, values: Sequence[str]) -> DataFrame:
-    """History row valid on the fact's day, by equality on the keys plus the date range."""
-    h = history.select(
-        *[F.col(k).alias("_h" + k) for k in keys],
-        F.col("start_date").alias("_from"),
-        F.col("end_date").alias("_to"),
-        *[F.col(c).alias("_v_" + c) for c in values],
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col("_h" + k) for k in keys])
-    cond = same & F.col(day).between(F.col("_from"), F.col("_to"))
-    return facts.join(h, cond, "left").select(*facts.columns, *[F.col("_v_" + c).alias(c) for c in values])
+def range_lookup(
+    facts: DataFrame, history: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], slice_width: str = "month"
+) -> DataFrame:
+    """History row valid on the fact's day.
+
+    Ranges of a key do not overlap, so the valid row is the latest one that has
+    started, if it has not ended: an ordered pass, not a join of all versions
+    with all facts of a key.
+    """
+    ends = history.select(*keys, F.col("start_date").alias("_from"), F.col("end_date").alias("_to"), *[F.col(c).alias("_v_" + c) for c in values])
+    found = as_of_lookup(facts, ends, keys, day, "_from", ["_to", *["_v_" + c for c in values]], slice_width)
+    valid = F.col(day) <= F.col("_to")
+    return found.select(*facts.columns, *[F.when(valid, F.col("_v_" + c)).alias(c) for c in values])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saltmarsh.functions.dates import OPEN_END
+from saltmarsh.session import checkpointed
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -68,14 +69,17 @@ def _tie_bin(df: DataFrame, column: str) -> Column:
     return F.substring(F.col(column).cast("string"), 1, 16)
 
 
-def global_row_number(df: DataFrame, score: str, tie: str, name: str) -> DataFrame:
+def global_row_number(df: DataFrame, score: str, tie: str, name: str, materialize: bool = False) -> DataFrame:
     """``row_number() over (order by score desc, tie)`` without a single-task sort.
 
     Rows are counted per (score bin, score, tie bin).  Three prefix sums over
     these counts give the number of rows ahead of each cell; a window inside the
     cell gives the rest.  Cells are small even if a third of all rows share one
     score, because equal scores are split by the tie column.  Null scores go last.
+    The input is used twice (rows and counts); ``materialize`` writes it to the
+    checkpoint folder first, which pays off when it comes from large scans.
     """
+    df = checkpointed(df) if materialize else df
     bins = F.struct(_magnitude_bin(F.col(score)).alias("b"), F.col(score).alias("s"), _tie_bin(df, tie).alias("t"))
     cells = df.withColumn("_cell", bins)
     n = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))

@@ -69,10 +69,6 @@ def crowd_detail(log: DataFrame) -> DataFrame:
 GRAIN = ["stat_time", "terminal_type", "shop_id"]
 
 
-def _visitors(cond: Column) -> Column:
-    return F.count_distinct(F.when(cond, F.col("visitor_id")))
-
-
 def overview(visits: DataFrame, interactions: DataFrame, pays: DataFrame) -> DataFrame:
     """Visitors, views, new and old visitors, collections and payments per hour.
 
@@ -117,19 +113,21 @@ SOURCE_KEYS = ["traffic_source_first", "traffic_source_second"]
 
 
 def source_summary(visits: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
-    product = F.col("visit_object_type") == "product"
-    return visits.groupBy(*grain, *SOURCE_KEYS).agg(
-        F.count_distinct("visitor_id").alias("visitor_count"),
-        _visitors(product).alias("product_visitor_count"),
+    product = F.max(F.when(F.col("visit_object_type") == "product", 1).otherwise(0))
+    per_visitor = visits.groupBy(*grain, *SOURCE_KEYS, "visitor_id").agg(product.alias("_p"))
+    return per_visitor.groupBy(*grain, *SOURCE_KEYS).agg(
+        F.count("visitor_id").alias("visitor_count"), F.sum("_p").alias("product_visitor_count")
     )
 
 
 def keyword_summary(searches: DataFrame) -> DataFrame:
     """Searchers and clicking searchers per day and keyword."""
-    day = F.to_date("stat_time").alias("stat_date")
-    return searches.groupBy(day, "stat_dimension", "terminal_type", "shop_id", "keyword").agg(
-        F.count_distinct("visitor_id").alias("search_visitor_count"),
-        _visitors(F.col("is_click_result") == 1).alias("click_visitor_count"),
+    keys = ["stat_date", "stat_dimension", "terminal_type", "shop_id", "keyword"]
+    clicked = F.max(F.when(F.col("is_click_result") == 1, 1).otherwise(0))
+    rows = searches.withColumn("stat_date", F.to_date("stat_time"))
+    per_visitor = rows.groupBy(*keys, "visitor_id").agg(clicked.alias("_c"))
+    return per_visitor.groupBy(*keys).agg(
+        F.count("visitor_id").alias("search_visitor_count"), F.sum("_c").alias("click_visitor_count")
     )
 
 

@@ -15,10 +15,14 @@ from saltmarsh.queries import adapters as a
 from saltmarsh.queries.fragments import EVENT_DAY, SHOP_DAY
 from saltmarsh.queries.registry import query
 
-N = F.count(F.lit(1))
 T = a.table
 
 
+def rows():
+    """Row count."""
+    return F.count(F.lit(1))
+
+
 @query("prj01_projection_and_literals", "SELECT c_custkey AS customer, c_mktsegment AS segment, 'shop' AS source FROM customer")
 def prj01(spark, sf):
     return T(spark, sf, "customer").select(F.col("c_custkey").alias("customer"), F.col("c_mktsegment").alias("segment"), F.lit("shop").alias("source"))
@@ -95,7 +99,7 @@ FULL JOIN (SELECT p_partkey AS k, count(*) AS c FROM part GROUP BY 1) USING (k)
 """)
 def jon04(spark, sf):
     def per(t, key, name):
-        return T(spark, sf, t).groupBy(F.col(key).alias("k")).agg(N.alias(name))
+        return T(spark, sf, t).groupBy(F.col(key).alias("k")).agg(rows().alias(name))
 
     return align({n: per(t, k, n) for n, t, k in (("a", "customer", "c_custkey"), ("b", "supplier", "s_suppkey"), ("c", "part", "p_partkey"), ("d", "events", "user_id"))}, ["k"])
 
@@ -103,7 +107,7 @@ def jon04(spark, sf):
 @query("jon05_one_row_aggregates", "SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lines, (SELECT count(DISTINCT user_id) FROM events) AS users")
 def jon05(spark, sf):
     return one_row([
-        T(spark, sf, "orders").agg(N.alias("orders")), T(spark, sf, "lineitem").agg(N.alias("lines")),
+        T(spark, sf, "orders").agg(rows().alias("orders")), T(spark, sf, "lineitem").agg(rows().alias("lines")),
         T(spark, sf, "events").agg(F.count_distinct("user_id").alias("users")),
     ])
 
@@ -143,8 +147,8 @@ LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS m FROM events WHER
 """)
 def jon10(spark, sf):
     e = T(spark, sf, "events").withColumn("d", F.to_date("ts"))
-    n = e.groupBy("user_id", "d").agg(N.alias("n"))
-    m = e.filter(F.col("event_type") == "purchase").groupBy("user_id", "d").agg(N.alias("m"))
+    n = e.groupBy("user_id", "d").agg(rows().alias("n"))
+    m = e.filter(F.col("event_type") == "purchase").groupBy("user_id", "d").agg(rows().alias("m"))
     return n.join(m, ["user_id", "d"], "left").fillna(0, ["m"])
 
 
@@ -153,12 +157,12 @@ SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS DE
 """)
 def agg01(spark, sf):
     q = F.col("l_quantity").cast("decimal(16,2)")
-    return T(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(N.alias("n"), F.sum(q).alias("qty"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    return T(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(rows().alias("n"), F.sum(q).alias("qty"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
 
 
 @query("agg02_global_aggregate", "SELECT count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(16,2))) AS DECIMAL(26,2)) AS total FROM orders")
 def agg02(spark, sf):
-    return T(spark, sf, "orders").agg(N.alias("n"), F.sum(numbers.money(F.col("o_totalprice"))).alias("total"))
+    return T(spark, sf, "orders").agg(rows().alias("n"), F.sum(numbers.money(F.col("o_totalprice"))).alias("total"))
 
 
 @query("agg03_count_distinct", "SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY 1")
@@ -171,7 +175,7 @@ SELECT s, count(*) AS n, CAST(sum(amount) AS DECIMAL(26,2)) AS amount FROM (SELE
 """)
 def agg05(spark, sf):
     per = T(spark, sf, "lineitem").groupBy("l_orderkey", F.col("l_linestatus").alias("s")).agg(F.max(numbers.money(F.col("l_extendedprice"))).alias("amount"))
-    return per.groupBy("s").agg(N.alias("n"), F.sum("amount").alias("amount"))
+    return per.groupBy("s").agg(rows().alias("n"), F.sum("amount").alias("amount"))
 
 
 @query("agg06_multi_horizon_distinct", f"""
@@ -201,7 +205,7 @@ def agg08(spark, sf):
 
 @query("agg09_having", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 12")
 def agg09(spark, sf):
-    return T(spark, sf, "orders").groupBy("o_custkey").agg(N.alias("n")).filter(F.col("n") >= 12)
+    return T(spark, sf, "orders").groupBy("o_custkey").agg(rows().alias("n")).filter(F.col("n") >= 12)
 
 
 @query("agg10_collected_sets", """
@@ -217,7 +221,7 @@ def agg10(spark, sf):
 SELECT user_id, string_agg(event_type || '=' || CAST(n AS VARCHAR), ',' ORDER BY event_type) AS counts FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1
 """)
 def agg11(spark, sf):
-    per = T(spark, sf, "events").groupBy("user_id", "event_type").agg(N.alias("n"))
+    per = T(spark, sf, "events").groupBy("user_id", "event_type").agg(rows().alias("n"))
     m = per.groupBy("user_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("event_type", "n")))).alias("m"))
     return m.select("user_id", F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("counts"))
 
@@ -272,7 +276,7 @@ def win05(spark, sf):
 
 @query("srt01_ordered_summary", "SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type")
 def srt01(spark, sf):
-    return T(spark, sf, "events").groupBy("event_type").agg(N.alias("n")).orderBy(F.col("n").desc(), "event_type")
+    return T(spark, sf, "events").groupBy("event_type").agg(rows().alias("n")).orderBy(F.col("n").desc(), "event_type")
 
 
 @query("srt02_top_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
@@ -287,7 +291,7 @@ def set01(spark, sf):
 
 @query("set02_union_all", "SELECT k, count(*) AS n FROM (SELECT o_custkey AS k FROM orders UNION ALL SELECT user_id FROM events) GROUP BY 1")
 def set02(spark, sf):
-    return T(spark, sf, "orders").select(F.col("o_custkey").alias("k")).union(T(spark, sf, "events").select("user_id")).groupBy("k").agg(N.alias("n"))
+    return T(spark, sf, "orders").select(F.col("o_custkey").alias("k")).union(T(spark, sf, "events").select("user_id")).groupBy("k").agg(rows().alias("n"))
 
 
 @query("set03_union_by_name", "SELECT s_suppkey AS k, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer")
@@ -410,4 +414,4 @@ def win06_check(spark, sf):
 
     p = T(spark, sf, "part").select("p_partkey", "p_brand", F.col("p_size").cast("decimal(16,2)").alias("size"))
     both = with_group_mean(p, ["p_brand"], ["size"], "_avg_").withColumn("w", F.avg("size").over(Window.partitionBy("p_brand")))
-    return both.filter(F.col("w") == F.col("_avg_size")).agg(N.alias("n"))
+    return both.filter(F.col("w") == F.col("_avg_size")).agg(rows().alias("n"))

@@ -563,7 +563,7 @@ def _weights_sql(factor: str) -> str:
     return f"w_{factor}(v, {', '.join(f'b{i}' for i in range(6))}) AS (VALUES {rows})"
 
 
-def _pick(items: list[str], index) -> F.Column:
+def _pick(items: list[str], index):
     return F.element_at(F.array(*[F.lit(x) for x in items]), (index + 1).cast("int"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -45,6 +45,18 @@ def build_session(
     return spark
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame written once to the cluster's checkpoint folder and read from there.
+
+    For a frame that several branches of a plan use: its inputs are computed
+    once, and a lost executor costs a re-read instead of a re-computation.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoint"))
+    return df.checkpoint()
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's checkpoint directory.
 
