@@ -40,10 +40,13 @@ def _alive(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_deleted").cast("string") == "0") if "is_deleted" in df.columns else df
 
 
+CODES = ("cargo_type", "status", "collect_type", "payment_type")
+
+
 def order_step_fact(
-    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str,
+    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str, codes: Sequence[str] = CODES
 ) -> DataFrame:
-    """Cargo lines of orders that have reached a step, decoded and masked.
+    """Cargo lines of orders that have reached a step, masked and with ``codes`` decoded.
 
     The first step ("order") is dated by the order time, the others by the last
     update.  The status filter runs before the join.
@@ -69,7 +72,7 @@ def order_step_fact(
         F.date_format(F.col("create_time").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("order_time"),
     )
     out = lines.join(info, F.col("order_id") == F.col("_oid"), "inner").drop("_oid")
-    for code in ("cargo_type", "status", "collect_type", "payment_type"):
+    for code in codes:
         if code in out.columns:
             out = decode(out, dictionary, code, f"{code}_name", missing="", code_column="id", name_column="name")
     moment = "order_time" if step == "order" else "update_time"

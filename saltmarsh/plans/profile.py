@@ -7,6 +7,7 @@ a join with that table followed by a sum, instead of branches in code.
 from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,21 +116,24 @@ def score_factors(df: DataFrame, table: DataFrame, factors: dict[str, str]) -> D
     """Add ``<factor>_<band>`` points for each factor; ``factors`` maps factor to column.
 
     Missing values score zero, unlisted ones the "*" row of the factor.  The
-    table is configuration of a few dozen rows: it becomes one map value, and
-    rows look their points up without a join.
+    table is configuration of a few dozen rows: it becomes one value holding a
+    small map per factor, and rows look their points up without a join.
     """
-    entry = F.struct(F.concat_ws("|", "factor", "value"), F.array(*[F.col(band_column("w", b)) for b in BANDS]))
-    points = table.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-    found = df.withColumn("_points", points)
-    zero = F.array(*[F.lit(0).cast("decimal(6,3)") for _ in BANDS])
+    points = F.array(*[F.col(band_column("w", b)).cast("double") for b in BANDS])
+    parts = []
+    for factor in factors:
+        mine = F.col("factor") == factor
+        entries = F.collect_list(F.when(mine & (F.col("value") != "*"), F.struct("value", points)))
+        parts.append(F.map_from_entries(entries).alias(factor))
+        parts.append(F.max(F.when(mine & (F.col("value") == "*"), points)).alias(factor + "_rest"))
+    lookup = table.agg(F.struct(*parts).alias("lookup")).scalar()
+    zero = F.array(*[F.lit(0.0) for _ in BANDS])
     boxes = {}
     for factor, column in factors.items():
+        own = F.try_element_at(lookup.getField(factor), F.col(column))
         usable = F.col(column).isNotNull() & (F.col(column) != "")
-        own = F.try_element_at(F.col("_points"), F.concat_ws("|", F.lit(factor), F.col(column)))
-        rest = F.try_element_at(F.col("_points"), F.lit(f"{factor}|*"))
-        boxes["_" + factor] = F.when(usable, F.coalesce(own, rest, zero)).otherwise(zero)
-    boxed = found.withColumns(boxes)
-    return boxed.select(
+        boxes["_" + factor] = F.when(usable, F.coalesce(own, lookup.getField(factor + "_rest"), zero)).otherwise(zero)
+    return df.withColumns(boxes).select(
         *df.columns, *[F.col("_" + f)[i].alias(band_column(f, b)) for f in factors for i, b in enumerate(BANDS)]
     )
 
@@ -161,14 +165,15 @@ def order_scores(orders: DataFrame, table: DataFrame, sku: DataFrame) -> DataFra
 
 
 def total_scores(df: DataFrame, factors: list[str] | None = None) -> DataFrame:
-    """Sum of the factor points per band and the best band (ties: younger band)."""
+    """Sum of the factor points per band and the best band (ties: younger band).
+
+    Points have three digits, so rounding the sum to three digits is exact.
+    """
     factors = factors or list(FACTOR_RATES)
     sums = {}
     for b in BANDS:
-        total = F.lit(0).cast("decimal(8,3)")
-        for f in factors:
-            total = total + F.coalesce(F.col(band_column(f, b)), F.lit(0).cast("decimal(6,3)"))
-        sums[band_column("sum", b)] = total.cast("decimal(8,3)")
+        total = reduce(lambda x, y: x + y, [F.coalesce(F.col(band_column(f, b)), F.lit(0.0)) for f in factors])
+        sums[band_column("sum", b)] = F.round(total, 3)
     out = df.withColumns(sums)
     ranked = F.array(
         *[

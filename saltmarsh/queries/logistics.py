@@ -15,9 +15,11 @@ def _day():
     return a.day(a.SHOP_DAY)
 
 
-def _step(step):
+def _step(step, codes=lg.CODES):
+    """Builder of a step fact; summaries decode only the codes they group by."""
+
     def run(spark, sf):
-        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step)
+        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step, codes)
 
     return run
 
@@ -274,7 +276,7 @@ oo AS (
 
 
 def _org_orders(spark, sf):
-    return lg.org_cargo_orders_1d(_step("order")(spark, sf), a.organs(spark, sf), a.places(spark, sf))
+    return lg.org_cargo_orders_1d(_step("order", ["cargo_type"])(spark, sf), a.organs(spark, sf), a.places(spark, sf))
 
 
 @query("l07_org_cargo_orders_1d", with_(PARCELS, ORGANS, ORG_ORDERS) + "SELECT * FROM oo")
@@ -313,11 +315,11 @@ DELIVER = _org_step("deliver", "receiver_district_id", NOT_IN["deliver"], amount
 
 
 def _receive(spark, sf):
-    return lg.org_step_1d(_step("receive")(spark, sf), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
+    return lg.org_step_1d(_step("receive", [])(spark, sf), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
 
 
 def _deliver(spark, sf):
-    return lg.org_step_1d(_step("deliver")(spark, sf), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
+    return lg.org_step_1d(_step("deliver", [])(spark, sf), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
 
 
 @query("l08_org_receive_1d", with_(PARCELS, ORGANS, PLACES, RECEIVE) + "SELECT * FROM receive")
@@ -339,7 +341,7 @@ dispatch AS (SELECT dt, count(*) AS order_count, CAST(sum(amount) AS DECIMAL(26,
 
 
 def _dispatch(spark, sf):
-    return lg.dispatch_1d(_step("dispatch")(spark, sf))
+    return lg.dispatch_1d(_step("dispatch", [])(spark, sf))
 
 
 @query("l08_dispatch_1d", with_(PARCELS, DISPATCH) + "SELECT * FROM dispatch")
@@ -365,7 +367,7 @@ def l08_dispatch_td(spark, sf):
 
 @query("l08_bound_finish_td", with_(PARCELS, DISPATCH, TD) + "SELECT * FROM btd")
 def l08_bound_td(spark, sf):
-    return lg.step_to_date(_step("bound_finish")(spark, sf))
+    return lg.step_to_date(_step("bound_finish", [])(spark, sf))
 
 
 TRUCKS = """

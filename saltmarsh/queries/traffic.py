@@ -610,13 +610,13 @@ def _points_sql(factors: list[str], i: int) -> str:
 
 
 _ALL_W = [_weights_sql(f) for f in FACTOR_COLUMNS]
-_SUM_COLS = ", ".join(f"CAST({_points_sql(list(FACTOR_COLUMNS), i)} AS DECIMAL(8,3)) AS {profile.band_column('sum', b)}" for i, b in enumerate(_B))
+_SUM_COLS = ", ".join(f"CAST({_points_sql(list(FACTOR_COLUMNS), i)} AS DOUBLE) AS {profile.band_column('sum', b)}" for i, b in enumerate(_B))
 _SUM_NAMES = [profile.band_column("sum", b) for b in _B]
 _BEST = "CASE " + " ".join(f"WHEN {n} = greatest({', '.join(_SUM_NAMES)}) THEN '{b}'" for n, b in zip(_SUM_NAMES, _B)) + " END"
 
 
 @query("t13_device_search_scores", with_(PROFILE, *[_weights_sql(f) for f in ("device", "search")]) + "SELECT order_id, judge_os, " + ", ".join(
-    f"CAST({_points_sql([f], i)} AS DECIMAL(6,3)) AS {profile.band_column(f, b)}" for f in ("device", "search") for i, b in enumerate(_B)
+    f"CAST({_points_sql([f], i)} AS DOUBLE) AS {profile.band_column(f, b)}" for f in ("device", "search") for i, b in enumerate(_B)
 ) + " FROM prof " + " ".join(
     f"LEFT JOIN w_{f} j_{f} ON {FACTOR_COLUMNS[f]} = j_{f}.v AND j_{f}.v <> '*' LEFT JOIN (SELECT * FROM w_{f} WHERE v = '*') d_{f} ON true" for f in ("device", "search")))
 def t13(spark, sf):
@@ -628,7 +628,7 @@ _ORDER_F = ("time", "amount", "brand", "category")
 
 
 @query("t14_order_scores", with_(PROFILE, *[_weights_sql(f) for f in _ORDER_F]) + "SELECT order_id, spending_pow, " + ", ".join(
-    f"CAST({_points_sql([f], i)} AS DECIMAL(6,3)) AS {profile.band_column(f, b)}" for f in _ORDER_F for i, b in enumerate(_B)
+    f"CAST({_points_sql([f], i)} AS DOUBLE) AS {profile.band_column(f, b)}" for f in _ORDER_F for i, b in enumerate(_B)
 ) + " FROM prof " + " ".join(
     f"LEFT JOIN w_{f} j_{f} ON {FACTOR_COLUMNS[f]} = j_{f}.v AND j_{f}.v <> '*' LEFT JOIN (SELECT * FROM w_{f} WHERE v = '*') d_{f} ON true" for f in _ORDER_F))
 def t14(spark, sf):

@@ -21,7 +21,9 @@ def build_session(
 
     UTC keeps date columns independent of the machine, ANSI mode turns bad
     casts into errors instead of silent nulls, and adaptive execution picks the
-    join type and splits skewed partitions from measured sizes.
+    join type and splits skewed partitions from measured sizes.  Generated
+    methods above 8000 bytecodes would run interpreted (the JVM does not compile
+    them), so wide projections fall back to code split by expression.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -30,6 +32,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
