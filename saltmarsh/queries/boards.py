@@ -491,10 +491,7 @@ ALL5 = (BEHAVIOUR, LOG, TRAFFIC, CONV, CONTENT, ACQ, SERVICE, SCORES)
 
 
 def _scores(spark, sf):
-    log = _log(spark, sf)
-    return b.product_scores(
-        b.item_traffic(log), b.item_conversion(log), b.item_content(log), b.item_acquisition(log), b.item_service(_service_orders(spark, sf))
-    )
+    return b.product_scores_from_logs(_log(spark, sf), _service_orders(spark, sf))
 
 
 @query("w12_product_scores", with_(*ALL5) + "SELECT * FROM sc")

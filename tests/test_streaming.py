@@ -296,3 +296,35 @@ def test_json_lines_sink(spark, folder):
     f = folder(WORD).add({"keyword": "x", "ts": at(1)})
     merge.json_lines_sink(f.stream(), str(f.path / "o"), str(f.path / "c")).awaitTermination()
     assert spark.read.json(str(f.path / "o")).count() == 1
+
+
+def test_text_lines_remember_their_position(spark, tmp_path):
+    source = tmp_path / "log"
+    source.mkdir()
+    (source / "a.log").write_text("one\ntwo\n")
+
+    def run():
+        df = inputs.with_arrival_time(inputs.non_null(inputs.text_lines(spark, str(source))))
+        df.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(str(tmp_path / "o"))
+
+    assert run().count() == 2
+    (source / "b.log").write_text("three\n")
+    assert rows(run(), "value") == [("one",), ("three",), ("two",)]
+
+
+def test_shop_logs_are_typed(spark):
+    line = change("user_visit_log", "c", {"log_id": "7", "visit_time": "1704067200000", "visitor_id": "v", "page_view": "x"})
+    parsed = inputs.change_rows(spark.createDataFrame([(line,), (CHANGES[0],)], "value string"))
+    got = routes.shop_log(parsed, "user_visit_log", {"log_id": "bigint", "visitor_id": "string", "page_view": "int"})
+    assert rows(got, "log_id", "visitor_id", "page_view") == [(7, "v", None)]
+
+
+def test_dimension_sync_reads_the_config_for_each_batch(spark, folder, tmp_path):
+    f = folder("value string").add(*[{"value": c} for c in CHANGES])
+    config = spark.createDataFrame([("cart_info", "dim_cart", "id", "id")], "source_table string, sink_table string, sink_row_key string, sink_columns string")
+    out = str(tmp_path / "dim")
+    changes = inputs.change_rows(f.stream()).filter("not is_dirty")
+    joins.dimension_sync(changes, lambda: config, lambda b, i: merge.write_batch(merge.dimension_rows(b), i, out), str(tmp_path / "cp")).awaitTermination()
+    got = merge.current_rows(spark, out, ["sink_table", "row_key"], "ts_ms")
+    assert sorted(r["row"]["id"] for r in got.filter("row['id'] is not null").collect()) == ["1", "2", "3", "4"]
