@@ -116,7 +116,8 @@ SELECT event_id, user_id, CASE WHEN event_id % 3 = 0 THEN '0' ELSE '1' END AS is
 def stream_repair(spark, sf):
     folder = shared_folder(spark, "repair")
     rows = _stream(spark, sf, "events").select("event_id", "user_id", "ts", F.when(F.col("event_id") % 3 == 0, "0").otherwise("1").alias("is_new"))
-    return _append(state.repair_new_flag_stream(rows, "user_id", "ts", "is_new"), folder).drop("ts")
+    _finish(state.repair_new_flag_table(rows, folder, f"{folder}/cp", "user_id", ["ts", "event_id"], "ts", "is_new"))
+    return spark.read.parquet(f"{folder}/out").drop("ts", "batch_id")
 
 
 @query("stream_first_login_counts", """
@@ -125,8 +126,9 @@ SELECT dt, is_first, count(*) AS login_count FROM (
 """)
 def stream_first_login(spark, sf):
     folder = shared_folder(spark, "logins")
-    rows = _stream(spark, sf, "events").select("user_id", "ts")
-    flagged = _append(state.first_login_stream(rows, "user_id", "ts"), folder)
+    rows = _stream(spark, sf, "events").select("event_id", "user_id", "ts")
+    _finish(state.first_login_table(rows, folder, f"{folder}/cp", "user_id", ["ts", "event_id"], "ts"))
+    flagged = spark.read.parquet(f"{folder}/out")
     return windows.running_count(flagged.withColumn("dt", F.to_date("ts")), ["dt", "is_first"], "login_count")
 
 
@@ -136,7 +138,8 @@ SELECT event_id, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts,
 def stream_first_seen(spark, sf):
     folder = shared_folder(spark, "seen")
     rows = _stream(spark, sf, "events").select("event_id", "user_id", "ts")
-    return _append(state.first_seen_stream(rows, "user_id", "ts"), folder).select("event_id", "is_new_visitor")
+    _finish(state.first_seen_table(rows, folder, f"{folder}/cp", "user_id", ["ts", "event_id"]))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "is_new_visitor")
 
 
 @query("stream_newer_only", """

@@ -1,18 +1,21 @@
 """Keyed state: new-visitor repair, first logins, latest-only, profiles, snapshot end.
 
 Each rule comes in two forms.  The batch form uses aggregations and joins only.
-The stream form keeps one small state per key; the rows of a key within one
-micro-batch are bounded by the source's rows-per-trigger setting.
+Stream forms named ``*_table`` keep the state in a table and stay in the JVM, so
+a key may hold any share of a micro-batch.  The other stream forms keep one
+small state per key; there the rows of a key within one micro-batch are bounded
+by the source's rows- or files-per-trigger setting.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -254,3 +257,67 @@ def snapshot_rows_stream(df: DataFrame, key: str, idle_ms: int | None = 15_000)
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else NO_TIMEOUT
     return df.groupBy(key).applyInPandasWithState(step, schema, "done boolean", "append", timeout)
+
+
+# -- first-value state kept as a table ---------------------------------------------------
+
+
+def first_state_stream(
+    df: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], kept: Column,
+    flag: Callable[[Column], Column], name: str,
+) -> StreamingQuery:
+    """Flag rows by the first value of their key, without a Python group per key.
+
+    Each micro-batch reduces its rows to one first value per key (combined before
+    the shuffle), adds them to the state table, and joins the batch with the
+    state; Spark splits a hot key in both steps.  The first batch of a key sets
+    its state.  State and output of a batch are overwritten on a replay.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            box = F.min_by(F.struct(kept.alias("state")), F.struct(*order)).alias("_box")
+            first = batch.groupBy(F.col(key).alias("_key")).agg(box)
+            first.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+            reader = batch.sparkSession.read.option("basePath", f"{path}/state")
+            seen = reader.parquet(f"{path}/state").filter(F.col("batch_id") <= batch_id)
+            state = seen.groupBy("_key").agg(F.min_by("_box", "batch_id").alias("_b")).select(
+                "_key", F.col("_b.state").alias("_state")
+            )
+            joined = batch.join(state, F.col(key).eqNullSafe(F.col("_key")))
+            out = joined.select(*batch.columns, flag(F.col("_state")).alias(name))
+            out.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (
+        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def repair_new_flag_table(df: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], ts: str, flag: str) -> StreamingQuery:
+    """New-visitor repair on the state table."""
+    day = F.to_date(ts)
+    kept = F.when(F.col(flag) == "1", day).otherwise(F.date_sub(day, 1))
+
+    def fixed(state: Column) -> Column:
+        return F.when((F.col(flag) == "1") & (day != state), F.lit("0")).otherwise(F.col(flag))
+
+    return first_state_stream(df, path, checkpoint, key, order, kept, fixed, "fixed_" + flag)
+
+
+def first_login_table(df: DataFrame, path: str, checkpoint: str, user: str, order: Sequence[str], ts: str) -> StreamingQuery:
+    """First-login flag on the state table."""
+    day = F.to_date(ts)
+    return first_state_stream(
+        df, path, checkpoint, user, order, day, lambda s: F.when(day == s, 1).otherwise(0), "is_first"
+    )
+
+
+def first_seen_table(df: DataFrame, path: str, checkpoint: str, visitor: str, order: Sequence[str]) -> StreamingQuery:
+    """First-row flag on the state table; ``order`` is unique per row."""
+    place = F.struct(*order)
+    return first_state_stream(
+        df, path, checkpoint, visitor, order, place, lambda s: F.when(place == s, 1).otherwise(0), "is_new_visitor"
+    )

@@ -328,3 +328,14 @@ def test_dimension_sync_reads_the_config_for_each_batch(spark, folder, tmp_path)
     joins.dimension_sync(changes, lambda: config, lambda b, i: merge.write_batch(merge.dimension_rows(b), i, out), str(tmp_path / "cp")).awaitTermination()
     got = merge.current_rows(spark, out, ["sink_table", "row_key"], "ts_ms")
     assert sorted(r["row"]["id"] for r in got.filter("row['id'] is not null").collect()) == ["1", "2", "3", "4"]
+
+
+def test_state_table_equals_keyed_state(spark, folder, tmp_path):
+    f = folder(LOGIN).add(*RECORDS[:2]).add(*RECORDS[2:4]).add(*RECORDS[4:])
+    out = str(tmp_path / "fixed")
+    state.repair_new_flag_table(f.stream(), out, str(tmp_path / "cp1"), "user", ["ts", "id"], "ts", "is_new").awaitTermination()
+    got = rows(spark.read.parquet(f"{out}/out"), "id", "fixed_is_new")
+    assert got == [(1, "1"), (2, "1"), (3, "0"), (4, "0"), (5, "0"), (6, "1")]
+    seen = str(tmp_path / "seen")
+    state.first_seen_table(f.stream(), seen, str(tmp_path / "cp2"), "user", ["ts", "id"]).awaitTermination()
+    assert rows(spark.read.parquet(f"{seen}/out"), "id", "is_new_visitor") == [(1, 1), (2, 0), (3, 0), (4, 1), (5, 0), (6, 1)]
