@@ -18,9 +18,9 @@ from saltmarsh.session import shared_folder
 from saltmarsh.streaming import dedupe, inputs, joins, merge, routes, state, windows
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def _stream(spark: SparkSession, sf: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
     # a pattern that names exactly one table, be it a file or a folder of files
-    return inputs.table_files(spark, f"{sf}/{name}.parque[t]", a.SCHEMAS[name])
+    return inputs.table_files(spark, f"{sf}/{name}.parque[t]", a.SCHEMAS[name], files_per_trigger=files_per_trigger)
 
 
 def _finish(query_handle) -> None:
@@ -149,7 +149,9 @@ SELECT event_id, v FROM (SELECT *, max(v) OVER (PARTITION BY user_id ORDER BY ev
 def stream_newer(spark, sf):
     folder = shared_folder(spark, "newer")
     rows = _stream(spark, sf, "events").select("event_id", "user_id", (F.col("event_id") * 7919 % 10007).alias("v"))
-    return _append(state.newer_only_stream(rows, "user_id", "event_id", "v"), folder).select("event_id", "v")
+    slices = F.floor(F.col("event_id") / 4096)
+    _finish(state.newer_only_table(rows, folder, f"{folder}/cp", "user_id", ["event_id"], "v", slices))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "v")
 
 
 @query("stream_running_profile", """
@@ -158,7 +160,8 @@ SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, e
 """)
 def stream_profile(spark, sf):
     folder = shared_folder(spark, "profile")
-    rows = _stream(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    # a few files per micro-batch bound the rows of one key in a Python group
+    rows = _stream(spark, sf, "events", 8).select("event_id", "user_id", "ts", "event_type")
     out = state.running_profile_stream(rows, "user_id", "ts", ["event_type"])
     return _append(out, folder).select("event_id", "user_id", "pv", "event_type_list")
 
@@ -232,5 +235,5 @@ def stream_snapshot(spark, sf):
 def stream_bloom(spark, sf):
     """Opt-in filter with bounded memory; a small share of new rows may be lost."""
     folder = shared_folder(spark, "bloom")
-    rows = _stream(spark, sf, "events").select("event_id", "user_id", F.to_date("ts").alias("d"))
+    rows = _stream(spark, sf, "events", 8).select("event_id", "user_id", F.to_date("ts").alias("d"))
     return _append(dedupe.approximate(rows, ["user_id", "d"]), folder)

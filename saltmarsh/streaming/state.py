@@ -321,3 +321,33 @@ def first_seen_table(df: DataFrame, path: str, checkpoint: str, visitor: str, or
     return first_state_stream(
         df, path, checkpoint, visitor, order, place, lambda s: F.when(place == s, 1).otherwise(0), "is_new_visitor"
     )
+
+
+def newer_only_table(
+    df: DataFrame, path: str, checkpoint: str, key: str, arrival: Sequence[str], ts: str, slice_by: Column
+) -> StreamingQuery:
+    """Latest-only filter with the greatest time per key in a state table.
+
+    Inside a micro-batch the running maximum is taken slice by slice, so one key
+    may hold any share of the rows.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            top = batch.groupBy(F.col(key).alias("_key")).agg(F.max(ts).alias("_top"))
+            top.write.mode("overwrite").parquet(f"{path}/state/batch_id={batch_id}")
+            reader = batch.sparkSession.read.option("basePath", f"{path}/state")
+            before = reader.parquet(f"{path}/state").filter(F.col("batch_id") < batch_id)
+            known = before.groupBy("_key").agg(F.max("_top").alias("_known"))
+            marked = ordered_columns(batch, [key], arrival, slice_by, max_before={"_seen": ts})
+            joined = marked.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+            limit = F.greatest("_seen", "_known")
+            out = joined.filter(limit.isNull() | (F.col(ts) > limit)).select(*batch.columns)
+            out.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (
+        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )

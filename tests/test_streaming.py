@@ -339,3 +339,13 @@ def test_state_table_equals_keyed_state(spark, folder, tmp_path):
     seen = str(tmp_path / "seen")
     state.first_seen_table(f.stream(), seen, str(tmp_path / "cp2"), "user", ["ts", "id"]).awaitTermination()
     assert rows(spark.read.parquet(f"{seen}/out"), "id", "is_new_visitor") == [(1, 1), (2, 0), (3, 0), (4, 1), (5, 0), (6, 1)]
+
+
+def test_newer_only_table_equals_keyed_state(spark, folder, tmp_path):
+    values = [("a", 5), ("a", 3), ("a", 5), ("a", 6), ("b", 1), ("a", 2), ("b", 2), ("b", 2)]
+    records = [{"id": i, "user": u, "ts": at(0), "is_new": str(v)} for i, (u, v) in enumerate(values)]
+    f = folder(LOGIN).add(*records[:2]).add(*records[2:6]).add(*records[6:])
+    out = str(tmp_path / "newer")
+    rows_in = f.stream().withColumn("v", F.col("is_new").cast("long"))
+    state.newer_only_table(rows_in, out, str(tmp_path / "cp"), "user", ["id"], "v", F.floor(F.col("id") / 2)).awaitTermination()
+    assert rows(spark.read.parquet(f"{out}/out"), "id") == [(0,), (3,), (4,), (6,)]
