@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,12 +66,20 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's checkpoint directory.
 
     The cluster names a folder every executor can reach in
-    ``spark.checkpoint.dir``.  Only when that is unset (tests on one machine) a
-    temporary folder is made and recorded as the setting for the session.
+    ``spark.checkpoint.dir``.  When that is unset, only a session that runs on
+    one machine gets a temporary folder; on a cluster it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="saltmarsh-")
         spark.conf.set("spark.checkpoint.dir", base)
-    unique = spark.range(1).selectExpr("uuid() AS u").first()["u"]
-    return f"{base.rstrip('/')}/{purpose}-{unique}"
+    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4()}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written once as a table in the shared folder and read from there."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
