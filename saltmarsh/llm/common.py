@@ -37,7 +37,7 @@ def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
     return store[key]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, text: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512, text: str = "text", size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``rows`` rows and about ``size`` bytes of ``text``; one row is never cut."""
     for batch in batches:
         lengths = np.array(batch.column(text).cast(pa.large_string()).to_pandas().str.len().fillna(0), dtype=np.int64) \
@@ -75,7 +75,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             filled += step
         return out
 
-    size = 1 << max(16, (n + 1).bit_length())
+    size = max(1 << 20, n + 1)
     known = worker_cache("powers", lambda: [np.zeros(0, np.uint64)] * 2)
     if len(known[0]) < size:
         known[0], known[1] = table(_POWER, size), table(pow(_POWER, -1, 1 << 64), size)

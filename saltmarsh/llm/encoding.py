@@ -14,7 +14,7 @@ import regex
 from saltmarsh.llm.common import slices, word_hashes, worker_cache
 
 END_ID = 1
-MEMO_WORDS = 3_000_000
+MEMO_WORDS = 800_000
 
 
 def vocabulary_path(name: str) -> str:

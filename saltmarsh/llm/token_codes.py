@@ -34,7 +34,7 @@ from saltmarsh.session import shared_folder
 
 MAGIC = b"DAC1"
 BLOCK = 512
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 SEGMENT_SCHEMA = (
     "shard int, shard_start long, n_ids long, doc_ids array<bigint>, doc_sizes array<bigint>, codes binary"
 )
@@ -158,10 +158,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, partitions: int |
 def open_tokens(spark, folder: str) -> DataFrame:
     """The segments of a corpus, with ``start``: ids of the whole corpus before the segment."""
     segments = spark.read.schema(SEGMENT_SCHEMA).parquet(folder)
-    # One row per shard, so as many as the writing job had partitions.
+    # One row per shard, so as many as the writing job had partitions: small enough for a window and a broadcast.
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
     bases = shards.select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("base"))
-    return segments.join(bases, "shard").withColumn("start", F.col("base") + F.col("shard_start"))
+    return segments.join(F.broadcast(bases), "shard").withColumn("start", F.col("base") + F.col("shard_start"))
 
 
 def read_tokens(spark, folder: str) -> DataFrame:
@@ -169,7 +169,7 @@ def read_tokens(spark, folder: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
                 codes = Codes(row["codes"])
                 sizes = np.array(row["doc_sizes"], np.int64)
                 starts = np.cumsum(sizes) - sizes
