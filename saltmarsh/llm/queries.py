@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from saltmarsh.llm import (
-    exact_copies, host_reputation, main_text, packing, quality_model, rule_cascade, token_codes, transducer,
+    exact_copies, host_reputation, main_text, packing, quality_model, rule_cascade, shingle_join, token_codes, transducer,
 )
 from saltmarsh.llm.common import documents
 from saltmarsh.llm.encoding import vocabulary_path
@@ -123,3 +123,8 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return transducer.round_trip(documents(spark, folder), vocabulary_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op2_shingle_join")
+def op2_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.near_copies(documents(spark, folder))

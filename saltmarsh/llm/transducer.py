@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from saltmarsh.llm.common import slices, texts, worker_cache
 
-STATES = 60_000
-MEMO_PARTS = 250_000
+STATES = 150_000
+MEMO_PARTS = 200_000
 LONG_PART = 200
 
 
@@ -51,20 +51,27 @@ class Transducer:
 
     def _restart(self) -> None:
         start = ((), -1, 0)  # tokens not yet emitted, last token, trie node
-        self.states = [frozenset([start])]
+        self.states = [(start,)]
         self.number = {self.states[0]: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.final: list[tuple[int, ...] | None] = [()]
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
+        self.final: list[tuple[int, ...]] = [()]
 
-    def _merged(self, raw: bytes) -> list[bytes]:
+    def _merged(self, parts: list[bytes]) -> list[bytes]:
         """BPE of a few bytes: the neighbours of least rank are joined first, from the left."""
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        while len(parts) > 1:
-            ranked = [(self.ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            rank, i = min(ranked)
-            if rank == 1 << 60:
+        rank = self.ranks.get
+        none = 1 << 60
+        ranked = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        while ranked:
+            least = min(ranked)
+            if least == none:
                 break
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            i = ranked.index(least)
+            parts[i] += parts.pop(i + 1)
+            del ranked[i]
+            if i:
+                ranked[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(ranked):
+                ranked[i] = rank(parts[i] + parts[i + 1], none)
         return parts
 
     def _fits(self, before: int, after: int) -> bool:
@@ -72,39 +79,44 @@ class Transducer:
         known = self.fit.get((before, after))
         if known is None:
             first, second = self.token.get(before, b""), self.token[after]
-            known = self._merged(first + second) == ([first, second] if first else [second])
-            if len(self.fit) > 500_000:
+            raw = first + second
+            if first and raw in self.ranks:
+                known = False  # these two would be joined
+            else:
+                known = self._merged([raw[i:i + 1] for i in range(len(raw))]) == ([first, second] if first else [second])
+            if len(self.fit) > 400_000:
                 self.fit.clear()
             self.fit[before, after] = known
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after one more byte, and the tokens that are certain now."""
-        runs = set()
+        runs, final = [], None
         for held, last, node in self.states[state]:
             below = self.child[node].get(byte)
             if below is None:
                 continue
-            if self.child[below]:
-                runs.add((held, last, below))
             token = self.ends[below]
-            if token >= 0 and self._fits(last, token):
-                runs.add(((*held, token), token, 0))
-        shared = 0
-        helds = [held for held, _, _ in runs]
-        shortest = min(map(len, helds))
-        while shared < shortest and len({held[shared] for held in helds}) == 1:
-            shared += 1
-        sure = helds[0][:shared]
-        made = frozenset((held[shared:], last, node) for held, last, node in runs)
+            if token >= 0 and final is None and self._fits(last, token):
+                final = (*held, token)
+                runs.append((final, token, 0))
+            if self.child[below]:
+                runs.append((held, last, below))
+        first, shared = runs[0][0], 0
+        for shared, token in enumerate(first):
+            if any(len(held) <= shared or held[shared] != token for held, _, _ in runs):
+                break
+        else:
+            shared = len(first)
+        sure = first[:shared]
+        made = tuple(sorted((held[shared:], last, node) for held, last, node in runs)) if shared or len(runs) > 1 else tuple(runs)
         target = self.number.get(made)
         if target is None:
             target = self.number[made] = len(self.states)
             self.states.append(made)
-            self.steps.append({})
-            self.final.append(next((held for held, _, node in made if node == 0), None))
-        self.steps[state][byte] = (target, sure)
-        return target, sure
+            self.final.append(final[shared:] if final is not None else ())
+        self.steps[256 * state + byte] = found = (target, sure)
+        return found
 
     def encode(self, piece: bytes) -> list[int]:
         """Tokens of one piece; a piece that is a token itself is that token."""
@@ -114,10 +126,9 @@ class Transducer:
         if len(self.states) > STATES:
             self._restart()
         out: list[int] = []
-        state = 0
+        state, steps = 0, self.steps
         for byte in piece:
-            known = self.steps[state].get(byte)
-            state, sure = known if known is not None else self._step(state, byte)
+            state, sure = steps.get(256 * state + byte) or self._step(state, byte)
             if sure:
                 out += sure
         out += self.final[state]
@@ -136,9 +147,20 @@ class TextEncoder:
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.piece: dict[str, list[int]] = {}
 
     def _tokens(self, text: str) -> bytes:
-        return np.array([i for p in self.pieces(text) for i in self.transducer.encode(p.encode())], "<u4").tobytes()
+        out: list[int] = []
+        for piece in self.pieces(text):
+            ids = self.piece.get(piece)
+            if ids is None:
+                ids = self.transducer.encode(piece.encode())
+                if len(piece) < LONG_PART:
+                    if len(self.piece) > MEMO_PARTS:
+                        self.piece.clear()
+                    self.piece[piece] = ids
+            out += ids
+        return np.array(out, "<u4").tobytes()
 
     def encode(self, values: Iterable[str | None]) -> list[np.ndarray]:
         out = []
