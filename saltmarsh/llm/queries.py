@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from saltmarsh.llm import (
-    exact_copies, host_reputation, main_text, packing, quality_model, rule_cascade, shingle_join, token_codes, transducer,
+    backoff, exact_copies, host_reputation, main_text, packing, quality_model, rule_cascade, shingle_join, token_codes, transducer,
 )
 from saltmarsh.llm.common import documents
 from saltmarsh.llm.encoding import vocabulary_path
@@ -128,3 +128,8 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_shingle_join")
 def op2_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return shingle_join.near_copies(documents(spark, folder))
+
+
+@query("op5_stupid_backoff")
+def op5_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return backoff.score(documents(spark, folder), vocabulary_path(WORDS))
