@@ -13,9 +13,10 @@ non-empty parts sign with each shingle as well, so no link is lost.
 
 Equal sets are one set throughout, named by a 64-bit hash of the set; two given
 sets share a name or a shingle hash with a chance of about 2**-64.  Sets with a common signature are
-compared exactly: first each with the least one, then, as links that join two
-parts of one component change nothing, only sets that are still apart, in
-blocks.  No pair of sets is written out unless it is compared or linked.
+compared exactly, in blocks of bounded size: first inside the block that a set
+shares with the sets most like it, then, as links inside one component change
+nothing, only blocks with sets that share a signature and are still apart.  No
+pair of sets is written out unless it is linked.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import mixed, slices, texts, windows, word_hashes
@@ -34,6 +35,8 @@ from saltmarsh.session import stored
 
 SIZE = 5
 BLOCK = 256
+SAMPLE_DOCS = 16_384
+FREQUENT = 4
 OPEN_ROWS = 50_000
 
 
@@ -74,15 +77,22 @@ def parts_of(band: int) -> int:
     return (1 << band) * (8 if band <= 4 else 2) if band <= 7 else 1 << (band - 1)
 
 
-def signatures(found: np.ndarray) -> np.ndarray:
-    """Signatures of one set, given as sorted hashes."""
+def signatures(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Signatures of one set, given as sorted hashes; ``frequent`` are the sorted hashes that come last in the domain."""
     n = len(found)
     out, unsafe = [], False
+    if len(frequent):
+        late = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
+        found = np.concatenate([found[~late], found[late]])
+        late = np.sort(late)
+    else:
+        late = np.zeros(n, bool)
     content = mixed(found ^ np.uint64(0x5851F42D4C957F2D))
     high = found >> np.uint64(32)
     band = n.bit_length()
     for level in [band] + ([band + 1] if 4 * n // 3 >= 1 << band else []):
-        part = (high * np.uint64(parts_of(level))) >> np.uint64(32)
+        m = np.uint64(parts_of(level))
+        part = ((high * m) >> np.uint64(32)) + m * late
         starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         unsafe |= len(starts) <= n // 3
         out.append(mixed(_sum_by(content, starts)[:n // 3 + 1] + np.uint64(level)))
@@ -91,18 +101,42 @@ def signatures(found: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
-        found, before = shingle_sets(part.column("text").to_pylist())
-        names, signed = [], []
-        for i, j in zip(before, before[1:]):
-            if j > i:
-                one = signatures(found[i:j])
-                names.append(np.full(len(one), set_name(found[i:j]), np.int64))
-                signed.append(one)
-        if names:
+def frequent_shingles(plain: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles of at least ``FREQUENT`` different sets among about ``SAMPLE_DOCS`` documents.
+
+    A shingle that many documents of a large corpus share is in many of the
+    sample; so many at most come back as the sample has shingles, over ``FREQUENT``.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found, before = shingle_sets(part.column("text").to_pylist())
+            names = [set_name(found[i:j]) if j > i else 0 for i, j in zip(before, before[1:])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(signed).view(np.int64)), pa.array(np.concatenate(names))], names=["signature", "name"])
+                [pa.array(found.view(np.int64)), pa.array(np.repeat(np.array(names, np.int64), np.diff(before)))], names=["shingle", "name"])
+
+    share = max(1, plain.count() // SAMPLE_DOCS)
+    some = plain.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(sets, "shingle long, name long")
+    rows = some.distinct().groupBy("shingle").count().where(F.col("count") >= FREQUENT).select("shingle").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+
+
+def _signer(frequent):
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = frequent.value
+        for part in slices(batches):
+            found, before = shingle_sets(part.column("text").to_pylist())
+            names, signed = [], []
+            for i, j in zip(before, before[1:]):
+                if j > i:
+                    one = signatures(found[i:j], late)
+                    names.append(np.full(len(one), set_name(found[i:j]), np.int64))
+                    signed.append(one)
+            if names:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(signed).view(np.int64)), pa.array(np.concatenate(names))], names=["signature", "name"])
+
+    return sign
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,18 +200,6 @@ def similar(common: int, a: int, b: int) -> bool:
     return 100 * common >= 75 * (a + b - common)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose two sets are similar."""
-    for batch in batches:
-        keep = []
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            a, b = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            small, large = min(len(a), len(b)), max(len(a), len(b))
-            common = len(np.intersect1d(a, b, assume_unique=True)) if 4 * small >= 3 * large else 0
-            keep.append(similar(common, len(a), len(b)))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
     """Links between the sets of two blocks (or inside one) that join different components, as far as they are not implied."""
     sets = [np.frombuffer(raw, np.uint64) for raw in frame["elements"]]
@@ -212,38 +234,65 @@ def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets are similar."""
-    left = sets.select(F.col("name").alias("a"), F.col("elements").alias("left"), F.col("n").alias("na"))
-    right = sets.select(F.col("name").alias("b"), F.col("elements").alias("right"), F.col("n").alias("nb"))
-    fitting = (
-        pairs.join(left.drop("left"), "a").join(right.drop("right"), "b")
-        .where("4 * na >= 3 * nb AND 4 * nb >= 3 * na").select("a", "b")
-    )
-    return fitting.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_compare, "a long, b long")
-
-
 def _with_root(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame:
     known = roots.select(F.col("node").alias(key), F.col("root").alias(root))
     return rows.join(known, key, "left").withColumn(root, F.coalesce(root, key))
 
 
-def _apart(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among sets that share a signature and are still in different components; all are compared, in blocks."""
-    placed = _with_root(groups.select("signature", "name"), roots, "name", "root")
-    mixed_up = placed.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    open_rows = placed.join(mixed_up.select("signature"), "signature")
-    number = F.row_number().over(Window.partitionBy("signature").orderBy("root", "name"))
-    open_rows = stored(open_rows.withColumn("block", F.floor((number - 1) / BLOCK)), "open-groups")
-    blocks = open_rows.groupBy("signature", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    other = blocks.select("signature", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+def _blocks(groups: DataFrame) -> DataFrame:
+    """``name``, ``block`` and ``home`` of every set that has a signature in common with another.
+
+    The home of a set is the leader it shares most signatures with.  Sets tied
+    by leaders form a family; a family is dealt by home to blocks of about
+    ``BLOCK`` sets, and a larger home by name.  Each block also gets the leaders
+    of its sets (rows with ``extra``).
+    """
+    pairs = stored(
+        groups.where("name <> leader").groupBy(F.col("leader").alias("a"), F.col("name").alias("b")).agg(F.count("*").alias("shared")),
+        "leader-pairs")
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("home")).withColumnRenamed("b", "name")
+    names = pairs.select(F.col("a").alias("name")).unionByName(pairs.select(F.col("b").alias("name"))).distinct()
+    placed = _with_root(names, components(pairs), "name", "family").join(best, "name", "left")
+    placed = stored(placed.withColumn("home", F.coalesce("home", "name")), "families")
+    homes = placed.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("by_name"))
+    families = placed.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("by_home"))
+    block = F.when(F.col("by_name") > 1, F.xxhash64("home", F.pmod(F.xxhash64("name"), "by_name"))).otherwise(
+        F.xxhash64("family", F.pmod(F.xxhash64("home"), "by_home")))
+    dealt = placed.join(homes, "home").join(families, "family").select("name", block.alias("block"), "home")
+    return stored(dealt, "blocks")
+
+
+def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made from the texts."""
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found, before = shingle_sets(part.column("text").to_pylist())
+            spans = list(zip(before.tolist(), before[1:].tolist()))
+            names = part.column("name").to_pylist()
+            keep = [j > i and set_name(found[i:j]) == name for (i, j), name in zip(spans, names)]  # not another text of the same id
+            yield pa.RecordBatch.from_arrays(
+                [part.column("task"), part.column("name"), part.column("root"), pa.array([found[i:j].tobytes() for i, j in spans], pa.binary())],
+                names=["task", "name", "root", "elements"]).filter(pa.array(keep, pa.bool_()))
+
+    rows = plain.join(wanted, "doc_id").select("text", "name", "root", "task")
+    sets = rows.mapInArrow(elements, "task long, name long, root long, elements binary")
+    return sets.groupBy("task").applyInPandas(_block_links, "a long, b long")
+
+
+def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
+    """Tasks (``name``, ``root``, ``task``) of two blocks each with sets that share a signature and are in different components."""
+    placed = _with_root(groups.select("signature", "name").join(blocks.select("name", "block"), "name"), roots, "name", "root")
+    spread = placed.groupBy("signature", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    span = spread.groupBy("signature").agg(F.min("low").alias("a"), F.max("high").alias("z"), F.count("*").alias("m")).where("a < z AND m > 1")
+    spread = spread.join(span.select("signature"), "signature")
+    other = spread.select("signature", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     work = (
-        blocks.join(other, "signature").where("block <= other")
-        .where("NOT (low = high AND low2 = high2 AND low = low2)").select("signature", F.col("block").alias("i"), F.col("other").alias("j"))
+        spread.join(other, "signature").where("block < other AND NOT (low = high AND low2 = high2 AND low = low2)")
+        .select(F.col("block").alias("i"), F.col("other").alias("j")).distinct()
     )
-    tasks = work.select("signature", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    full = tasks.join(open_rows, ["signature", "block"]).join(sets.select("name", "elements"), "name")
-    return full.groupBy("signature", "i", "j").applyInPandas(_block_links, "a long, b long")
+    tasks = work.select(F.xxhash64("i", "j").alias("task"), F.explode(F.array("i", "j")).alias("block"))
+    return _with_root(tasks.join(blocks.select("name", "block"), "block"), roots, "name", "root").select("name", "root", "task")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -257,41 +306,28 @@ def near_copies(docs: DataFrame) -> DataFrame:
     plain = texts(docs)
     named = stored(plain.mapInArrow(_name, "doc_id long, name long, n long"), "set-names")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = plain.mapInArrow(_sign, "signature long, name long")
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(plain))
+    signed = plain.mapInArrow(_signer(frequent), "signature long, name long")
     groups = stored(
         signed.repartition(partitions, "signature").sortWithinPartitions("signature", "name")
         .mapInArrow(_groups, "signature long, name long, leader long"), "signature-groups")
-    members = groups.select("name").unionByName(groups.select(F.col("leader").alias("name"))).distinct()
+    # The rows of a group leave out its leader where they were too many for one piece.
+    groups = groups.select("signature", "name", "leader").unionByName(
+        groups.select("signature", F.col("leader").alias("name"), "leader").distinct()).distinct()
+    blocks = _blocks(groups)
     firsts = named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first"))
-    wanted = members.join(firsts, "name").select(F.col("first").alias("doc_id"), "name")
-
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            found, before = shingle_sets(part.column("text").to_pylist())
-            rows = [(found[i:j].tobytes(), int(j - i), set_name(found[i:j]) if j > i else None) for i, j in zip(before, before[1:])]
-            keep = [row[2] == name for row, name in zip(rows, part.column("name").to_pylist())]  # another text of the same id
-            raw, n, name = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name, pa.int64()), pa.array(n, pa.int64()), pa.array(raw, pa.binary())], names=["name", "n", "elements"],
-            ).filter(pa.array(keep, pa.bool_()))
-
-    sets = stored(
-        plain.join(wanted, "doc_id").select("text", "name").mapInArrow(elements, "name long, n long, elements binary")
-        .dropDuplicates(["name"]), "sets")
-    pairs = groups.where("name <> leader").groupBy(F.col("leader").alias("a"), F.col("name").alias("b")).agg(F.count("*").alias("shared"))
-    pairs = stored(pairs, "leader-pairs")
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
-    links = stored(_verified(best, sets), "links")
-    roots = components(links)
-    rest = _with_root(_with_root(pairs, roots, "a", "ra"), roots, "b", "rb").where("ra <> rb").select("a", "b")
-    links = stored(links.unionByName(_verified(rest, sets)), "links")
+    ids = stored(firsts.join(blocks.select("name"), "name", "left_semi").select("name", F.col("first").alias("doc_id")), "ids")
+    inside = blocks.select("name", F.col("block").alias("task")).unionByName(
+        blocks.select(F.col("home").alias("name"), F.col("block").alias("task"))).distinct()
+    links = stored(_compared(plain, inside.join(ids, "name").withColumn("root", F.col("name"))), "links")
     roots = components(links)
-    links = stored(links.unionByName(_apart(groups, roots, sets)), "links")
+    across = stored(_apart(groups, blocks, roots).join(ids, "name"), "across")
+    links = stored(links.unionByName(_compared(plain, across)), "links")
     roots = components(links)
     least = _with_root(firsts, roots, "name", "root")
-    ids = least.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = stored(least.join(ids, "root").select("name", "component_id"), "component-ids")
-    return named.join(ids, "name", "left").select(
+    found = least.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = stored(least.join(found, "root").select("name", "component_id"), "component-ids")
+    return named.join(found, "name", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
