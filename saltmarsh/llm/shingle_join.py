@@ -37,6 +37,7 @@ SIZE = 5
 BLOCK = 256
 SAMPLE_DOCS = 16_384
 FREQUENT = 4
+BITS = 1 << 23
 OPEN_ROWS = 50_000
 
 
@@ -262,6 +263,24 @@ def _blocks(groups: DataFrame) -> DataFrame:
     return stored(dealt, "blocks")
 
 
+def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``plain`` whose id may be in ``wanted``, by a bitmap of ``BITS`` bits of hashed ids: a fixed size at any scale."""
+    key = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
+    words = wanted.select(F.shiftright(key, 6).alias("word"), F.shiftleft(F.lit(1).cast("long"), key.bitwiseAND(63).cast("int")).alias("bit"))
+    bitmap = np.zeros(BITS // 64, np.int64)
+    for word, bits in words.groupBy("word").agg(F.bit_or("bit")).collect():  # at most BITS / 64 rows
+        bitmap[word] = bits
+    bitmap = plain.sparkSession.sparkContext.broadcast(bitmap)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.asarray(batch.column("key"), np.int64)
+            found = (bitmap.value[at >> 6] >> (at & 63)) & 1 == 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(found))
+
+    return plain.withColumn("key", key).mapInArrow(keep, plain.schema)
+
+
 def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made from the texts."""
 
@@ -275,7 +294,7 @@ def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
                 [part.column("task"), part.column("name"), part.column("root"), pa.array([found[i:j].tobytes() for i, j in spans], pa.binary())],
                 names=["task", "name", "root", "elements"]).filter(pa.array(keep, pa.bool_()))
 
-    rows = plain.join(wanted, "doc_id").select("text", "name", "root", "task")
+    rows = _only(plain, wanted).join(wanted, "doc_id").select("text", "name", "root", "task")
     sets = rows.mapInArrow(elements, "task long, name long, root long, elements binary")
     return sets.groupBy("task").applyInPandas(_block_links, "a long, b long")
 
@@ -319,7 +338,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     ids = stored(firsts.join(blocks.select("name"), "name", "left_semi").select("name", F.col("first").alias("doc_id")), "ids")
     inside = blocks.select("name", F.col("block").alias("task")).unionByName(
         blocks.select(F.col("home").alias("name"), F.col("block").alias("task"))).distinct()
-    links = stored(_compared(plain, inside.join(ids, "name").withColumn("root", F.col("name"))), "links")
+    inside = stored(inside.join(ids, "name").withColumn("root", F.col("name")), "inside")
+    links = stored(_compared(plain, inside), "links")
     roots = components(links)
     across = stored(_apart(groups, blocks, roots).join(ids, "name"), "across")
     links = stored(links.unionByName(_compared(plain, across)), "links")
