@@ -266,7 +266,7 @@ def _blocks(groups: DataFrame) -> DataFrame:
 def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``plain`` whose id may be in ``wanted``, by a bitmap of ``BITS`` bits of hashed ids: a fixed size at any scale."""
     key = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
-    words = wanted.select(F.shiftright(key, 6).alias("word"), F.shiftleft(F.lit(1).cast("long"), key.bitwiseAND(63).cast("int")).alias("bit"))
+    words = wanted.select(key.alias("key")).selectExpr("shiftright(key, 6) AS word", "shiftleft(1L, CAST(key & 63 AS INT)) AS bit")
     bitmap = np.zeros(BITS // 64, np.int64)
     for word, bits in words.groupBy("word").agg(F.bit_or("bit")).collect():  # at most BITS / 64 rows
         bitmap[word] = bits
