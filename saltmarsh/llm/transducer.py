@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from saltmarsh.llm.common import slices, texts, worker_cache
 
-STATES = 150_000
-MEMO_PARTS = 200_000
+STATES = 300_000
+MEMO_PARTS = 450_000
 LONG_PART = 200
 
 
