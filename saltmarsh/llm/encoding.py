@@ -63,8 +63,10 @@ class WordEncoder:
         return [t.id for t in self.tokenize(piece)]
 
     def _part(self, raw: bytes) -> list[int]:
-        """Ids of one part.  Below U+0100 normalising is lower case alone; other parts take the whole library."""
+        """Ids of one part.  Below U+0100 normalising is lower case alone; other parts and control characters take the whole library."""
         text = raw.decode("utf-8", "replace")
+        if not text.isprintable():
+            return self.library.encode(text, add_special_tokens=False).ids
         if not text.isascii():
             try:
                 text.encode("latin-1")
