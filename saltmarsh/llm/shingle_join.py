@@ -34,7 +34,7 @@ from saltmarsh.llm.components import components
 from saltmarsh.session import stored
 
 SIZE = 5
-BLOCK = 256
+BLOCK = 96
 SAMPLE_DOCS = 16_384
 FREQUENT = 4
 BITS = 1 << 23
@@ -110,7 +110,7 @@ def frequent_shingles(plain: DataFrame) -> np.ndarray:
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, size=1 << 19):
             found, before = shingle_sets(part.column("text").to_pylist())
             names = [set_name(found[i:j]) if j > i else 0 for i, j in zip(before, before[1:])]
             yield pa.RecordBatch.from_arrays(
@@ -125,7 +125,7 @@ def frequent_shingles(plain: DataFrame) -> np.ndarray:
 def _signer(frequent):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
-        for part in slices(batches):
+        for part in slices(batches, size=1 << 19):
             found, before = shingle_sets(part.column("text").to_pylist())
             names, signed = [], []
             for i, j in zip(before, before[1:]):
@@ -141,7 +141,7 @@ def _signer(frequent):
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches):
+    for part in slices(batches, size=1 << 19):
         found, before = shingle_sets(part.column("text").to_pylist())
         names = [set_name(found[i:j]) if j > i else None for i, j in zip(before, before[1:])]
         yield pa.RecordBatch.from_arrays(
@@ -212,9 +212,9 @@ def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
     owner = np.repeat(np.arange(len(sets)), sizes)
     column = column[which]
     common = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, len(shared), 4096):  # counts of common elements, by columns of the incidence matrix
-        some = (column >= low) & (column < low + 4096)
-        part = np.zeros((len(sets), min(4096, len(shared) - low)), np.float32)
+    for low in range(0, len(shared), 1024):  # counts of common elements, by columns of the incidence matrix
+        some = (column >= low) & (column < low + 1024)
+        part = np.zeros((len(sets), min(1024, len(shared) - low)), np.float32)
         part[owner[some], column[some] - low] = 1
         common += part @ part.T
     linked = 100 * common >= 75 * (sizes[:, None] + sizes[None, :] - common)
@@ -273,7 +273,7 @@ def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     bitmap = plain.sparkSession.sparkContext.broadcast(bitmap)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = np.asarray(batch.column("key"), np.int64)
             found = (bitmap.value[at >> 6] >> (at & 63)) & 1 == 1
             yield batch.select(["doc_id", "text"]).filter(pa.array(found))
@@ -285,7 +285,7 @@ def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made from the texts."""
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, size=1 << 19):
             found, before = shingle_sets(part.column("text").to_pylist())
             spans = list(zip(before.tolist(), before[1:].tolist()))
             names = part.column("name").to_pylist()
