@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +38,7 @@ SAMPLE_DOCS = 16_384
 FREQUENT = 4
 BITS = 1 << 23
 OPEN_ROWS = 50_000
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def shingle_sets(values: list[str | None], size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -201,9 +201,18 @@ def similar(common: int, a: int, b: int) -> bool:
     return 100 * common >= 75 * (a + b - common)
 
 
-def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
+def _block_links(table: pa.Table) -> pa.Table:
     """Links between the sets of two blocks (or inside one) that join different components, as far as they are not implied."""
-    sets = [np.frombuffer(raw, np.uint64) for raw in frame["elements"]]
+    sets, rows = [], []
+    for part in slices(iter(table.to_batches()), size=1 << 19):
+        found, before = shingle_sets(part.column("text").to_pylist())
+        for name, root, i, j in zip(part.column("name").to_pylist(), part.column("root").to_pylist(), before, before[1:]):
+            if j > i and set_name(found[i:j]) == name:  # not another text of the same id
+                sets.append(found[i:j].copy())
+                rows.append((name, root))
+    if not sets:
+        return LINKS.empty_table()
+    names, root = np.array(rows, np.int64).T
     sizes = np.array([len(s) for s in sets])
     _, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(count > 1)
@@ -218,9 +227,8 @@ def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
         part[owner[some], column[some] - low] = 1
         common += part @ part.T
     linked = 100 * common >= 75 * (sizes[:, None] + sizes[None, :] - common)
-    root = frame["root"].to_numpy()
     linked &= root[:, None] != root[None, :]
-    names, united, out = frame["name"].to_numpy(), {}, []
+    united, out = {}, []
 
     def find(x: int) -> int:
         while united.get(x, x) != x:
@@ -232,7 +240,8 @@ def _block_links(frame: pd.DataFrame) -> pd.DataFrame:
         if p != q:
             united[max(p, q)] = min(p, q)
             out.append((names[i], names[j]))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    a, b = np.array(out, np.int64).reshape(-1, 2).T
+    return pa.table([pa.array(a), pa.array(b)], schema=LINKS)
 
 
 def _with_root(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame:
@@ -282,21 +291,9 @@ def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made from the texts."""
-
-    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, size=1 << 19):
-            found, before = shingle_sets(part.column("text").to_pylist())
-            spans = list(zip(before.tolist(), before[1:].tolist()))
-            names = part.column("name").to_pylist()
-            keep = [j > i and set_name(found[i:j]) == name for (i, j), name in zip(spans, names)]  # not another text of the same id
-            yield pa.RecordBatch.from_arrays(
-                [part.column("task"), part.column("name"), part.column("root"), pa.array([found[i:j].tobytes() for i, j in spans], pa.binary())],
-                names=["task", "name", "root", "elements"]).filter(pa.array(keep, pa.bool_()))
-
+    """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made in the task, as texts move cheaper."""
     rows = _only(plain, wanted).join(wanted, "doc_id").select("text", "name", "root", "task")
-    sets = rows.mapInArrow(elements, "task long, name long, root long, elements binary")
-    return sets.groupBy("task").applyInPandas(_block_links, "a long, b long")
+    return rows.groupBy("task").applyInArrow(_block_links, "a long, b long")
 
 
 def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
