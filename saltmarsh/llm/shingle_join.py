@@ -151,7 +151,8 @@ def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by signature and name: those whose signature has two or more names, with the least name as leader.
 
-    The last group of a batch stays open; of a group of more than ``OPEN_ROWS`` rows only the leader is kept.
+    The last group of a batch stays open; once a group has more than ``OPEN_ROWS`` rows,
+    they go out, its leader among them, and only the leader is remembered.  No row comes out twice.
     """
     empty = np.zeros(0, np.int64)
     sig, name, leader = empty, empty, None  # open rows of one signature; its leader if rows of it are already out
@@ -327,9 +328,6 @@ def near_copies(docs: DataFrame) -> DataFrame:
     groups = stored(
         signed.repartition(partitions, "signature").sortWithinPartitions("signature", "name")
         .mapInArrow(_groups, "signature long, name long, leader long"), "signature-groups")
-    # The rows of a group leave out its leader where they were too many for one piece.
-    groups = groups.select("signature", "name", "leader").unionByName(
-        groups.select("signature", F.col("leader").alias("name"), "leader").distinct()).distinct()
     blocks = _blocks(groups)
     firsts = named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first"))
     ids = stored(firsts.join(blocks.select("name"), "name", "left_semi").select("name", F.col("first").alias("doc_id")), "ids")
