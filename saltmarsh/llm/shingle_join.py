@@ -301,6 +301,7 @@ def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
     """Tasks (``name``, ``root``, ``task``) of two blocks each with sets that share a signature and are in different components."""
     placed = _with_root(groups.select("signature", "name").join(blocks.select("name", "block"), "name"), roots, "name", "root")
     spread = placed.groupBy("signature", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    spread = spread.repartition("signature")  # one exchange for the three uses below
     span = spread.groupBy("signature").agg(F.min("low").alias("a"), F.max("high").alias("z"), F.count("*").alias("m")).where("a < z AND m > 1")
     spread = spread.join(span.select("signature"), "signature")
     other = spread.select("signature", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
