@@ -176,15 +176,14 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         new = np.concatenate([[last != (s[0], n[0])], (s[1:] != s[:-1]) | (n[1:] != n[:-1])])
         last = (s[-1], n[-1])
-        if leader is not None and s[0] != current:
-            leader = None  # the group whose rows are out has ended
         sig, name = np.concatenate([sig, s[new]]), np.concatenate([name, n[new]])
         current = s[-1]
+        if leader is not None and len(sig) and sig[0] != led:
+            leader = None  # the group whose rows are out has ended
         cut = np.searchsorted(sig, current) if len(sig) and sig[-1] == current else len(sig)
         if len(sig) - cut > OPEN_ROWS:
-            first = leader if cut == 0 else None
-            out = rows(sig, name, first)
-            leader = first if first is not None else int(name[cut])
+            out = rows(sig, name, leader)
+            leader, led = leader if leader is not None and cut == 0 else int(name[cut]), current
             sig, name = empty, empty
         else:
             out = rows(sig[:cut], name[:cut], leader if cut else None)

@@ -7,6 +7,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,22 @@ def test_similar_sets_share_a_signature():
                 assert one & two
 
 
+def test_groups_in_pieces(monkeypatch):
+    """Rows come out once each with the least name as leader, wherever batches end and however large a group is."""
+    monkeypatch.setattr(shingle_join, "OPEN_ROWS", 4)
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        rows = sorted((int(s), int(n)) for s, n in zip(rng.choice(4, 60, p=[.6, .2, .1, .1]), rng.integers(0, 40, 60)))
+        cuts = [0, *sorted(rng.integers(0, 61, 6).tolist()), 60]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows[i:j]], pa.int64()) for k in (0, 1)], names=["signature", "name"])
+                   for i, j in zip(cuts, cuts[1:])]
+        found = [tuple(r.values()) for b in shingle_join._groups(iter(batches)) for r in b.to_pylist()]
+        groups = {}
+        for s, n in set(rows):
+            groups.setdefault(s, set()).add(n)
+        assert sorted(found) == sorted((s, n, min(g)) for s, g in groups.items() if len(g) > 1 for n in g)
+
+
 def test_exact_copies(spark, docs, empty):
     found = exact_copies.label_copies(docs).collect()
     groups = collections.defaultdict(list)
