@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(
@@ -79,7 +80,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written once as a table in the shared folder and read from there."""
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The frame written once as a table in the shared folder and read from there.
+
+    The shuffle files of the write go when it has ended, as nothing reads them again.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
