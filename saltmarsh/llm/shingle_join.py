@@ -297,7 +297,10 @@ def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
-    """Tasks (``name``, ``root``, ``task``) of two blocks each with sets that share a signature and are in different components."""
+    """Tasks (``name``, ``root``, ``task``) of two blocks each: their sets that share a signature and are in different components.
+
+    Two sets to be linked are both in the group of a common signature, so the other sets of the blocks stay out.
+    """
     placed = _with_root(groups.select("signature", "name").join(blocks.select("name", "block"), "name"), roots, "name", "root")
     spread = placed.groupBy("signature", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     spread = spread.repartition("signature")  # one exchange for the three uses below
@@ -306,10 +309,9 @@ def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
     other = spread.select("signature", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     work = (
         spread.join(other, "signature").where("block < other AND NOT (low = high AND low2 = high2 AND low = low2)")
-        .select(F.col("block").alias("i"), F.col("other").alias("j")).distinct()
+        .select("signature", F.xxhash64("block", "other").alias("task"), F.explode(F.array("block", "other")).alias("block"))
     )
-    tasks = work.select(F.xxhash64("i", "j").alias("task"), F.explode(F.array("i", "j")).alias("block"))
-    return _with_root(tasks.join(blocks.select("name", "block"), "block"), roots, "name", "root").select("name", "root", "task")
+    return placed.join(work, ["signature", "block"]).select("name", "root", "task").distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
