@@ -14,9 +14,11 @@ non-empty parts sign with each shingle as well, so no link is lost.
 Equal sets are one set throughout, named by a 64-bit hash of the set; two given
 sets share a name or a shingle hash with a chance of about 2**-64.  Sets with a common signature are
 compared exactly, in blocks of bounded size: first inside the block that a set
-shares with the sets most like it, then, as links inside one component change
-nothing, only blocks with sets that share a signature and are still apart.  No
-pair of sets is written out unless it is linked.
+shares with the sets most like it.  Links inside one component change nothing,
+so after that only the groups of a signature with sets that are still apart are
+looked at: parity sketches, about one bit an element, bound the difference of
+two sets from below, and only the texts of pairs within the bound are compared.
+No pair of sets is written out unless it is linked.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ SAMPLE_DOCS = 16_384
 FREQUENT = 4
 BITS = 1 << 23
 OPEN_ROWS = 50_000
+GROUP = 2048
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -73,6 +76,17 @@ def set_name(found: np.ndarray) -> int:
     return int(mixed(np.array([mixed(found).sum(dtype=np.uint64) + np.uint64(len(found))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """One bit per cell of the domain: whether the set has an odd number of elements there.
+
+    Each element in which two sets differ flips one bit, so they differ in as many bits at most.  The
+    number of cells is a power of two above the set's size, and 64 at least; halves fold by exclusive or.
+    """
+    bits = max(64, 1 << len(found).bit_length())
+    cell = (mixed(found) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cell, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def parts_of(band: int) -> int:
     """Parts of the domain in the band of sizes 2**(band-1) to 2**band - 1: one per two elements, more for small sets."""
     return (1 << band) * (8 if band <= 4 else 2) if band <= 7 else 1 << (band - 1)
@@ -143,9 +157,10 @@ def _signer(frequent):
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, size=1 << 19):
         found, before = shingle_sets(part.column("text").to_pylist())
-        names = [set_name(found[i:j]) if j > i else None for i, j in zip(before, before[1:])]
+        sets = [found[i:j] for i, j in zip(before, before[1:])]
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(names, pa.int64()), pa.array(np.diff(before), pa.int64())], names=["doc_id", "name", "n"])
+            [part.column("doc_id"), pa.array([set_name(x) if len(x) else None for x in sets], pa.int64()), pa.array(np.diff(before), pa.int64()),
+             pa.array([sketch(x) if len(x) else None for x in sets], pa.binary())], names=["doc_id", "name", "n", "sketch"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,22 +311,92 @@ def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.groupBy("task").applyInArrow(_block_links, "a long, b long")
 
 
-def _apart(groups: DataFrame, blocks: DataFrame, roots: DataFrame) -> DataFrame:
-    """Tasks (``name``, ``root``, ``task``) of two blocks each: their sets that share a signature and are in different components.
+def near_pairs(root: np.ndarray, size: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets with different roots that may be similar: their sketches differ in at most a seventh of both sizes."""
+    width = np.array([len(x) for x in sketches])
+    first, second = [], []
+    for w in np.unique(width):
+        a, wide = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        x = np.frombuffer(b"".join(sketches[i] for i in a), np.uint64).reshape(len(a), w // 8)
+        y = np.frombuffer(b"".join(sketches[i] for i in wide), np.uint64).reshape(len(wide), 2, w // 8)
+        y = np.concatenate([x, y[:, 0] ^ y[:, 1]]) if len(wide) else x
+        b = np.concatenate([a, wide])
+        step = max(1, (1 << 20) // y.size)
+        for low in range(0, len(a), step):
+            some = a[low:low + step]
+            apart = np.bitwise_count(x[low:low + step, None] ^ y[None]).sum(axis=2, dtype=np.int64)
+            near = (7 * apart <= size[some][:, None] + size[b][None]) & (root[some][:, None] != root[b][None])
+            i, j = np.nonzero(near)
+            first.append(some[i])
+            second.append(b[j])
+    return np.concatenate(first), np.concatenate(second)
+
+
+def _pieces(names: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[np.ndarray]:
+    """The sets of each connected piece of the pairs, as positions."""
+    label = np.arange(len(names))
+    while True:
+        before = label.copy()
+        np.minimum.at(label, first, before[second])
+        np.minimum.at(label, second, before[first])
+        label = label[label]
+        if (label == before).all():
+            break
+    member = np.unique(np.concatenate([first, second]))
+    member = member[np.argsort(label[member], kind="stable")]
+    return np.split(member, np.flatnonzero(np.diff(label[member])) + 1) if len(member) else []
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by task: the sets that may be similar to one of another component, with their connected piece as task.
+
+    A piece is named by its members, so the same piece found by several signatures is one.
+    """
+
+    def look(rows: pa.Table, starts: np.ndarray, end: int) -> pa.RecordBatch:
+        names, root, size = (rows.column(c).to_numpy() for c in ("name", "root", "n"))
+        sketches = rows.column("sketch").to_pylist()
+        out, tasks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j in zip(starts, [*starts[1:], end]):
+            if (root[i:j] == root[i]).all():
+                continue
+            for piece in _pieces(names[i:j], *near_pairs(root[i:j], size[i:j], sketches[i:j])):
+                out.append(piece + i)
+                tasks.append(np.full(len(piece), set_name(np.sort(names[piece + i]).view(np.uint64)), np.int64))
+        at = np.concatenate(out)
+        return pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(root[at]), pa.array(np.concatenate(tasks))], names=["name", "root", "task"])
+
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        task = rows.column("task").to_numpy()
+        if not len(task):
+            continue
+        starts = np.flatnonzero(np.concatenate([[True], task[1:] != task[:-1]]))
+        held = rows.slice(starts[-1])
+        if len(starts) > 1:
+            yield look(rows, starts[:-1], starts[-1])
+    if held is not None and held.num_rows:
+        yield look(held, np.array([0]), held.num_rows)
+
+
+def _apart(groups: DataFrame, sketches: DataFrame, roots: DataFrame, partitions: int) -> DataFrame:
+    """Tasks (``name``, ``root``, ``task``) of sets in different components that share a signature and may be similar.
 
-    Two sets to be linked are both in the group of a common signature, so the other sets of the blocks stay out.
+    Signatures with the same members are looked at once.  A group of more than ``GROUP`` sets is dealt to
+    parts by name, and every two of its parts meet.
     """
-    placed = _with_root(groups.select("signature", "name").join(blocks.select("name", "block"), "name"), roots, "name", "root")
-    spread = placed.groupBy("signature", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    spread = spread.repartition("signature")  # one exchange for the three uses below
-    span = spread.groupBy("signature").agg(F.min("low").alias("a"), F.max("high").alias("z"), F.count("*").alias("m")).where("a < z AND m > 1")
-    spread = spread.join(span.select("signature"), "signature")
-    other = spread.select("signature", F.col("block").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    work = (
-        spread.join(other, "signature").where("block < other AND NOT (low = high AND low2 = high2 AND low = low2)")
-        .select("signature", F.xxhash64("block", "other").alias("task"), F.explode(F.array("block", "other")).alias("block"))
-    )
-    return placed.join(work, ["signature", "block"]).select("name", "root", "task").distinct()
+    placed = _with_root(groups.select("signature", "name"), roots, "name", "root")
+    span = placed.groupBy("signature").agg(
+        F.min("root").alias("a"), F.max("root").alias("z"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("name")).alias("members"))
+    once = span.where("a < z").groupBy("members", "m").agg(F.min("signature").alias("signature"))
+    rows = placed.join(once.select("signature", F.ceil(F.col("m") / GROUP).alias("parts")), "signature")
+    own = F.pmod(F.xxhash64("name"), "parts")
+    task = F.when(F.col("parts") == 1, F.col("signature")).otherwise(F.xxhash64("signature", F.least(own, "other"), F.greatest(own, "other")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("name", "root", task.alias("task"))
+    rows = rows.join(sketches.select("name", "n", "sketch"), "name").select("task", "name", "root", "n", "sketch")
+    return rows.repartition(partitions, "task").sortWithinPartitions("task").mapInArrow(_near, "name long, root long, task long").distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -323,7 +408,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     An empty table gives no rows; other columns are not read.
     """
     plain = texts(docs)
-    named = stored(plain.mapInArrow(_name, "doc_id long, name long, n long"), "set-names")
+    named = stored(plain.mapInArrow(_name, "doc_id long, name long, n long, sketch binary"), "set-names")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(plain))
     signed = plain.mapInArrow(_signer(frequent), "signature long, name long")
@@ -332,13 +417,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
         .mapInArrow(_groups, "signature long, name long, leader long"), "signature-groups")
     blocks = _blocks(groups)
     firsts = named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first"))
-    ids = stored(firsts.join(blocks.select("name"), "name", "left_semi").select("name", F.col("first").alias("doc_id")), "ids")
+    sketches = named.join(blocks.select("name"), "name", "left_semi").groupBy("name").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    sketches = stored(sketches, "sketches")
+    ids = sketches.select("name", "doc_id")
     inside = blocks.select("name", F.col("block").alias("task")).unionByName(
         blocks.select(F.col("home").alias("name"), F.col("block").alias("task"))).distinct()
     inside = stored(inside.join(ids, "name").withColumn("root", F.col("name")), "inside")
     links = stored(_compared(plain, inside), "links")
     roots = components(links)
-    across = stored(_apart(groups, blocks, roots).join(ids, "name"), "across")
+    across = stored(_apart(groups, sketches, roots, partitions).join(ids, "name"), "across")
     links = stored(links.unionByName(_compared(plain, across)), "links")
     roots = components(links)
     least = _with_root(firsts, roots, "name", "root")

@@ -310,3 +310,33 @@ def test_pipeline(spark, tmp_path):
     spark.createDataFrame([(k, 1, 0) for k in range(20)] + [(102, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in found} == set(range(20))
+
+
+def test_sketches_never_hide_a_similar_pair():
+    random = np.random.default_rng(5)
+    for n in (1, 3, 30, 63, 64, 120, 128, 700, 1000):
+        base = np.unique(random.integers(0, 1 << 63, n, dtype=np.uint64))
+        for change in (0, n // 20, n // 8, n // 7):
+            other = np.unique(np.concatenate([base[change:], random.integers(0, 1 << 63, change + n // 16, dtype=np.uint64)]))
+            common = len(np.intersect1d(base, other))
+            near = shingle_join.near_pairs(
+                np.array([1, 2]), np.array([len(base), len(other)]), [shingle_join.sketch(base), shingle_join.sketch(other)])
+            if shingle_join.similar(common, len(base), len(other)):
+                assert len(near[0])
+    far = [shingle_join.sketch(np.unique(random.integers(0, 1 << 63, 900, dtype=np.uint64))) for _ in range(20)]
+    assert not len(shingle_join.near_pairs(np.arange(20), np.full(20, 900), far)[0])
+
+
+def test_pieces_are_the_same_over_any_batches():
+    random = np.random.default_rng(6)
+    sets = [np.unique(random.integers(0, 1 << 63, 200, dtype=np.uint64)) for _ in range(6)]
+    sets += [x[:-4] for x in sets[:3]]
+    rows = [(task, k, k, len(sets[k]), shingle_join.sketch(sets[k])) for task in range(5) for k in range(9)]
+    schema = pa.schema([("task", pa.int64()), ("name", pa.int64()), ("root", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    seen = []
+    for size in (1, 7, 100):
+        out = pa.Table.from_batches(list(shingle_join._near(iter(table.to_batches(max_chunksize=size)))))
+        seen.append({tuple(r.values()) for r in out.to_pylist()})
+        assert sorted({r[0] for r in seen[-1]}) == [0, 1, 2, 6, 7, 8] and len(seen[-1]) == 6
+    assert seen[0] == seen[1] == seen[2]
