@@ -41,6 +41,7 @@ FREQUENT = 4
 BITS = 1 << 23
 OPEN_ROWS = 50_000
 GROUP = 2048
+TASK = 512
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -350,21 +351,24 @@ def _pieces(names: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[np
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by task: the sets that may be similar to one of another component, with their connected piece as task.
 
-    A piece is named by its members, so the same piece found by several signatures is one.
+    A piece is named by its members, so the same piece found by several signatures is one; ``low`` is its least name.
     """
 
     def look(rows: pa.Table, starts: np.ndarray, end: int) -> pa.RecordBatch:
         names, root, size = (rows.column(c).to_numpy() for c in ("name", "root", "n"))
         sketches = rows.column("sketch").to_pylist()
-        out, tasks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out, tasks, low = ([np.zeros(0, np.int64)] for _ in range(3))
         for i, j in zip(starts, [*starts[1:], end]):
             if (root[i:j] == root[i]).all():
                 continue
             for piece in _pieces(names[i:j], *near_pairs(root[i:j], size[i:j], sketches[i:j])):
                 out.append(piece + i)
+                low.append(np.full(len(piece), names[piece + i].min()))
                 tasks.append(np.full(len(piece), set_name(np.sort(names[piece + i]).view(np.uint64)), np.int64))
         at = np.concatenate(out)
-        return pa.RecordBatch.from_arrays([pa.array(names[at]), pa.array(root[at]), pa.array(np.concatenate(tasks))], names=["name", "root", "task"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names[at]), pa.array(root[at]), pa.array(np.concatenate(tasks)), pa.array(np.concatenate(low))],
+            names=["name", "root", "task", "low"])
 
     held = None
     for batch in batches:
@@ -385,7 +389,8 @@ def _apart(groups: DataFrame, sketches: DataFrame, roots: DataFrame, partitions:
     """Tasks (``name``, ``root``, ``task``) of sets in different components that share a signature and may be similar.
 
     Signatures with the same members are looked at once.  A group of more than ``GROUP`` sets is dealt to
-    parts by name, and every two of its parts meet.
+    parts by name, and every two of its parts meet.  Pieces with the same least set overlap in most of their sets
+    and are one task, unless that would have more than ``TASK`` sets: then each piece is its own.
     """
     placed = _with_root(groups.select("signature", "name"), roots, "name", "root")
     span = placed.groupBy("signature").agg(
@@ -396,7 +401,11 @@ def _apart(groups: DataFrame, sketches: DataFrame, roots: DataFrame, partitions:
     task = F.when(F.col("parts") == 1, F.col("signature")).otherwise(F.xxhash64("signature", F.least(own, "other"), F.greatest(own, "other")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("name", "root", task.alias("task"))
     rows = rows.join(sketches.select("name", "n", "sketch"), "name").select("task", "name", "root", "n", "sketch")
-    return rows.repartition(partitions, "task").sortWithinPartitions("task").mapInArrow(_near, "name long, root long, task long").distinct()
+    rows = rows.repartition(partitions, "task").sortWithinPartitions("task")
+    pieces = stored(rows.mapInArrow(_near, "name long, root long, task long, low long").distinct(), "pieces")
+    joint = pieces.select("low", "name").distinct().groupBy("low").agg(F.count("*").alias("m")).where(F.col("m") <= TASK)
+    task = F.when(F.col("m").isNotNull(), F.xxhash64("low")).otherwise(F.col("task"))
+    return pieces.join(joint, "low", "left").select("name", "root", task.alias("task")).distinct()
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
