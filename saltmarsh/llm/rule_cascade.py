@@ -119,6 +119,19 @@ def order_rules(sample: list[str | None], rules: list[Rule]) -> list[Rule]:
     return sorted(rules, key=lambda r: -rate[r.name]) if rows else list(rules)
 
 
+def cost_sample(plain: DataFrame, rows: int) -> list[str]:
+    """Texts of the ``rows`` documents with the smallest hash of the id, for the cost of the rules only.
+
+    The hashes alone are ranked, so no more than ``rows`` texts leave the tasks, however many tasks there are.
+    """
+    key = F.xxhash64("doc_id")
+    last = plain.select(key.alias("key")).orderBy("key").limit(rows).agg(F.max("key")).first()[0]
+    if last is None:
+        return []
+    sample = plain.where(key <= last).select(F.substring("text", 1, 20_000).alias("text")).limit(rows)
+    return [r["text"] for r in sample.collect()]
+
+
 def judge(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row: ``doc_id``, the base figures, ``base_failed`` and ``kept``.
 
@@ -128,8 +141,7 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = S
     gives no rows, and other columns are not read.
     """
     plain = texts(docs)
-    sample = plain.orderBy(F.xxhash64("doc_id")).limit(sample_rows).select(F.substring("text", 1, 20_000).alias("text"))
-    ordered = order_rules([r["text"] for r in sample.collect()], rules or RULES)
+    ordered = order_rules(cost_sample(plain, sample_rows), rules or RULES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -150,8 +162,7 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = S
 
 def keep_good(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that pass the base rule and all rules of the cascade, with all their columns."""
-    sample = texts(docs).orderBy(F.xxhash64("doc_id")).limit(sample_rows).select(F.substring("text", 1, 20_000).alias("text"))
-    ordered = order_rules([r["text"] for r in sample.collect()], rules or RULES)
+    ordered = order_rules(cost_sample(texts(docs), sample_rows), rules or RULES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
