@@ -19,7 +19,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, group: str, offs
         .option("subscribe", topic)
         .option("kafka.group.id", group)
         .option("startingOffsets", offset)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", "true")
     )
     if rows_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", rows_per_trigger)
