@@ -1,17 +1,21 @@
 """Language-model scores by stupid backoff over tokens of a public vocabulary.
 
-The score of a token after another is count(pair) / count(first) if the pair
-occurs at least ``MIN_COUNT`` times in the corpus, else ``BACKOFF`` times the
-share of the token among all tokens.  Pairs are counted over all documents
-into a table that is partitioned by a hash of the pair.  Then the pairs of all
-documents are dealt by the same hash and meet the table there; partial sums of
-log scores go back to their documents.
-
-Pairs travel as sorted arrays, one row per slice of documents and hash bucket,
-so a frequent pair is one entry per slice in the counting step and one entry
-per document in the scoring step.  Both steps stream over their rows: memory
-holds the distinct pairs of one bucket, never the rows of a frequent pair.
-What is sent to all tasks is one number per token of the vocabulary.
+The score of a token after its context is count(n-gram) / count(context) if the
+n-gram occurs at least ``MIN_COUNT`` times in the corpus, else ``BACKOFF`` times
+the score after the context without its first token; without context it is the
+share of the token among all tokens.  The order is the number of tokens of an
+n-gram.  N-grams are counted over all documents into a table that is
+partitioned by a hash of the n-gram, and each gets its score there: a rare one
+joins the pair it ends in, a frequent one the pair it starts with.  Then the
+n-grams of all documents are dealt by the same hash and meet the table there;
+partial sums of log scores go back to their documents.
+
+N-grams travel as sorted arrays, one row per slice of documents and hash bucket,
+so a frequent n-gram is one entry per slice in the counting step.  The most
+frequent ones, at most ``HEAVY`` whatever the corpus, are known to all tasks and
+are not sent in the scoring step.  Both steps stream over their rows: memory
+holds the distinct n-grams of one bucket, never the rows of a frequent one.
+What else is sent to all tasks is one number per token of the vocabulary.
 """
 
 from __future__ import annotations
@@ -30,8 +34,9 @@ from saltmarsh.session import stored
 
 BACKOFF = 0.4
 MIN_COUNT = 2
-FLUSH_PAIRS = 1 << 20
-SLICE_BYTES = 2 << 20
+HEAVY = 1 << 21
+FLUSH_GRAMS = 1 << 19
+SLICE_BYTES = 1 << 20
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -44,17 +49,24 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.cumsum(bytes_.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _pairs(batch: pa.RecordBatch, tokenizer: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pair keys of all texts in a row, the text each belongs to, and the number of tokens per text.
+def _grams(batch: pa.RecordBatch, tokenizer: str, size: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the n-grams of all texts in a row, the text each belongs to, and the number of tokens per text.
 
-    ``size`` is the number of tokens; the context of a first token is the number ``size`` itself.
+    There is one n-gram per token, the token and the ``order - 1`` before it, as digits of a number of base
+    ``size + 1``.  ``size`` is the number of tokens; before the first token the context is the number ``size`` itself.
     """
     ids, before = encoder(tokenizer).encode(batch.column("text").to_pylist())
     lengths = np.diff(before)
-    context = np.empty(len(ids), np.uint64)
-    context[1:] = ids[:-1]
-    context[before[:-1][lengths > 0]] = size
-    return context * np.uint64(size + 1) + ids.astype(np.uint64), np.repeat(np.arange(len(lengths)), lengths), lengths
+    base = np.uint64(size + 1)
+    ids = ids.astype(np.uint64)
+    place = np.arange(len(ids)) - np.repeat(before[:-1], lengths)
+    keys = np.zeros(len(ids), np.uint64)
+    for back in range(order - 1, -1, -1):
+        token = np.full(len(ids), size, np.uint64)
+        token[back:] = ids[:len(ids) - back]
+        token[place < back] = size
+        keys = keys * base + token
+    return keys, np.repeat(np.arange(len(lengths)), lengths), lengths
 
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -80,8 +92,8 @@ def _rows(items: list[tuple]) -> pa.RecordBatch:
         [pa.array(bucket, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["bucket", "keys", "counts"])
 
 
-def pair_counts(plain: DataFrame, tokenizer: str, size: int, buckets: int, partitions: int) -> DataFrame:
-    """The count table: one row per bucket with its distinct pairs, sorted, and their counts over all documents."""
+def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets: int, partitions: int) -> DataFrame:
+    """The count table: one row per bucket with its distinct n-grams, sorted, and their counts over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -90,9 +102,9 @@ def pair_counts(plain: DataFrame, tokenizer: str, size: int, buckets: int, parti
             return _rows([(b, _planes(held[at]), held_counts[at].astype("<i8").tobytes()) for b, at in _by_bucket(held, buckets)])
 
         for part in slices(batches, rows=4096, size=SLICE_BYTES):
-            keys, _, _ = _pairs(part, tokenizer, size)
+            keys, _, _ = _grams(part, tokenizer, size, order)
             held, held_counts = _merge(np.concatenate([held, keys]), np.concatenate([held_counts, np.ones(len(keys), np.int64)]))
-            if len(held) > FLUSH_PAIRS:
+            if len(held) > FLUSH_GRAMS:
                 yield out()
                 held, held_counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if len(held):
@@ -116,15 +128,16 @@ def pair_counts(plain: DataFrame, tokenizer: str, size: int, buckets: int, parti
 
 
 def token_counts(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often each token (and the start) is a context, and how often each token occurs; as many numbers as the vocabulary has."""
+    """How often each token (and the start) is the last of a context, and how often each token occurs; as many numbers as the vocabulary has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, token = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
+        base = np.uint64(size + 1)
         for batch in batches:
             for i in range(batch.num_rows):
                 keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
-                np.add.at(context, (keys // np.uint64(size + 1)).astype(np.int64), counts)
-                np.add.at(token, (keys % np.uint64(size + 1)).astype(np.int64), counts)
+                np.add.at(context, (keys // base % base).astype(np.int64), counts)
+                np.add.at(token, (keys % base).astype(np.int64), counts)
         seen = np.flatnonzero(context + token)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(context[seen]), pa.array(token[seen])], names=["token", "context", "n"])
 
@@ -135,62 +148,188 @@ def token_counts(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return context, token
 
 
-def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> DataFrame:
+def _pair_value(keys: np.ndarray, counts: np.ndarray, size: int, numbers: tuple[np.ndarray, np.ndarray], min_count: int) -> np.ndarray:
+    """Log scores of pairs; ``numbers`` are logs of context counts, and of the shares of tokens after one step of backoff."""
+    contexts, tokens = numbers
+    base = np.uint64(size + 1)
+    return np.where(counts >= min_count, np.log(counts) - contexts[(keys // base).astype(np.int64)], tokens[(keys % base).astype(np.int64)])
+
+
+def _pair_scores(table: DataFrame, size: int, numbers, min_count: int) -> DataFrame:
+    """The count table of pairs with a log score and a mark of backoff for each pair."""
+
+    def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                raw, counts = batch.column("keys")[i].as_py(), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                found = _pair_value(_unplanes(raw), counts, size, numbers.value, min_count)
+                yield _rows([(batch.column("bucket")[i].as_py(), raw, found.tobytes() + (counts < min_count).tobytes())])
+
+    return table.mapInArrow(value, "bucket int, keys binary, counts binary").withColumnRenamed("counts", "scores")
+
+
+def _triple_scores(table: DataFrame, size: int, numbers, min_count: int, backoff: float, buckets: int, partitions: int) -> DataFrame:
+    """The count table of triples with a log score and a mark of backoff for each triple.
+
+    A triple of at least ``min_count`` joins the count of its first two tokens as a context, any other one
+    joins the score of its last two, so each is in one join row.  A pair has at most as many triples as
+    the vocabulary has tokens.
+    """
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = np.uint64(size + 1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                for first, pair in ((True, keys // base), (False, keys % (base * base))):
+                    pair, n = _merge(pair, counts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(pair), first)), pa.array(pair.astype(np.int64)), pa.array(n)], names=["first", "pair", "n"])
+
+    def lower(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, pair, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+            value = np.log(backoff) + _pair_value(pair.astype(np.uint64), n, size, numbers.value, min_count)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first), pa.array(pair), pa.array(np.where(first, -np.log(n), value))], names=["first", "pair", "part"])
+
+    def triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = np.uint64(size + 1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                first = counts >= min_count
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first), pa.array(np.where(first, keys // base, keys % (base * base)).astype(np.int64)),
+                     pa.array(np.full(len(keys), batch.column("bucket")[i].as_py(), np.int32)), pa.array(keys.astype(np.int64)), pa.array(counts)],
+                    names=["first", "pair", "bucket", "key", "n"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def out(rows: pa.Table) -> pa.RecordBatch:
+            keys, value = rows.column("key").to_numpy().astype(np.uint64), rows.column("value").to_numpy()
+            missed = ~rows.column("first").to_numpy()
+            return _rows([(rows.column("bucket")[0].as_py(), _planes(keys), value.tobytes() + missed.tobytes())])
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            bucket = rows.column("bucket").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            for i, j in zip(cuts[:-2], cuts[1:-1]):
+                yield out(rows.slice(i, j - i))
+            held = rows.slice(cuts[-2]) if len(bucket) else None
+        if held is not None:
+            yield out(held)
+
+    sums = table.mapInArrow(pairs, "first boolean, pair long, n long").groupBy("first", "pair").agg(F.sum("n").alias("n"))
+    known = sums.mapInArrow(lower, "first boolean, pair long, part double")
+    rows = table.mapInArrow(triples, "first boolean, pair long, bucket int, key long, n long").join(known, ["first", "pair"])
+    value = F.when(F.col("first"), F.ln("n") + F.col("part")).otherwise(F.col("part"))
+    dealt = rows.select("bucket", "key", value.alias("value"), "first").repartition(partitions, "bucket").sortWithinPartitions("bucket", "key")
+    return dealt.mapInArrow(pack, "bucket int, keys binary, counts binary").withColumnRenamed("counts", "scores")
+
+
+def heavy_scores(counts: DataFrame, scored: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """N-grams of at least ``least`` occurrences: sorted keys, log scores and marks of backoff."""
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, n = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([keys[n >= least].tobytes()], pa.binary())], names=["keys"])
+
+    # at most HEAVY keys in all
+    wanted = np.frombuffer(b"".join(r[0] for r in counts.mapInArrow(often, "keys binary").collect()), np.uint64)
+    wanted = counts.sparkSession.sparkContext.broadcast(np.sort(wanted))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, scores = _unplanes(batch.column("keys")[i].as_py()), batch.column("scores")[i].as_py()
+                value, missed = np.frombuffer(scores, "<f8", len(keys)), np.frombuffer(scores, "?", len(keys), 8 * len(keys))
+                at = np.flatnonzero(np.isin(keys, wanted.value))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.tobytes()], pa.binary()) for x in (keys[at], value[at], missed[at])], names=["keys", "value", "missed"])
+
+    found = scored.mapInArrow(pick, "keys binary, value binary, missed binary").collect()
+    keys, value, missed = (np.frombuffer(b"".join(r[k] for r in found), kind) for k, kind in enumerate((np.uint64, "<f8", "?")))
+    by_key = np.argsort(keys)
+    return keys[by_key], value[by_key], missed[by_key]
+
+
+def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count: int = MIN_COUNT, order: int = 2) -> DataFrame:
     """Per row: ``doc_id``, ``n_tokens``, ``n_backed_off``, ``log_prob`` (sum of natural logs) and ``mean_log_prob``.
 
-    The counts are those of all documents.  Texts without a token (null, empty)
+    The counts are those of all documents.  ``order`` is 2 or 3; ``n_backed_off`` are the tokens whose
+    whole n-gram is too rare.  Texts without a token (null, empty)
     have the sum 0 and a null mean.  Equal texts get equal scores, rows with
     the same id are documents of their own, an empty table gives no rows, and
     other columns are not read.
     """
+    if order not in (2, 3):
+        raise ValueError(f"order {order} is neither 2 nor 3")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = 2 * partitions
     size = encoder(tokenizer).library.get_vocab_size()
     plain = texts(docs)
-    table = stored(pair_counts(plain, tokenizer, size, buckets, partitions), "pair-counts")
-    context, token = token_counts(table, size)
+    counts = stored(gram_counts(plain, tokenizer, size, order, buckets, partitions), "gram-counts")
+    context, token = token_counts(counts, size)
+    total = int(token.sum())
     log_context = np.log(np.maximum(context, 1))
-    log_token = np.log(backoff) + np.log(np.maximum(token, 1)) - np.log(max(int(token.sum()), 1))
+    log_token = np.log(backoff) + np.log(np.maximum(token, 1)) - np.log(max(total, 1))
     numbers = spark.sparkContext.broadcast((log_context, log_token))
+    if order == 2:
+        table = _pair_scores(counts, size, numbers, min_count)
+    else:
+        table = _triple_scores(counts, size, numbers, min_count, backoff, buckets, partitions)
+    table = stored(table, "gram-scores")
+    heavy = spark.sparkContext.broadcast(heavy_scores(counts, table, max(min_count, total // HEAVY + 1)))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_value, known_missed = heavy.value
         for part in slices(batches, rows=4096, size=SLICE_BYTES):
-            keys, owner, lengths = _pairs(part, tokenizer, size)
-            order = np.lexsort((owner, keys))
-            keys, owner = keys[order], owner[order].astype(np.uint16)
+            keys, owner, lengths = _grams(part, tokenizer, size, order)
+            sums, missed = np.zeros(len(lengths)), np.zeros(len(lengths), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                here = known[at] == keys
+                sums += np.bincount(owner[here], known_value[at[here]], len(lengths))
+                missed += np.bincount(owner[here], known_missed[at[here]], len(lengths)).astype(np.int64)
+                keys, owner = keys[~here], owner[~here]
+            by_key = np.lexsort((owner, keys))
+            keys, owner = keys[by_key], owner[by_key].astype(np.uint16)
             slice_id = part.column("row")[0].as_py()
             rows = [(b, slice_id, _planes(keys[at]), owner[at].tobytes()) for b, at in _by_bucket(keys, buckets)]
-            # The documents themselves, with their number of tokens.
+            # The documents themselves, with their number of tokens and the sums of their most frequent n-grams.
             rows.append((-1, slice_id, np.array(part.column("doc_id").fill_null(0), "<i8").tobytes() +
-                         np.array(part.column("doc_id").is_null()).astype("u1").tobytes(), lengths.astype("<i8").tobytes()))
+                         np.array(part.column("doc_id").is_null()).astype("u1").tobytes(),
+                         lengths.astype("<i8").tobytes() + sums.astype("<f8").tobytes() + missed.astype("<i8").tobytes()))
             bucket, ids, keys_, owners = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket, pa.int32()), pa.array(ids, pa.int64()), pa.array(keys_, pa.binary()), pa.array(owners, pa.binary())],
                 names=["bucket", "slice", "keys", "values"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts, tokens = numbers.value
-        here, value, seen = None, None, None
+        here, value, missing = None, None, None
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
                 bucket, slice_id, raw, values = (batch.column(c)[i].as_py() for c in ("bucket", "slice", "keys", "values"))
                 if bucket < 0:
                     out.append((slice_id, None, raw, values))
-                elif slice_id is None:  # the count table of the bucket comes first
-                    here, counts = _unplanes(raw), np.frombuffer(values, "<i8")
-                    seen = counts >= min_count
-                    value = np.where(
-                        seen, np.log(counts) - contexts[(here // np.uint64(size + 1)).astype(np.int64)],
-                        tokens[(here % np.uint64(size + 1)).astype(np.int64)])
+                elif slice_id is None:  # the table of the bucket comes first
+                    here = _unplanes(raw)
+                    value, missing = np.frombuffer(values, "<f8", len(here)), np.frombuffer(values, "?", len(here), 8 * len(here))
                 else:
                     at = np.searchsorted(here, _unplanes(raw))
                     owner = np.frombuffer(values, np.uint16)
                     docs_here = np.unique(owner)
                     place = np.searchsorted(docs_here, owner)
                     sums = np.bincount(place, value[at], len(docs_here))
-                    missed = np.bincount(place, ~seen[at], len(docs_here)).astype("<i8")
+                    missed = np.bincount(place, missing[at], len(docs_here)).astype("<i8")
                     out.append((slice_id, docs_here.tobytes(), sums.astype("<f8").tobytes(), missed.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -200,9 +339,9 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         """All partial sums of one slice of documents."""
         head = frame[frame["docs"].isnull()].iloc[0]
-        lengths = np.frombuffer(head["missed"], "<i8")
-        n = len(lengths)
-        total, missed = np.zeros(n), np.zeros(n, np.int64)
+        n = len(head["missed"]) // 24
+        lengths = np.frombuffer(head["missed"], "<i8", n)
+        total, missed = np.frombuffer(head["missed"], "<f8", n, 8 * n).copy(), np.frombuffer(head["missed"], "<i8", n, 16 * n).copy()
         for row in frame[frame["docs"].notnull()].sort_values(["docs", "sums"]).itertuples():
             docs_here = np.frombuffer(row.docs, np.uint16)
             total[docs_here] += np.frombuffer(row.sums, "<f8")
@@ -211,7 +350,7 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
         ids[np.frombuffer(head["sums"][8 * n:], "u1") > 0] = pd.NA
         return pd.DataFrame({"doc_id": ids, "n_tokens": lengths, "n_backed_off": missed, "log_prob": total})
 
-    tables = table.select("bucket", F.lit(None).cast("long").alias("slice"), "keys", F.col("counts").alias("values"))
+    tables = table.select("bucket", F.lit(None).cast("long").alias("slice"), "keys", F.col("scores").alias("values"))
     exploded = plain.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         explode, "bucket int, slice long, keys binary, values binary")
     met = (

@@ -132,4 +132,4 @@ def op2_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_stupid_backoff")
 def op5_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    return backoff.score(documents(spark, folder), vocabulary_path(WORDS))
+    return backoff.score(documents(spark, folder), vocabulary_path(WORDS), order=3)

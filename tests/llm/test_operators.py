@@ -236,6 +236,35 @@ def test_backoff(docs, empty, library):
     assert backoff.score(empty, vocabulary_path("word_bpe_49k.json")).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [1, 1 << 21])
+def test_backoff_counts_longer_contexts(spark, library, monkeypatch, tmp_path, heavy):
+    """The registered query has triples, backing off to pairs and then to tokens, by either way of meeting the table."""
+    monkeypatch.setattr(backoff, "HEAVY", heavy)
+    extra = [(20, "red fox runs far"), (21, "red fox runs home"), (22, "grey fox runs off"), (23, "one fox runs far off")]
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in [*_texts(), *extra]], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.ENTRIES["op5_stupid_backoff"].run(spark, str(tmp_path)).collect()
+    ids = [(i, library.encode(t or "", add_special_tokens=False).ids) for i, t in [*_texts(), *extra]]
+    grams, contexts = collections.Counter(), collections.Counter()
+    for _, v in ids:
+        padded = [-1, -1, *v]
+        for k in range(2, len(padded)):
+            for n in (1, 2, 3):
+                grams[tuple(padded[k + 1 - n:k + 1])] += 1
+                contexts[tuple(padded[k + 1 - n:k])] += 1
+
+    def log_score(g):
+        if len(g) == 1:
+            return math.log(grams[g] / contexts[()])
+        return math.log(grams[g] / contexts[g[:-1]]) if grams[g] >= 2 else math.log(0.4) + log_score(g[1:])
+
+    expected = []
+    for i, v in ids:
+        all_grams = [tuple(([-1, -1, *v])[k:k + 3]) for k in range(len(v))]
+        expected.append((str(i), len(v), sum(grams[g] < 2 for g in all_grams), round(sum(map(log_score, all_grams)), 3) + 0.0))
+    assert sorted((str(r.doc_id), r.n_tokens, r.n_backed_off, round(r.log_prob, 3) + 0.0) for r in found) == sorted(expected)
+
+
 def test_url_reputation(spark):
     urls = ["http://A.example.org/es/1?x", "https://example.org/en/12#y", "http://x.com/de/", "http://x.com/en/1", "http://y.com/fr/a", "http://y.com/en",
             "http://Z.co.uk:80/a?b", None, "", "no scheme", "http://org/", "http://org", "http://notorg/fr/", "a://b://c/d"] + ["http://bad.com/de/1"] * 30 + ["http://bad.com/en/2"]
