@@ -107,6 +107,14 @@ def w01_category(spark, sf):
     return b.category_dimension(_products(spark, sf)).drop("category_id")
 
 
+@query("w01_category_ids", """
+SELECT md5(category_name) AS category_id, category_name, '0' AS parent_id, 1 AS level, 1 AS is_leaf FROM (SELECT DISTINCT p_type AS category_name FROM part)
+""")
+def w01_category_ids(spark, sf):
+    """The whole dimension; the SQL of the query above has no id."""
+    return b.category_dimension(_products(spark, sf))
+
+
 EFFICIENCY = """
 eff AS (
   SELECT product_id, coalesce(view_count, 0) AS view_count, coalesce(visitor_count, 0) AS visitor_count, coalesce(collect_count, 0) AS collect_count,

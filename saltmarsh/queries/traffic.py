@@ -579,7 +579,7 @@ def _order_rows(spark, sf):
 
 def _sku_names(spark, sf):
     p = F.col("p_partkey")
-    return a.table(spark, sf, "part").filter(p < 200).select(
+    return a.table(spark, sf, "part").select(
         p.alias("sku_id"), _pick(BRANDS, p % 7).alias("tname"), _pick(CATEGORIES, p % 5).alias("b1_name")
     )
 
@@ -636,6 +636,28 @@ def t14(spark, sf):
     return out.select("order_id", "spending_pow", *[profile.band_column(f, b) for f in _ORDER_F for b in _B])
 
 
+LINE_PROFILE = f"""
+prof AS (SELECT l_orderkey * 10 + l_linenumber AS order_id, l_partkey AS sku_id, {SLOT.replace("o_orderkey", "l_orderkey")} AS slot,
+  CASE WHEN round(l_extendedprice / 100, 2) < 1000 THEN '低消费' WHEN round(l_extendedprice / 100, 2) < 4000 THEN '中消费' ELSE '高消费' END AS spending_pow,
+  {_sql_list(BRANDS)}[p_partkey % 7 + 1] AS tname, {_sql_list(CATEGORIES)}[p_partkey % 5 + 1] AS b1_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
+
+
+@query("t14_line_scores", with_(LINE_PROFILE, *[_weights_sql(f) for f in _ORDER_F]) + "SELECT order_id, sku_id, spending_pow, " + ", ".join(
+    f"CAST(CASE WHEN {FACTOR_COLUMNS[f]} IS NULL THEN 0 ELSE {_points_sql([f], i)} END AS DOUBLE) AS {profile.band_column(f, b)}" for f in _ORDER_F for i, b in enumerate(_B)
+) + " FROM prof " + " ".join(
+    f"LEFT JOIN w_{f} j_{f} ON {FACTOR_COLUMNS[f]} = j_{f}.v AND j_{f}.v <> '*' LEFT JOIN (SELECT * FROM w_{f} WHERE v = '*') d_{f} ON true" for f in _ORDER_F))
+def t14_lines(spark, sf):
+    """Order lines with their own part, so the join grows with both tables."""
+    k = F.col("l_orderkey")
+    lines = a.table(spark, sf, "lineitem").select(
+        (k * 10 + F.col("l_linenumber")).alias("order_id"), F.col("l_partkey").alias("sku_id"),
+        F.timestamp_seconds(F.unix_timestamp(a.day("2001-01-01").cast("timestamp")) + (k % 24) * 3600).alias("pay_time"),
+        (F.col("l_extendedprice") / 100).cast("decimal(16,2)").alias("total_amount"),
+    )
+    out = profile.order_scores(lines, profile.weight_table(spark), _sku_names(spark, sf))
+    return out.select("order_id", "sku_id", "spending_pow", *[profile.band_column(f, b) for f in _ORDER_F for b in _B])
+
+
 def _scored(spark, sf):
     w = profile.weight_table(spark)
     rows = profile.order_scores(_order_rows(spark, sf), w, _sku_names(spark, sf))

@@ -160,3 +160,20 @@ def test_user_activity_and_value(spark):
                                   "user_id string, dt date, page_type string, page_count int")
     got = rows(boards.user_activity(pages, as_date("2024-01-30")))
     assert got == [("u", 2, 0.2857, 1.3333)]
+
+
+def test_category_ids_do_not_collide(spark):
+    from saltmarsh.plans import boards
+
+    products = spark.range(20_000).select(F.col("id").alias("product_id"), F.concat(F.lit("category "), F.col("id")).alias("category_name"))
+    assert boards.category_dimension(products).select("category_id").distinct().count() == 20_000
+
+
+def test_sku_names_cover_the_whole_part_table(spark, tmp_path):
+    from saltmarsh.queries import traffic
+
+    spark.range(1000).select(
+        F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"), F.lit(1).alias("p_size"),
+        F.lit(1.0).alias("p_retailprice"),
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    assert traffic._sku_names(spark, str(tmp_path)).count() == 1000
