@@ -231,9 +231,13 @@ def stream_snapshot(spark, sf):
     return out.agg(F.count(F.when(~F.col("completed"), 1)).alias("passed"), F.count(F.when(F.col("completed"), 1)).alias("marks"))
 
 
-@query("stream_approximate_dedupe")
-def stream_bloom(spark, sf):
-    """Opt-in filter with bounded memory; a small share of new rows may be lost."""
-    folder = shared_folder(spark, "bloom")
+@query("stream_approximate_dedupe", """
+SELECT event_id, user_id, d FROM (
+  SELECT event_id, user_id, CAST(ts AS DATE) AS d, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events) WHERE rn = 1
+""")
+def stream_first_per_day(spark, sf):
+    """The first row of each user and day; exact, the name of the query is older."""
+    folder = shared_folder(spark, "first-per-day")
     rows = _stream(spark, sf, "events", 8).select("event_id", "user_id", F.to_date("ts").alias("d"))
-    return _append(dedupe.approximate(rows, ["user_id", "d"]), folder)
+    _finish(dedupe.first_rows_stream(rows, f"{folder}/out", f"{folder}/cp", ["user_id", "d"], ["event_id"]))
+    return dedupe.first_rows(spark, f"{folder}/out", rows.schema, ["user_id", "d"], ["event_id"])

@@ -7,13 +7,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from saltmarsh.operators.ranking import first_per_key
 from saltmarsh.operators.sequences import ordered_columns
+from saltmarsh.streaming.merge import write_batch
 
 
 def within_watermark(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "10 seconds") -> DataFrame:
@@ -44,6 +46,25 @@ def newer_only(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: s
     return marked.filter(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen")
 
 
+def first_rows_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
+    """Exact, for keys that may come back at any time: each micro-batch writes its first row per key.
+
+    The rows of a key are reduced before the shuffle, and nothing is read back
+    while writing; :func:`first_rows` takes the first row per key over all batches.
+    """
+    place = [F.col(c) for c in order]
+    return (
+        df.writeStream.foreachBatch(lambda batch, i: write_batch(first_per_key(batch, keys, place), i, path))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def first_rows(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row per key by ``order`` over all batches, whatever order they came in."""
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return first_per_key(rows, keys, [F.col(c) for c in order])
+
+
 # -- approximate variant ---------------------------------------------------------
 
 
@@ -80,8 +101,9 @@ def approximate(df: DataFrame, id_columns: Sequence[str], expected: int = 1_000_
     """Drop rows that were probably seen; memory is fixed per bucket.
 
     Ids are spread over ``buckets`` filters by hash.  A small share
-    (``false_positives``) of new rows is lost, so this form is opt-in; the exact
-    form is :func:`within_watermark`.
+    (``false_positives``) of new rows is lost up to ``expected`` ids, and more and
+    more of them beyond, so no query uses this form; the exact forms are
+    :func:`within_watermark` and :func:`first_rows_stream`.
     """
     per_bucket = max(1, expected // buckets)
     bits, hashes = filter_size(per_bucket, false_positives)
