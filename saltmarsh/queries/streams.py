@@ -160,10 +160,9 @@ SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, e
 """)
 def stream_profile(spark, sf):
     folder = shared_folder(spark, "profile")
-    # a few files per micro-batch bound the rows of one key in a Python group
-    rows = _stream(spark, sf, "events", 8).select("event_id", "user_id", "ts", "event_type")
-    out = state.running_profile_stream(rows, "user_id", "ts", ["event_type"])
-    return _append(out, folder).select("event_id", "user_id", "pv", "event_type_list")
+    rows = _append(_stream(spark, sf, "events", 8).select("event_id", "user_id", "ts", "event_type"), folder)
+    out = state.running_profile_lists(rows, "user_id", ["ts", "event_id"], "ts", ["event_type"], F.date_trunc("day", "ts"))
+    return out.select("event_id", "user_id", "pv", "event_type_list")
 
 
 @query("stream_interval_join", """

@@ -192,8 +192,26 @@ def latest_profile(df: DataFrame, user: str, ts: str, fields: Sequence[str]) ->
     return out
 
 
+def running_profile_lists(df: DataFrame, user: str, order: Sequence[str], ts: str, fields: Sequence[str], slice_by: Column) -> DataFrame:
+    """Page-view counter and sorted list of the distinct values so far per field, over all rows kept of a stream.
+
+    The order is that of the rows, not of their arrival.  A value counts from
+    the time of its first sight on; a list without a value is null.  Meant for
+    fields with few distinct values: each user has one row with the first sights.
+    """
+    out = ordered_columns(df, [user], order, slice_by, row_number="pv")
+    for f in fields:
+        sights = df.filter(F.col(f).isNotNull()).groupBy(F.col(user).alias("_u"), F.col(f).cast("string").alias("_f")).agg(F.min(ts).alias("_first"))
+        lists = sights.groupBy("_u").agg(F.sort_array(F.collect_list(F.struct("_f", "_first"))).alias("_sights"))
+        seen = F.transform(F.filter("_sights", lambda s: s["_first"] <= F.col(ts)), lambda s: s["_f"])
+        out = out.join(lists, F.col(user).eqNullSafe(F.col("_u")), "left").withColumn(
+            f"{f}_list", F.when(F.size(seen) > 0, F.array_join(seen, ","))
+        ).drop("_u", "_sights")
+    return out
+
+
 def running_profile_stream(df: DataFrame, user: str, ts: str, fields: Sequence[str]) -> DataFrame:
-    """Stream form with the joined value lists, as one state per user."""
+    """Stream form with the joined value lists, as one state per user, for rows that arrive in the order of ``ts``."""
     names = list(fields)
     extra = "pv bigint, " + ", ".join(f"{f}_list string" for f in names)
 

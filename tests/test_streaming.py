@@ -384,6 +384,11 @@ def against_sql(spark, name, folder):
     return sorted(map(tuple, got), key=str), sorted(result.fetchall(), key=str)
 
 
+def test_running_profile_does_not_follow_the_order_of_files(spark, tmp_path):
+    got, expected = against_sql(spark, "stream_running_profile", event_files(spark, tmp_path))
+    assert got == expected and len(got) == 60
+
+
 def test_first_rows_are_exact_over_files_in_any_order(spark, tmp_path):
     got, expected = against_sql(spark, "stream_approximate_dedupe", event_files(spark, tmp_path))
     assert got == expected
