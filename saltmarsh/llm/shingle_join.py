@@ -132,7 +132,7 @@ def frequent_shingles(plain: DataFrame) -> np.ndarray:
                 [pa.array(found.view(np.int64)), pa.array(np.repeat(np.array(names, np.int64), np.diff(before)))], names=["shingle", "name"])
 
     share = max(1, plain.count() // SAMPLE_DOCS)
-    some = plain.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(sets, "shingle long, name long")
+    some = plain.where(F.pmod(F.xxhash64("_row"), F.lit(share)) == 0).mapInArrow(sets, "shingle long, name long")
     rows = some.distinct().groupBy("shingle").count().where(F.col("count") >= FREQUENT).select("shingle").collect()
     return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
 
@@ -160,8 +160,8 @@ def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, before = shingle_sets(part.column("text").to_pylist())
         sets = [found[i:j] for i, j in zip(before, before[1:])]
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array([set_name(x) if len(x) else None for x in sets], pa.int64()), pa.array(np.diff(before), pa.int64()),
-             pa.array([sketch(x) if len(x) else None for x in sets], pa.binary())], names=["doc_id", "name", "n", "sketch"])
+            [part.column("_row"), part.column("doc_id"), pa.array([set_name(x) if len(x) else None for x in sets], pa.int64()), pa.array(np.diff(before), pa.int64()),
+             pa.array([sketch(x) if len(x) else None for x in sets], pa.binary())], names=["_row", "doc_id", "name", "n", "sketch"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +223,7 @@ def _block_links(table: pa.Table) -> pa.Table:
     for part in slices(iter(table.to_batches()), size=1 << 19):
         found, before = shingle_sets(part.column("text").to_pylist())
         for name, root, i, j in zip(part.column("name").to_pylist(), part.column("root").to_pylist(), before, before[1:]):
-            if j > i and set_name(found[i:j]) == name:  # not another text of the same id
+            if j > i and set_name(found[i:j]) == name:
                 sets.append(found[i:j].copy())
                 rows.append((name, root))
     if not sets:
@@ -289,8 +289,8 @@ def _blocks(groups: DataFrame) -> DataFrame:
 
 
 def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``plain`` whose id may be in ``wanted``, by a bitmap of ``BITS`` bits of hashed ids: a fixed size at any scale."""
-    key = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
+    """Texts of ``plain`` whose row may be in ``wanted``, by a bitmap of ``BITS`` bits of hashed row numbers: a fixed size at any scale."""
+    key = F.xxhash64("_row").bitwiseAND(BITS - 1)
     words = wanted.select(key.alias("key")).selectExpr("shiftright(key, 6) AS word", "shiftleft(1L, CAST(key & 63 AS INT)) AS bit")
     bitmap = np.zeros(BITS // 64, np.int64)
     for word, bits in words.groupBy("word").agg(F.bit_or("bit")).collect():  # at most BITS / 64 rows
@@ -301,14 +301,14 @@ def _only(plain: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in slices(batches):
             at = np.asarray(batch.column("key"), np.int64)
             found = (bitmap.value[at >> 6] >> (at & 63)) & 1 == 1
-            yield batch.select(["doc_id", "text"]).filter(pa.array(found))
+            yield batch.select(["_row", "text"]).filter(pa.array(found))
 
-    return plain.withColumn("key", key).mapInArrow(keep, plain.schema)
+    return plain.select("_row", "text", key.alias("key")).mapInArrow(keep, "_row long, text string")
 
 
 def _compared(plain: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Links inside each task of ``wanted`` (``doc_id``, ``name``, ``root``, ``task``); the sets are made in the task, as texts move cheaper."""
-    rows = _only(plain, wanted).join(wanted, "doc_id").select("text", "name", "root", "task")
+    """Links inside each task of ``wanted`` (``_row``, ``name``, ``root``, ``task``); the sets are made in the task, as texts move cheaper."""
+    rows = _only(plain, wanted).join(wanted, "_row").select("text", "name", "root", "task")
     return rows.groupBy("task").applyInArrow(_block_links, "a long, b long")
 
 
@@ -408,18 +408,16 @@ def _apart(groups: DataFrame, sketches: DataFrame, roots: DataFrame, partitions:
     return pieces.join(joint, "low", "left").select("name", "root", task.alias("task")).distinct()
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links.
+def _labelled(plain: DataFrame) -> DataFrame:
+    """``_row``, ``doc_id``, ``n``, ``root`` (null without a shingle) and ``component_id`` of each row of ``plain``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Null and empty
-    texts have no shingle, are linked with nothing and keep their own id.  Rows
-    with the same id are documents of their own; null ids are never the least.
-    An empty table gives no rows; other columns are not read.
+    ``plain`` is a stored table (``_row``, ``doc_id``, ``text``).  A set is represented by one row, whose number is
+    written, unique and never null, so its text is found whatever its id; ``component_id`` is null if no id is there.
     """
-    plain = texts(docs)
-    named = stored(plain.mapInArrow(_name, "doc_id long, name long, n long, sketch binary"), "set-names")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(plain))
+    spark = plain.sparkSession
+    named = stored(plain.mapInArrow(_name, "_row long, doc_id long, name long, n long, sketch binary"), "set-names")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frequent = spark.sparkContext.broadcast(frequent_shingles(plain))
     signed = plain.mapInArrow(_signer(frequent), "signature long, name long")
     groups = stored(
         signed.repartition(partitions, "signature").sortWithinPartitions("signature", "name")
@@ -427,9 +425,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     blocks = _blocks(groups)
     firsts = named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first"))
     sketches = named.join(blocks.select("name"), "name", "left_semi").groupBy("name").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+        F.min("_row").alias("_row"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
     sketches = stored(sketches, "sketches")
-    ids = sketches.select("name", "doc_id")
+    ids = sketches.select("name", "_row")
     inside = blocks.select("name", F.col("block").alias("task")).unionByName(
         blocks.select(F.col("home").alias("name"), F.col("block").alias("task"))).distinct()
     inside = stored(inside.join(ids, "name").withColumn("root", F.col("name")), "inside")
@@ -440,15 +438,34 @@ def near_copies(docs: DataFrame) -> DataFrame:
     roots = components(links)
     least = _with_root(firsts, roots, "name", "root")
     found = least.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = stored(least.join(found, "root").select("name", "component_id"), "component-ids")
-    return named.join(found, "name", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = stored(least.join(found, "root").select("name", "root", "component_id"), "component-ids")
+    return named.join(found, "name", "left").select("_row", "doc_id", "n", "root", "component_id")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case.  Null and empty
+    texts have no shingle, are linked with nothing and keep their own id.  Rows
+    with the same id are documents of their own.  Rows with a null id are linked as all
+    others, but a null id is never the least: only a component without any id has a null.
+    An empty table gives no rows; other columns are not read.
+    """
+    plain = stored(texts(docs).withColumn("_row", F.monotonically_increasing_id()), "texts")
+    return _labelled(plain).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is the least of its component, with all their columns.
 
-    Rows with the same id go or stay together.
+    Rows with the same id go or stay together.  A row with a null id goes if its component has an id;
+    of a component without any id one row stays.
     """
-    gone = near_copies(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    labels = _labelled(rows.select("_row", "doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    gone = labels.where("doc_id <> component_id").select("doc_id").distinct()
+    nameless = labels.where("doc_id IS NULL AND root IS NOT NULL")
+    kept = nameless.where("component_id IS NULL").groupBy("root").agg(F.min("_row").alias("kept"))
+    nameless = nameless.join(kept, "root", "left").where("kept IS NULL OR _row <> kept")
+    gone = labels.join(gone, "doc_id", "left_semi").select("_row").unionByName(nameless.select("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

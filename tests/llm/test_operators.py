@@ -104,6 +104,31 @@ def test_shingle_join(docs, empty):
     assert shingle_join.near_copies(empty).count() == 0
 
 
+def _nameless():
+    """A null-id near copy of 5, a null-id bridge between 31 and 33, two null-id near copies of each other, one id on many texts."""
+    near = BASE.split()
+    near[60] = "changed"
+    ends = [" ".join(f"{w}{i}" for i in range(100)) for w in ("left", "mid", "alone")]
+    side = ends[0].split()
+    bridge = side[:94] + [f"new{i}" for i in range(16)]
+    far = bridge[12:] + [f"newer{i}" for i in range(12)]
+    alone = ends[2].split()
+    alone[50] = "changed"
+    return [(5, BASE), (None, " ".join(near)), (31, " ".join(side)), (None, " ".join(bridge)), (33, " ".join(far)), (None, ends[2]), (None, " ".join(alone)),
+            (None, None), (None, "")] + [(7, f"{k} " * 9 + ends[1]) for k in range(20)]
+
+
+def test_null_ids_are_linked(spark):
+    docs = spark.createDataFrame([(i, t, "en", "src1", 0, "s", k) for k, (i, t) in enumerate(_nameless())], SCHEMA)
+    expected = brute_components(_nameless())
+    assert (None, 116, 5) in expected and (33, 106, 31) in expected
+    found = shingle_join.near_copies(docs).collect()
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == expected
+    kept = shingle_join.drop_near_copies(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept if r.doc_id != 7) == ["31", "5", "None", "None", "None"]
+    assert sorted(r.row for r in kept if r.doc_id is None)[1:] == [7, 8] and len([r for r in kept if r.doc_id == 7]) == 20
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(3)
     for size in [*range(1, 40), 63, 64, 90, 127, 128, 200, 500, 1100]:
