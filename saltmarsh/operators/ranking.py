@@ -6,10 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saltmarsh.functions.dates import OPEN_END
-from saltmarsh.session import checkpointed
+from saltmarsh.session import checkpointed, stored
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -56,64 +55,80 @@ def top_n_rows(
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 
 
-def _magnitude_bin(value: Column) -> Column:
-    """Monotone integer bin of a number; about 85,000 bins cover all magnitudes."""
-    v = value.cast("double")
-    return F.floor(F.signum(v) * F.ln(F.lit(1.0) + F.abs(v)) * 1024).cast("long")
+def ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows written once in ranges of ``order``, with ``_part`` (the range) and ``_at`` (the place in it, from 0).
 
-
-def _tie_bin(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.NumericType):
-        return _magnitude_bin(F.col(column))
-    return F.substring(F.col(column).cast("string"), 1, 16)
+    Spark samples the order columns and cuts ranges of about equal size, so equal
+    scores, ids from a high number on or texts with one long head are spread over
+    all tasks as long as ``order`` as a whole has few repeats.  Rows with equal
+    ``order`` share a range.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = stored(spread.withColumn("_id", F.monotonically_increasing_id()), "ranges")  # range << 33, plus the place
+    low = F.lit((1 << 33) - 1)
+    return numbered.select(*df.columns, F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(low).alias("_at"))
+
+
+def ordered_positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    position: str,
+    total: str | None = None,
+    sums: dict[str, str] | None = None,
+    about: DataFrame | None = None,
+) -> DataFrame:
+    """Adds the number of rows of the same ``keys`` before the row in ``order``; no task holds a whole key.
+
+    Rows are sorted in ranges of keys and order.  One count per (range, key) and
+    prefix sums over these counts give the rows ahead of a range; there are at
+    most as many counts as ranges plus keys.  ``total`` names the number of rows
+    of the keys, ``sums`` maps new columns to the integer columns whose running
+    sum before the row they hold, ``about`` has further columns by ``keys``, which
+    meet the counts instead of the rows, so that a frequent key is no hot join key.
+    Null keys are a group of their own and come first; ties in ``order`` are
+    numbered in any order.
+    """
+    sums = sums or {}
+    rows = ranged(df, [*[F.col(k).asc_nulls_first() for k in keys], *order])
+    cell, key = F.struct("_part", *keys), F.struct(F.lit(0), *keys)
+    rows = rows.withColumn("_cell", cell)
+    runs = rows.groupBy("_cell").agg(
+        F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"), *[F.sum(src).alias(f"_sum_{new}") for new, src in sums.items()])
+    runs = runs.select("*", *[F.col("_cell")[k].alias(k) for k in keys])
+    every = Window.partitionBy(key)
+    earlier = every.orderBy(F.col("_cell._part")).rowsBetween(Window.unboundedPreceding, -1)
+    picked = [F.col("_cell").alias("_cell2"), (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_from")).alias("_shift")]
+    picked += [F.coalesce(F.sum(f"_sum_{new}").over(earlier), F.lit(0)).alias(f"_before_{new}") for new in sums]
+    if total:
+        picked.append(F.sum("_n").over(every).alias(total))
+    runs = runs.select(*picked, key.alias("_key"))
+    more: list[str] = []
+    if about is not None:
+        more = [c for c in about.columns if c not in keys]
+        runs = runs.join(about.select(key.alias("_key2"), *more), F.col("_key") == F.col("_key2"))
+    if sums:
+        here = Window.partitionBy("_cell").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        for new, src in sums.items():
+            rows = rows.withColumn(f"_local_{new}", F.coalesce(F.sum(src).over(here), F.lit(0)))
+    out = [F.col(c) for c in df.columns] + [(F.col("_at") + F.col("_shift")).alias(position)]
+    out += [F.col(total)] if total else []
+    out += [(F.col(f"_local_{new}") + F.col(f"_before_{new}")).alias(new) for new in sums]
+    return rows.join(runs, F.col("_cell") == F.col("_cell2")).select(*out, *more)
 
 
 def global_row_number(df: DataFrame, score: str, tie: str, name: str, materialize: bool = False) -> DataFrame:
-    """``row_number() over (order by score desc, tie)`` without a single-task sort.
-
-    Rows are counted per (score bin, score, tie bin).  Three prefix sums over
-    these counts give the number of rows ahead of each cell; a window inside the
-    cell gives the rest.  Cells are small even if a third of all rows share one
-    score, because equal scores are split by the tie column.  Null scores go last.
-    The input is used twice (rows and counts); ``materialize`` writes it to the
-    checkpoint folder first, which pays off when it comes from large scans.
+    """``row_number() over (order by score desc, tie)`` without a single-task sort; null scores go last.
+
+    Rows are cut into sampled ranges of (score, tie), so a score that a third of
+    all rows share is spread by its tie column, whatever its values look like.
+    The input is read twice, for the sample and for the ranges; ``materialize``
+    writes it to the checkpoint folder first, which pays off when it comes from
+    large scans.
     """
     df = checkpointed(df) if materialize else df
-    bins = F.struct(_magnitude_bin(F.col(score)).alias("b"), F.col(score).alias("s"), _tie_bin(df, tie).alias("t"))
-    cells = df.withColumn("_cell", bins)
-    n = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    n = n.select("_cell", "_cell.b", "_cell.s", "_cell.t", "_n")
-
-    # every frame below has one row per cell, per score or per bin
-    ahead = Window.unboundedPreceding
-    w_tie = Window.partitionBy("b", "s").orderBy("t").rowsBetween(ahead, -1)
-    by_tie = n.withColumn("_before_t", F.coalesce(F.sum("_n").over(w_tie), F.lit(0)))
-
-    s = n.groupBy("b", "s").agg(F.sum("_n").alias("_n_s"))
-    w_score = Window.partitionBy("b").orderBy(F.col("s").desc()).rowsBetween(ahead, -1)
-    by_score = s.select(
-        F.struct("b", "s").alias("_score2"), F.coalesce(F.sum("_n_s").over(w_score), F.lit(0)).alias("_before_s")
-    )
-
-    b = s.groupBy("b").agg(F.sum("_n_s").alias("_n_b"))
-    w_bin = Window.orderBy(F.col("b").desc_nulls_last()).rowsBetween(ahead, -1)
-    by_bin = b.select(F.struct("b").alias("_bin2"), F.coalesce(F.sum("_n_b").over(w_bin), F.lit(0)).alias("_before_b"))
-
-    offsets = (
-        by_tie.join(by_score, F.struct("b", "s") == F.col("_score2"))
-        .join(by_bin, F.struct("b") == F.col("_bin2"))
-        .select(
-            F.col("_cell").alias("_cell2"),
-            (F.col("_before_t") + F.col("_before_s") + F.col("_before_b")).alias("_ahead"),
-        )
-    )
-    w_cell = Window.partitionBy("_cell").orderBy(tie)
-    return (
-        cells.withColumn("_in", F.row_number().over(w_cell))
-        .join(offsets, F.col("_cell") == F.col("_cell2"))
-        .select(*df.columns, (F.col("_ahead") + F.col("_in")).cast("long").alias(name))
-    )
+    ahead = ordered_positions(df, [], [F.col(score).desc_nulls_last(), F.col(tie).asc_nulls_first()], "_ahead")
+    return ahead.select(*df.columns, (F.col("_ahead") + 1).cast("long").alias(name))
 
 
 # -- consecutive days: input is one row per (user, day), at most 7 rows per user --

@@ -177,3 +177,31 @@ def test_latest_and_first_per_key(spark):
     frame = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), ("x", 1, "c")], "k string, t int, v string")
     assert rows(ranking.latest_per_key(frame, ["k"], [F.col("t")])) == [("x", 1, "c"), (None, 2, "b")]
     assert rows(ranking.first_per_key(frame, ["k"], [F.col("t")])) == [("x", 1, "c"), (None, 1, "a")]
+
+
+def test_global_rank_spreads_equal_scores_over_all_tasks(spark):
+    """One score for all rows: high ids and urls with one long head are still cut into even ranges."""
+    ids = spark.range(10**12, 10**12 + 2_000_000).select(F.lit(1.0).alias("s"), F.col("id").alias("tie"))
+    urls = ids.limit(400_000).select("s", F.concat(F.lit("https://www.example.org/a/very/long/common/head/"), F.col("tie").cast("string")).alias("tie"))
+    for frame, n in ((ids, 2_000_000), (urls, 400_000)):
+        spread = ranking.ranged(frame.repartition(16), [F.col("s").desc_nulls_last(), F.col("tie")]).groupBy("_part").count().collect()
+        sizes = [r["count"] for r in spread]
+        assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    got = ranking.global_row_number(ids, "s", "tie", "r")
+    assert got.where("r <> tie - 1000000000000 + 1").count() == 0 and got.count() == 2_000_000
+
+
+def test_positions_within_a_hot_key(spark):
+    frame = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.when(F.col("id") % 2 == 0, F.col("id").cast("string"))).alias("k"),
+        (F.col("id") % 5).alias("w"))
+    about = frame.select("k").distinct().withColumn("info", F.length("k"))
+    got = ranking.ordered_positions(frame, ["k"], [F.col("id").desc()], "at", "n", {"before": "w"}, about)
+    w = Window.partitionBy("k").orderBy(F.col("id").desc())
+    rows_before = w.rowsBetween(Window.unboundedPreceding, -1)
+    want = frame.select(
+        "*", (F.row_number().over(w) - 1).cast("long").alias("at"), F.count("*").over(Window.partitionBy("k")).alias("n"),
+        F.coalesce(F.sum("w").over(rows_before), F.lit(0)).alias("before"), F.length("k").alias("info"))
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and got.count() == 30_000
+    assert ranking.ordered_positions(frame.limit(0), ["k"], [F.col("id")], "at").count() == 0
