@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from saltmarsh.llm import (
-    backoff, exact_copies, host_reputation, main_text, packing, quality_model, rule_cascade, shingle_join, token_codes, transducer,
+    backoff, drift_clusters, exact_copies, host_reputation, main_text, manifest, packing, quality_model, reference_sql, rule_cascade,
+    shingle_join, source_mix, token_codes, transducer,
 )
 from saltmarsh.llm.common import documents
 from saltmarsh.llm.encoding import vocabulary_path
@@ -133,3 +134,18 @@ def op2_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_stupid_backoff")
 def op5_stupid_backoff(spark: SparkSession, folder: str) -> DataFrame:
     return backoff.score(documents(spark, folder), vocabulary_path(WORDS), order=3)
+
+
+@query("op11_merkle_manifest", reference_sql.MANIFEST)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verify_documents(documents(spark, folder))
+
+
+@query("op12_source_mix", reference_sql.MIX)
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.taken(documents(spark, folder))
+
+
+@query("op13_drift_clusters", reference_sql.clusters())
+def op13_drift_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return drift_clusters.cluster(spark.read.parquet(f"{folder}/embeddings.parquet"))
