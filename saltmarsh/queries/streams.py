@@ -6,6 +6,8 @@ with ``availableNow``, so it ends when the table has been consumed.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from saltmarsh.queries.registry import query
 from saltmarsh.queries.traffic import CHG, KEYWORD_SQL, WORDS, _bounds, changes_from, log_lines_from
 from saltmarsh.queries.fragments import with_
 from saltmarsh.session import shared_folder
-from saltmarsh.streaming import dedupe, inputs, joins, merge, routes, state, windows
+from saltmarsh.streaming import dedupe, expiry, inputs, joins, merge, replay, routes, state, versions, windows
 
 
 def _stream(spark: SparkSession, sf: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -240,3 +242,150 @@ def stream_first_per_day(spark, sf):
     rows = _stream(spark, sf, "events", 8).select("event_id", "user_id", F.to_date("ts").alias("d"))
     _finish(dedupe.first_rows_stream(rows, f"{folder}/out", f"{folder}/cp", ["user_id", "d"], ["event_id"]))
     return dedupe.first_rows(spark, f"{folder}/out", rows.schema, ["user_id", "d"], ["event_id"])
+
+
+# -- several micro-batches in order ------------------------------------------------
+
+
+def _weeks(events: DataFrame) -> list[dt.datetime]:
+    """Bounds of the slices: 7, 14 and 21 days after the first day."""
+    first = events.agg(F.to_date(F.min("ts")).alias("d")).first()["d"]
+    return [] if first is None else [dt.datetime.combine(first, dt.time()) + dt.timedelta(days=7 * k) for k in (1, 2, 3)]
+
+
+def _devices(spark, sf) -> DataFrame:
+    """Events by device, twenty of them per user, so that many devices are unseen for a week."""
+    return a.events(spark, sf).select(
+        "event_id", "ts", (F.col("user_id") * 20 + F.col("event_id") % 20).alias("device"),
+        F.when(F.col("event_id") % 3 == 0, "0").otherwise("1").alias("is_new"))
+
+
+LIVES_SQL = """
+k AS (SELECT event_id, ts, user_id * 20 + event_id % 20 AS device, CASE WHEN event_id % 3 = 0 THEN '0' ELSE '1' END AS is_new FROM events),
+g AS (SELECT *, lag(ts) OVER (PARTITION BY device ORDER BY ts, event_id) AS before FROM k),
+l AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 7 DAY THEN 1 ELSE 0 END) OVER (PARTITION BY device ORDER BY ts, event_id) AS life FROM g)"""
+
+
+@query("stream_expiring_visitor_repair", with_(LIVES_SQL) + """
+SELECT event_id, device, is_new, CASE WHEN is_new = '1' AND CAST(ts AS DATE) <> d THEN '0' ELSE is_new END AS fixed_is_new
+FROM (SELECT *, first_value(CASE WHEN is_new = '1' THEN CAST(ts AS DATE) ELSE CAST(ts AS DATE) - 1 END) OVER (PARTITION BY device, life ORDER BY ts, event_id) AS d FROM l)
+""")
+def stream_expiring_repair(spark, sf):
+    """New-visitor repair whose state is forgotten after 7 days without the device, over four micro-batches."""
+    folder, rows = shared_folder(spark, "expiring-repair"), _devices(spark, sf)
+    day = F.to_date("ts")
+    kept = F.when(F.col("is_new") == "1", day).otherwise(F.date_sub(day, 1))
+
+    def fixed(first):
+        return F.when((F.col("is_new") == "1") & (day != first), F.lit("0")).otherwise(F.col("is_new"))
+
+    replay.replay(rows, folder, "ts", _weeks(rows), lambda stream, n: expiry.first_value_stream(
+        stream, folder, f"{folder}/cp", "device", ["ts", "event_id"], "ts", kept, fixed, "fixed_is_new", fold_every=2))
+    return spark.read.parquet(f"{folder}/out").drop("ts", "batch_id")
+
+
+@query("stream_expiring_login_counts", with_(LIVES_SQL) + """
+SELECT dt, is_first, count(*) AS login_count FROM (
+  SELECT CAST(ts AS DATE) AS dt, CASE WHEN CAST(ts AS DATE) = CAST(min(ts) OVER (PARTITION BY device, life) AS DATE) THEN 1 ELSE 0 END AS is_first FROM l) GROUP BY 1, 2
+""")
+def stream_expiring_login(spark, sf):
+    """First-login flag with a lifetime of 7 days, counted per day."""
+    folder, rows = shared_folder(spark, "expiring-logins"), _devices(spark, sf).drop("is_new")
+    day = F.to_date("ts")
+    replay.replay(rows, folder, "ts", _weeks(rows), lambda stream, n: expiry.first_value_stream(
+        stream, folder, f"{folder}/cp", "device", ["ts", "event_id"], "ts", day, lambda first: F.when(day == first, 1).otherwise(0), "is_first"))
+    return windows.running_count(spark.read.parquet(f"{folder}/out").withColumn("dt", day), ["dt", "is_first"], "login_count")
+
+
+@query("stream_expiring_newer_only", """
+WITH g AS (SELECT event_id, user_id, ts, event_id * 7919 % 10007 AS v, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+l AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 1 DAY THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS life FROM g)
+SELECT event_id, v FROM (SELECT *, max(v) OVER (PARTITION BY user_id, life ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM l)
+WHERE m IS NULL OR v > m
+""")
+def stream_expiring_newer(spark, sf):
+    """Latest-only filter whose state is forgotten after a day without the user."""
+    folder = shared_folder(spark, "expiring-newer")
+    rows = a.events(spark, sf).select("event_id", "user_id", "ts", (F.col("event_id") * 7919 % 10007).alias("v"))
+    replay.replay(rows, folder, "ts", _weeks(rows), lambda stream, n: expiry.newer_only_stream(
+        stream, folder, f"{folder}/cp", "user_id", ["ts", "event_id"], "ts", "v", fold_every=2))
+    return spark.read.parquet(f"{folder}/out").select("event_id", "v")
+
+
+LATE_SQL = """
+WITH e AS (SELECT ts, event_type, CASE event_id % 50 WHEN 0 THEN ts + INTERVAL 8 SECOND WHEN 1 THEN ts + INTERVAL 5 DAY ELSE ts END AS arrival, event_id % 50 = 0 AS slow FROM events),
+d AS (SELECT CAST(min(ts) AS DATE) AS d FROM e),
+b AS (SELECT k, min(ts) + INTERVAL 1 SECOND AS bound FROM e, d, (VALUES (1), (2), (3)) v(k) WHERE slow AND ts >= d + 7 * k GROUP BY k),
+s AS (SELECT *, (SELECT count(*) FROM b WHERE arrival >= bound) AS slice FROM e),
+m AS (SELECT k, (SELECT date_trunc('millisecond', max(ts) - INTERVAL 15 SECOND) FROM s WHERE arrival < bound) AS mark FROM b),
+w AS (SELECT s.*, time_bucket(INTERVAL 5 MINUTE, ts) AS start, coalesce(time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= mark, false) AS late
+      FROM s LEFT JOIN m ON k = slice)
+SELECT 'window' AS part, strftime(start, '%Y-%m-%d %H:%M:%S') AS stt, event_type AS keyword, count(*) AS n FROM w WHERE NOT late GROUP BY ALL
+UNION ALL SELECT 'late', CAST(x AS VARCHAR), NULL, (SELECT count(*) FROM w WHERE late AND slice = x) FROM range(0, (SELECT count(*) + 1 FROM b)) r(x)
+"""
+
+
+@query("stream_late_rows", LATE_SQL)
+def stream_late_rows(spark, sf):
+    """Windows with late rows over four micro-batches: rows 8 seconds late change their window, rows 5 days late are counted per slice."""
+    folder = shared_folder(spark, "late")
+    late = F.when(F.col("event_id") % 50 == 0, F.expr("ts + INTERVAL 8 SECONDS")).when(F.col("event_id") % 50 == 1, F.expr("ts + INTERVAL 5 DAYS"))
+    rows = a.events(spark, sf).select("ts", F.col("event_type").alias("keyword"), F.coalesce(late, "ts").alias("arrival"), (F.col("event_id") % 50 == 0).alias("slow"))
+    marks = [F.min(F.when(F.col("slow") & (F.col("ts") >= F.lit(w)), F.col("ts"))) + F.expr("INTERVAL 1 SECOND") for w in _weeks(rows)]
+    bounds = [b for b in (rows.agg(*marks).first() if marks else []) if b is not None]
+
+    def start(stream, n):
+        mark = replay.watermark_before(rows, "ts", "arrival", bounds[n - 1], "15 SECONDS") if n else None
+        timely = windows.counted_late(windows.with_lateness(stream, "ts"), "ts", "5 minutes", mark)
+        out = windows.keyword_counts(timely, "ts", size="5 minutes")
+        return merge.upsert_stream(out, f"{folder}/out", f"{folder}/cp", ["stt", "keyword"], "keyword_count")
+
+    reports = replay.replay(rows, folder, "arrival", bounds, start)
+    counts = spark.createDataFrame([(str(n), windows.late_count(p)) for n, p in enumerate(reports)], "stt string, n long")
+    kept = merge.current_rows(spark, f"{folder}/out", ["stt", "keyword"])
+    return kept.select(F.lit("window").alias("part"), "stt", "keyword", F.col("keyword_count").alias("n")).unionByName(
+        counts.select(F.lit("late").alias("part"), "stt", F.lit(None).cast("string").alias("keyword"), "n"))
+
+
+PARTIAL_SQL = with_(CHG) + """
+SELECT CAST(k % 500 AS VARCHAR) AS id, arg_max(user_id, k) AS user_id, arg_max(CASE WHEN num > 3 THEN num END, k) AS sku_num, max(k) AS seq
+FROM chg WHERE op <> 'd' GROUP BY 1
+"""
+
+
+@query("stream_partial_update_folded", PARTIAL_SQL)
+def stream_partial_folded(spark, sf):
+    """Partial updates in four micro-batches; before each later one the table is folded, twice, and the folded batches are removed."""
+    folder = shared_folder(spark, "partial-folded")
+    orders = a.table(spark, sf, "orders")
+    top = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    path, keys = f"{folder}/out", ["id"]
+
+    def start(stream, n):
+        if n:
+            version = merge.fold_partial_rows(spark, path, keys, "seq")
+            if merge.fold_partial_rows(spark, path, keys, "seq") != version:
+                raise AssertionError("a fold without new batches made a version")
+            versions.remove_folded(spark, path)
+        parsed = inputs.change_rows(changes_from(stream)).filter(~F.col("is_dirty") & (F.col("op") != "d"))
+        num, after = F.col("after")["sku_num"].cast("int"), F.col("after")
+        wide = parsed.select(
+            after["sku_id"].alias("id"), after["user_id"].alias("user_id"), F.when(num > 3, num).alias("sku_num"), after["id"].cast("bigint").alias("seq"))
+        return merge.partial_update_stream(wide, path, f"{folder}/cp", keys, "seq")
+
+    replay.replay(orders, folder, "o_orderkey", [top * k // 4 for k in (1, 2, 3)], start)
+    return merge.current_partial_rows(spark, path, keys, "seq")
+
+
+@query("stream_snapshot_idle", """
+SELECT event_id, user_id, false AS completed FROM events WHERE NOT (event_id % 50 = 49 AND user_id % 2 = 0)
+UNION ALL SELECT NULL, user_id, true FROM (SELECT DISTINCT user_id FROM events)
+""")
+def stream_snapshot_idle(spark, sf):
+    """Rows of the snapshot and one mark per key: after the first live row, or, for odd users that have none, by the idle timer."""
+    folder, idle_ms = shared_folder(spark, "snapshot-idle"), 2000
+    live = (F.col("event_id") % 50 == 49) & (F.col("user_id") % 2 == 0)
+    rows = _stream(spark, sf, "events").select("event_id", "user_id", F.when(live, "u").otherwise("r").alias("op"), F.lit("false").alias("is_snapshot"))
+    out = state.snapshot_rows_stream(rows, "user_id", idle_ms)
+    state.run_until_idle(out, f"{folder}/out", f"{folder}/cp", idle_ms)
+    return spark.read.schema(out.schema).parquet(f"{folder}/out").select("event_id", "user_id", "completed")

@@ -3,7 +3,8 @@
 A batch is written to its own ``batch_id=<n>`` directory, overwriting it on a
 replay.  The current rows are the latest per key over all batches, taken with
 one aggregation.  Nothing is read back while writing, so a batch costs what it
-contains, not what the target holds; :func:`compact` folds old batches.
+contains, not what the target holds; :func:`fold_rows` and
+:func:`fold_partial_rows` fold old batches in place, behind a manifest.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from saltmarsh.operators.ranking import top_n_rows
+from saltmarsh.streaming import versions
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -38,24 +40,26 @@ def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str]
     )
 
 
-def _batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)
+def _latest(rows: DataFrame, keys: Sequence[str], seq: str | None) -> DataFrame:
+    order = F.struct(*([F.col(seq)] if seq else []), F.col("batch_id"))
+    names = [c for c in rows.columns if c != "batch_id"]
+    return rows.groupBy(*[F.col(k).alias("_k" + k) for k in keys]).agg(F.max_by(F.struct(*names), order).alias("_r")).select("_r.*")
 
 
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str], seq: str | None = None, deleted: str | None = None) -> DataFrame:
-    """Latest row per key over all batches; later batches win, then the sequence.
+    """Latest row per key over all batches; the sequence decides, then the later batch.
 
     With ``deleted`` (a boolean column) removed keys disappear.
     """
-    rows = _batches(spark, path)
-    order = F.struct(*([F.col(seq)] if seq else []), F.col("batch_id"))
-    names = [c for c in rows.columns if c != "batch_id"]
-    last = rows.groupBy(*[F.col(k).alias("_k" + k) for k in keys]).agg(
-        F.max_by(F.struct(*names), order).alias("_r")
-    ).select("_r.*")
+    last = _latest(versions.all_rows(spark, path), keys, seq)
     return last.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else last
 
 
+def fold_rows(spark: SparkSession, path: str, keys: Sequence[str], seq: str | None = None) -> versions.Version:
+    """Fold the batches of a table of whole rows; removed keys stay marked, so an older row that comes late stays older."""
+    return versions.fold(spark, path, lambda rows: _latest(rows, keys, seq))
+
+
 def partial_update(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Per key and column the last non-null value by sequence; nulls never overwrite."""
     values = [c for c in df.columns if c not in keys and c != seq]
@@ -96,18 +100,28 @@ def _with_times(batch: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     )
 
 
+def _newest_values(rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+    """One row per key; each column keeps its newest value together with the sequence it came with."""
+    values = [c for c in rows.columns if c not in keys and c not in (seq, "batch_id")]
+    return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values], F.max(seq).alias(seq))
+
+
 def current_partial_rows(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> DataFrame:
-    rows = _batches(spark, path).drop("batch_id")
+    rows = _newest_values(versions.all_rows(spark, path), keys, seq)
     values = [c for c in rows.columns if c not in keys and c != seq]
-    return rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values], F.max(seq).alias(seq)).select(
-        *keys, *[F.col(c)["v"].alias(c) for c in values], seq
-    )
+    return rows.select(*keys, *[F.col(c)["v"].alias(c) for c in values], seq)
+
+
+def fold_partial_rows(spark: SparkSession, path: str, keys: Sequence[str], seq: str) -> versions.Version:
+    """Fold the batches of a partial-update table; values keep their sequence, so later and late updates merge as before."""
+    return versions.fold(spark, path, lambda rows: _newest_values(rows, keys, seq))
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], seq: str) -> None:
-    """Fold all batches into one new table directory (run between queries)."""
-    rows = current_rows(spark, path, keys, seq)
-    rows.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], seq: str, partial: bool = False) -> None:
+    """The current rows of a table as one batch of a new table (of the same kind with ``partial``)."""
+    rows = versions.all_rows(spark, path)
+    now = _newest_values(rows, keys, seq) if partial else _latest(rows, keys, seq)
+    now.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
 def ranked_stream(df: DataFrame, path: str, checkpoint: str, window: Sequence[str], keys: Sequence[str]) -> StreamingQuery:

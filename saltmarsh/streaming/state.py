@@ -10,7 +10,9 @@ by the source's rows- or files-per-trigger setting.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -277,6 +279,30 @@ def snapshot_rows_stream(df: DataFrame, key: str, idle_ms: int | None = 15_000)
     return df.groupBy(key).applyInPandasWithState(step, schema, "done boolean", "append", timeout)
 
 
+def run_until_idle(df: DataFrame, path: str, checkpoint: str, idle_ms: int, interval: str = "500 milliseconds") -> None:
+    """Run a stream with idle timers into ``path`` until it has read all files and every timer has had its time.
+
+    Timers fire in micro-batches without rows; the run ends with one that began
+    ``idle_ms`` or more after the last micro-batch with rows had ended.  (With
+    timers there always is another micro-batch, so ``processAllAvailable`` would wait for ever.)
+    """
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    query = writer.trigger(processingTime=interval).start()
+    try:
+        while not query.awaitTermination(1):  # raises if the query failed
+            read_until, idle_from = 0.0, []
+            for report in (json.loads(p.json) for p in query.recentProgress):
+                began = datetime.fromisoformat(report["timestamp"].replace("Z", "+00:00")).timestamp()
+                if report["numInputRows"]:
+                    read_until = began + report["durationMs"]["triggerExecution"] / 1000
+                else:
+                    idle_from.append(began)
+            if any(t >= read_until + idle_ms / 1000 for t in idle_from[-1:]):
+                return
+    finally:
+        query.stop()
+
+
 # -- first-value state kept as a table ---------------------------------------------------
 
 

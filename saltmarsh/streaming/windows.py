@@ -36,6 +36,23 @@ def with_lateness(df: DataFrame, ts: str, disorder_seconds: int = 5, lateness_se
     return df.withWatermark(ts, f"{disorder_seconds + lateness_seconds} seconds")
 
 
+def counted_late(df: DataFrame, ts: str, size: str, watermark: object | None, name: str = "lateness") -> DataFrame:
+    """The same rows; how many of them come after their window has closed at ``watermark`` goes into the progress of the query.
+
+    Such rows no longer change a window.  ``watermark`` is the one the
+    micro-batch works with (None before the first one has ended).
+    """
+    width = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {size})")
+    end = F.timestamp_micros((F.floor(F.unix_micros(ts) / width) + 1) * width)
+    late = F.lit(False) if watermark is None else end <= F.lit(watermark)
+    return df.observe(name, F.count(F.when(late, 1)).alias("late"), F.count(F.lit(1)).alias("rows"))
+
+
+def late_count(progress: dict, name: str = "lateness") -> int:
+    """Late rows of a micro-batch from its progress report."""
+    return int(progress.get("observedMetrics", {}).get(name, {}).get("late", 0))
+
+
 def keyword_counts(df: DataFrame, ts: str, keyword: str = "keyword", size: str = "1 minute") -> DataFrame:
     rows = df.filter(F.col(keyword).isNotNull() & (F.trim(keyword) != ""))
     return tumbling(rows, ts, size, [keyword], [F.count(F.lit(1)).alias("keyword_count")])

@@ -248,20 +248,6 @@ def test_exact_dedupe(folder):
     assert got == [(0,), (1,), (2,)]
 
 
-def test_filter_has_no_false_negatives_and_few_false_positives():
-    ids = pd.Series(np.r_[np.arange(20000), np.arange(20000)])
-    mask = dedupe.approximate_mask(ids, 20000, 0.01)
-    assert not mask[20000:].any()  # every repeat is caught
-    assert mask[:20000].mean() > 0.985
-
-
-def test_approximate_stream_catches_repeats_across_batches(folder):
-    records = [{"id": i % 50, "user": "a", "ts": at(i), "is_new": "1"} for i in range(100)]
-    f = folder(LOGIN).add(*records[:60]).add(*records[60:])
-    got = rows(f.run(lambda s: dedupe.approximate(s, ["id"], expected=10000, buckets=4)), "id")
-    assert len(got) == len(set(got)) and len(got) >= 49
-
-
 def test_snapshot_end_by_row_and_by_idle_timer(spark, folder):
     f = folder("id int, k string, op string, is_snapshot string")
     f.add({"id": 1, "k": "a", "op": "r", "is_snapshot": "false"}, {"id": 2, "k": "a", "op": "c", "is_snapshot": "true"}, {"id": 3, "k": "a", "op": "u", "is_snapshot": "false"})
