@@ -44,10 +44,13 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs one worker per core
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # names of special tokens in a text are plain text
         with open(path, encoding="utf-8") as file:
-            split = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            settings = json.load(file)
+        split = settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.special = {t["content"]: t["id"] for t in settings["added_tokens"]}
+        self.at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True  # texts are cut at the special names before; other spellings are plain text
         self.pieces = regex.compile(split).findall
         self.letters = _byte_letters()
         self.tokenize = self.library.model.tokenize
@@ -105,7 +108,29 @@ class WordEncoder:
         self.keys, self.at, self.size, self.ids = keys, np.cumsum(size) - size, size, ids
 
     def encode(self, values: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, without end ids, and their number before each text; null counts as empty."""
+        """Ids of all texts in a row, without end ids, and their number before each text; null counts as empty.
+
+        The name of a special token in a text is that token, as the library has
+        it; the texts before and after it are encoded by themselves.
+        """
+        if not any(v is not None and name in v for name in self.special for v in values):
+            return self._encode_plain(values)
+        cuts = [self.at_special(v or "") for v in values]  # text, name, text, name, ..., text
+        ids, before = self._encode_plain([text for parts in cuts for text in parts[::2]])
+        out, counts, at = [], [], 0
+        for parts in cuts:
+            n = 0
+            for k, part in enumerate(parts):
+                if k % 2:
+                    found = np.array([self.special[part]], np.uint32)
+                else:
+                    found, at = ids[before[at]:before[at + 1]], at + 1
+                out.append(found)
+                n += len(found)
+            counts.append(n)
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode_plain(self, values: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         joined, before, hashes, starts, ends = word_hashes(values, lower=None)
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > MEMO_WORDS:
