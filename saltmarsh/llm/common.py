@@ -29,6 +29,17 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``docs`` does not have (Spark does not tell upper and lower case apart)."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
     """A value kept for the life of the Python worker, which serves many tasks."""
     store = sys.modules.setdefault("_saltmarsh_worker", types.ModuleType("_saltmarsh_worker")).__dict__

@@ -2,35 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from saltmarsh.llm.common import unused
 from saltmarsh.session import stored
 
 HEAVY_SHARE = 0.001
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """``doc_id``, a number of the row, and the sha256 of the text with each run of ``[\\x20\\x09-\\x0D]`` as one space."""
-    normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    return docs.select("doc_id", F.sha2(normal, 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
+def digest() -> Column:
+    """The sha256 of the text with each run of ``[\\x20\\x09-\\x0D]`` as one space; null counts as empty."""
+    return F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
 
 
-def label_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+def digests(docs: DataFrame) -> DataFrame:
+    """``doc_id``, a number of the row, and its digest."""
+    return docs.select("doc_id", digest().alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
 
-    Misra-Gries counters (``freqItems``) name at most ``1 / heavy_share``
-    digests, among them every digest with more than that share of all rows.
-    Their exact winners and sizes are counted with map-side sums, and their
-    rows are labelled without a shuffle from this table of bounded size.  All
-    other rows are dealt by digest, so no group there has more than
-    ``heavy_share`` of the rows.
 
-    Null text counts as empty.  The smallest id of a group stays, null ids
-    last; of rows with the same id and text the first one stays.  An empty
-    table gives no rows; other columns are not read.
-    """
-    rows = stored(digests(docs), "digests")
+def _split(rows: DataFrame, heavy_share: float) -> tuple[DataFrame, DataFrame]:
+    """Winners of the frequent digests, a table of bounded size to broadcast, and the rows of all other digests with their winner."""
     order = [F.col("doc_id").asc_nulls_last(), F.col("row")]
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row")))
     named = rows.freqItems(["text_sha256"], heavy_share).select(F.explode("text_sha256_freqItems").alias("text_sha256"))
@@ -41,7 +33,6 @@ def label_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame
         .select("text_sha256", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "group_size")
     )
     winners = F.broadcast(stored(winners, "winners"))  # as many rows as ``heavy``
-    frequent = rows.join(winners, "text_sha256")
     by_digest = Window.partitionBy("text_sha256")
     others = (
         rows.join(heavy, "text_sha256", "left_anti")
@@ -49,6 +40,26 @@ def label_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame
         .withColumn("keep_row", F.first("row").over(by_digest.orderBy(*order)))
         .withColumn("group_size", F.count("*").over(by_digest))
     )
+    return winners, others
+
+
+def label_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    Misra-Gries counters (``freqItems``) name at most ``1 / heavy_share``
+    digests, among them every digest with more than that share of all rows.
+    Their exact winners and sizes are counted with map-side sums, and their
+    rows are labelled without a shuffle from this table of bounded size.  All
+    other rows are dealt by digest, so no group there has more than
+    ``heavy_share`` of the rows.
+
+    Null text counts as empty.  The smallest id of a group stays, null ids
+    last; of rows with the same id and text the first one stays.  An empty
+    table gives no rows; other columns are not read.
+    """
+    rows = stored(digests(docs), "digests")
+    winners, others = _split(rows, heavy_share)
+    frequent = rows.join(winners, "text_sha256")
     return frequent.unionByName(others).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
@@ -56,15 +67,17 @@ def label_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame
 def drop_copies(docs: DataFrame, heavy_share: float = HEAVY_SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows that agree in id and text are one row here; of those one stays, the
-    one with the smallest values in the other columns.
+    The rows are written once with a number and their digest.  Copies of
+    frequent texts go by the broadcast winners, before anything is shuffled; of
+    the others only the numbers of the rows that go are joined, so texts move
+    at most once, and not at all where these numbers are few enough to broadcast.
+    Of rows that agree in id and text the first one stays.  Columns of ``docs``
+    may have any name; nulls and empty tables are as in :func:`label_copies`.
     """
-    kept = label_copies(docs, heavy_share).where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_digest"))
-    normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    marked = docs.withColumn("__digest", F.sha2(normal, 256))
-    same = marked["doc_id"].eqNullSafe(kept["__kept_id"]) & (marked["__digest"] == kept["__kept_digest"])
-    stay = marked.join(kept, same, "left_semi")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    one = Window.partitionBy("__digest", "doc_id").orderBy(*[F.col(f"`{c}`").cast("string") for c in others] or [F.lit(0)])
-    return stay.withColumn("__copy", F.row_number().over(one)).where("__copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row, mark, keep = unused(docs, "_row", "_digest", "_keep_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, digest()), "rows")
+    winners, others = _split(rows.select("doc_id", F.col(mark).alias("text_sha256"), F.col(row).alias("row")), heavy_share)
+    winners = F.broadcast(winners.select(F.col("text_sha256").alias(mark), F.col("keep_row").alias(keep)))
+    stay = rows.join(winners, mark, "left").where(F.col(keep).isNull() | (F.col(keep) == F.col(row)))
+    gone = others.where("row <> keep_row").select(F.col("row").alias(row))
+    return stay.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from saltmarsh.llm.common import slices, texts, word_hashes
+from saltmarsh.llm.common import slices, texts, unused, word_hashes
 from saltmarsh.llm.shrinkage import strength
 from saltmarsh.session import stored
 
@@ -149,19 +149,20 @@ def _scored(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose posterior is at least ``threshold``, with all their columns."""
+    """The rows of ``docs`` whose posterior is at least ``threshold``, with all their columns, whatever their names."""
     sites = stored(posteriors(docs, labels), "site-posteriors")
     weights = train(docs, labels, train_rows)
     fields = list(docs.columns)
+    own, host, path, prior, total = unused(docs, "_p_text", "_host", "_path", "_prior", "_total")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             p = 1 / (1 + np.exp(-np.clip(figures(part.column("text").to_pylist()) @ weights, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*fields, "__p_text"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p)], names=[*fields, own])
 
-    schema = StructType([*docs.schema.fields]).add("__p_text", DoubleType())
+    schema = StructType([*docs.schema.fields]).add(own, DoubleType())
     marked = docs.mapInArrow(score, schema)
-    site = sites.select(F.col("host").alias("__host"), F.col("path").alias("__path"), F.col("prior").alias("__prior"), F.col("total").alias("__total"))
-    met = marked.join(site, (F.coalesce("source", F.lit("")) == F.col("__host")) & (F.coalesce("lang", F.lit("")) == F.col("__path")))
-    odds = _log_odds(F.col("__p_text")) + _log_odds(F.col("__prior")) - _log_odds(F.col("__total"))
+    site = sites.select(*[F.col(old).alias(new) for old, new in (("host", host), ("path", path), ("prior", prior), ("total", total))])
+    met = marked.join(site, (F.coalesce("source", F.lit("")) == F.col(host)) & (F.coalesce("lang", F.lit("")) == F.col(path)))
+    odds = _log_odds(F.col(own)) + _log_odds(F.col(prior)) - _log_odds(F.col(total))
     return met.where(1 / (1 + F.exp(-odds)) >= threshold).select(*[F.col(f"`{c}`") for c in fields])

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.llm.common import mixed, slices, texts, windows, word_hashes
+from saltmarsh.llm.common import mixed, slices, texts, unused, windows, word_hashes
 from saltmarsh.llm.components import components
 from saltmarsh.session import stored
 
@@ -461,11 +461,12 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     Rows with the same id go or stay together.  A row with a null id goes if its component has an id;
     of a component without any id one row stays.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    labels = _labelled(rows.select("_row", "doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    number = unused(docs, "_row")[0]
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "rows")
+    labels = _labelled(rows.select(F.col(number).alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
     gone = labels.where("doc_id <> component_id").select("doc_id").distinct()
     nameless = labels.where("doc_id IS NULL AND root IS NOT NULL")
     kept = nameless.where("component_id IS NULL").groupBy("root").agg(F.min("_row").alias("kept"))
     nameless = nameless.join(kept, "root", "left").where("kept IS NULL OR _row <> kept")
     gone = labels.join(gone, "doc_id", "left_semi").select("_row").unionByName(nameless.select("_row"))
-    return rows.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(gone.withColumnRenamed("_row", number), number, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
