@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from saltmarsh.llm import (
     backoff, exact_copies, host_reputation, main_text, packing, quality_model, queries, rule_cascade, shingle_join, token_codes, transducer,
 )
-from saltmarsh.llm.encoding import WordEncoder, crc, vocabulary_path
+from saltmarsh.llm.encoding import crc, vocabulary_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = " ".join(f"word{i % 37}x{i}" for i in range(120))
@@ -29,7 +29,7 @@ def _texts():
     return [
         (5, BASE), (2, BASE), (2, BASE), (9, " ".join(near)), (11, " ".join(far)), (1, None), (3, ""), (4, " \n\t "), (6, "one two three"),
         (7, "One  two\nthree"), (8, "THE!! " * 40), (10, "the same line\n" * 30), (12, "a " * 3000 + BASE), (None, "no id here"),
-        (13, "| a | b | c " * 20), (14, "It's <|endoftext|> Über ĳ 漢字 straße, 12345.\x1c x"), (15, BASE + " tail"), (16, "x" * 20000),
+        (13, "| a | b | c " * 20), (17, "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|><|endoftext|>'s é<|startoftext|>\u0301e"), (14, "It's <|endoftext|> Über ĳ 漢字 straße, 12345.\x1c x"), (15, BASE + " tail"), (16, "x" * 20000),
     ]
 
 
@@ -49,7 +49,9 @@ def words_of(text):
 
 @pytest.fixture(scope="module")
 def library():
-    return WordEncoder(vocabulary_path("word_bpe_49k.json")).library
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
 
 
 def test_token_codes(spark, docs, empty, library):
