@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OPEN_END = "9999-12-31"
 
@@ -47,6 +48,26 @@ def as_date(value) -> Column:
     raise TypeError(f"cannot read a date from {value!r}")
 
 
+def in_days(df: DataFrame, column: str, first: Column, last: Column) -> Column:
+    """The days ``first`` to ``last`` as a range on the raw column, so that it reaches the scan.
+
+    Timestamps, dates, epoch millis and texts that begin with an ISO date each
+    get bounds of their own kind; the bounds are constants where the days are.
+    """
+    kind, after = df.schema[column].dataType, F.date_add(last, 1)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        low, high = first.cast(kind), after.cast(kind)
+    elif isinstance(kind, T.DateType):
+        low, high = first, after
+    elif isinstance(kind, T.StringType):
+        low, high = first.cast("string"), after.cast("string")
+    elif isinstance(kind, T.LongType):
+        low, high = F.unix_millis(first.cast("timestamp")), F.unix_millis(after.cast("timestamp"))
+    else:
+        raise TypeError(f"{column} of type {kind.simpleString()} has no days")
+    return (F.col(column) >= low) & (F.col(column) < high)
+
+
 def latest_date(df: DataFrame, column: str) -> Column:
     """``max(column)`` as a scalar sub-query, so no value passes through Python."""
     return df.agg(F.max(F.col(column)).cast("date")).scalar()

@@ -38,22 +38,32 @@ def build_history(changes: DataFrame, keys: Sequence[str], day: str, order: Sequ
 
 
 def apply_changes(history: DataFrame, changes: DataFrame, keys: Sequence[str], day: Column) -> DataFrame:
-    """Close open rows that changed on ``day`` and append their new versions.
+    """Versions valid from ``day`` on for the keys of ``changes``; applying a day again gives the same table.
 
-    ``changes`` holds at most one row per key with the attribute columns.
+    ``changes`` holds at most one row per key with the attribute columns.  The
+    version that covers ``day`` ends the day before, one that starts on ``day``
+    is replaced, and a day that comes late ends where the next version starts.
+    Null keys are keys.
     """
     attributes = [c for c in history.columns if c not in (*keys, "start_date", "end_date")]
     marks = changes.select(*[F.col(k).alias("_c" + k) for k in keys], F.lit(True).alias("_hit"))
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col("_c" + k) for k in keys])
-    is_open = F.col("end_date") == F.lit(OPEN_END).cast("date")
-    closed = history.join(marks, same, "left").select(
+
+    def same(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+
+    marked = history.join(marks, same("_c"), "left")
+    covers = F.col("_hit") & (F.col("start_date") < day) & (F.col("end_date") >= day)
+    closed = marked.filter(F.col("_hit").isNull() | (F.col("start_date") != day)).select(
         *keys,
         *attributes,
         "start_date",
-        F.when(is_open & F.col("_hit"), F.date_sub(day, 1)).otherwise(F.col("end_date")).alias("end_date"),
+        F.when(covers, F.date_sub(day, 1)).otherwise(F.col("end_date")).alias("end_date"),
     )
-    fresh = changes.select(
-        *keys, *attributes, day.alias("start_date"), F.lit(OPEN_END).cast("date").alias("end_date")
+    later = history.filter(F.col("start_date") > day).groupBy(*[F.col(k).alias("_n" + k) for k in keys]).agg(
+        F.min("start_date").alias("_next"))
+    fresh = changes.join(later, same("_n"), "left").select(
+        *keys, *attributes, day.alias("start_date"),
+        F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END).cast("date")).alias("end_date"),
     )
     return closed.unionByName(fresh)
 

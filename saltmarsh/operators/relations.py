@@ -14,6 +14,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+LARGEST_CODE_TABLE = 100_000
+
+
+def code_names(dictionary: DataFrame, code_column: str, name_column: str, largest: int = LARGEST_CODE_TABLE) -> Column:
+    """A code table as one map from text codes to names: a scalar sub-query, evaluated once and held by every task.
+
+    Of several names of a code the least counts, null codes are left out.  More
+    than ``largest`` codes are an error: such a table is a dimension to join.
+    """
+    side = dictionary.select(F.col(code_column).cast("string").alias("_code"), F.col(name_column).alias("_name"))
+    side = side.filter(F.col("_code").isNotNull()).groupBy("_code").agg(F.min("_name").alias("_name"))
+    whole = F.map_from_entries(F.collect_list(F.struct("_code", "_name")))
+    too_many = F.raise_error(F.lit(f"a code table of more than {largest} codes has to be joined"))
+    return side.limit(largest + 1).agg(F.when(F.count(F.lit(1)) <= largest, whole).otherwise(too_many)).scalar()
+
+
 def decode(
     df: DataFrame,
     dictionary: DataFrame,
@@ -25,17 +41,14 @@ def decode(
     name_column: str = "dic_name",
     parent_column: str = "parent_code",
 ) -> DataFrame:
-    """Add the dictionary name of ``code``; a miss gives ``missing``."""
+    """Add the dictionary name of ``code``; a miss gives ``missing``.
+
+    The rows stay where they are: a fact is not shuffled on a code of a few
+    values, whatever the broadcast threshold is.  Works on streams, too.
+    """
     side = dictionary if parent is None else dictionary.filter(F.col(parent_column) == parent)
-    side = side.select(
-        F.col(code_column).cast("string").alias("_code"), F.col(name_column).alias("_name")
-    )
-    value = F.col("_name") if missing is None else F.coalesce(F.col("_name"), F.lit(missing))
-    return (
-        df.join(side, F.col(code).cast("string") == F.col("_code"), "left")
-        .withColumn(name, value)
-        .drop("_code", "_name")
-    )
+    found = F.try_element_at(code_names(side, code_column, name_column), F.col(code).cast("string"))
+    return df.withColumn(name, found if missing is None else F.coalesce(found, F.lit(missing)))
 
 
 def align(parts: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -43,19 +56,24 @@ def align(parts: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
 
     Every part becomes rows of (keys, its own measures, nulls for the others);
     grouping them once gives the row of a chained full join, with null keys
-    matched, one shuffle and map-side combining.
+    matched, one shuffle and map-side combining.  A key that a part has twice is
+    an error, as its rows would be mixed.
     """
     measures: dict[str, object] = {}
-    for part in parts.values():
+    owner: dict[str, int] = {}
+    for i, part in enumerate(parts.values()):
         for field in part.schema.fields:
             if field.name not in keys:
-                measures[field.name] = field.dataType
+                if field.name in measures:
+                    raise ValueError(f"two parts have a measure {field.name}")
+                measures[field.name], owner[field.name] = field.dataType, i
     tagged = []
-    for part in parts.values():
+    for i, part in enumerate(parts.values()):
         have = set(part.columns)
         tagged.append(
             part.select(
                 *keys,
+                F.lit(i).alias("_part"),
                 *[
                     F.col(m) if m in have else F.lit(None).cast(kind).alias(m)
                     for m, kind in measures.items()
@@ -63,7 +81,15 @@ def align(parts: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
             )
         )
     stacked = reduce(DataFrame.unionByName, tagged)
-    return stacked.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
+    rows = [F.count(F.when(F.col("_part") == i, 1)).alias(f"_rows_{i}") for i in range(len(parts))]
+    merged = stacked.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures], *rows)
+    labels = list(parts)
+
+    def single(measure: str) -> Column:
+        repeated = F.raise_error(F.lit(f"part {labels[owner[measure]]} has several rows with the same {', '.join(keys) or 'empty key'}"))
+        return F.when(F.col(f"_rows_{owner[measure]}") > 1, repeated.cast(measures[measure])).otherwise(F.col(measure)).alias(measure)
+
+    return merged.select(*keys, *[single(m) for m in measures])
 
 
 def one_row(parts: Sequence[DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions import text
-from saltmarsh.functions.dates import OPEN_END, epoch_day, millis_to_text
+from saltmarsh.functions.dates import OPEN_END, epoch_day, in_days, millis_to_text
 from saltmarsh.operators.history import open_history
 from saltmarsh.operators.horizons import HORIZONS, horizon_sums, unfold
 from saltmarsh.operators.relations import align, climb, decode, net_balance
@@ -41,18 +41,28 @@ def _alive(df: DataFrame) -> DataFrame:
 
 
 CODES = ("cargo_type", "status", "collect_type", "payment_type")
+Days = tuple[Column, Column]  # first and last day
+
+
+def _within(df: DataFrame, column: str, days: Days | None) -> DataFrame:
+    return df if days is None else df.filter(in_days(df, column, *days))
 
 
 def order_step_fact(
-    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str, codes: Sequence[str] = CODES
+    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str, codes: Sequence[str] = CODES, days: Days | None = None
 ) -> DataFrame:
     """Cargo lines of orders that have reached a step, masked and with ``codes`` decoded.
 
     The first step ("order") is dated by the order time, the others by the last
-    update.  The status filter runs before the join.
+    update.  The status filter runs before the join; with ``days``, a range on
+    the raw time column of the step does, too, and prunes its scan.
     """
     mode, states = STEP_STATES[step]
     rows = _alive(orders)
+    if step == "order":
+        cargo = _within(cargo, "create_time", days)
+    else:
+        rows = _within(rows, "update_time", days)
     if states:
         inside = F.col("status").cast("string").isin(*states)
         rows = rows.filter(inside if mode == "in" else ~inside)
@@ -89,9 +99,9 @@ def order_process_fact(cargo: DataFrame, orders: DataFrame, dictionary: DataFram
     )
 
 
-def transport_finish_fact(tasks: DataFrame, shifts: DataFrame | None = None) -> DataFrame:
-    """Finished transport tasks with duration, masked drivers and hashed plate."""
-    done = _alive(tasks).filter(F.col("actual_end_time").isNotNull())
+def transport_finish_fact(tasks: DataFrame, shifts: DataFrame | None = None, days: Days | None = None) -> DataFrame:
+    """Finished transport tasks with duration, masked drivers and hashed plate; of ``days`` by their end, if given."""
+    done = _within(_alive(tasks).filter(F.col("actual_end_time").isNotNull()), "actual_end_time", days)
     start, end = F.col("actual_start_time").cast("long"), F.col("actual_end_time").cast("long")
     masked = {
         c: text.mask_name(F.col(c)) for c in ("driver1_name", "driver2_name") if c in tasks.columns
@@ -115,9 +125,9 @@ def transport_finish_fact(tasks: DataFrame, shifts: DataFrame | None = None) ->
     return out
 
 
-def bound_fact(scans: DataFrame, moment: str, emp: str) -> DataFrame:
-    """Inbound, sort or outbound scans: ``moment`` is the epoch-millis column."""
-    return scans.filter(F.col(moment).isNotNull()).select(
+def bound_fact(scans: DataFrame, moment: str, emp: str, days: Days | None = None) -> DataFrame:
+    """Inbound, sort or outbound scans, of ``days`` if given: ``moment`` is the epoch-millis column."""
+    return _within(scans.filter(F.col(moment).isNotNull()), moment, days).select(
         "id", "order_id", "org_id",
         millis_to_text(F.col(moment)).alias(moment), emp,
         F.timestamp_millis(F.col(moment).cast("long")).cast("date").alias("dt"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saltmarsh.functions.dates import in_days
 from saltmarsh.functions.numbers import money
 
 # Report days: the last full days the tables cover.
@@ -257,9 +258,15 @@ def parcel_dictionary(spark, sf) -> DataFrame:
     return l.unionByName(o)
 
 
-def transport_tasks(spark, sf) -> DataFrame:
+def shipped_around(spark, sf, days) -> DataFrame:
+    """Order lines shipped from a day before ``days`` to their last day; tasks and scans of ``days`` begin at most hours before."""
+    l = table(spark, sf, "lineitem")
+    return l if days is None else l.filter(in_days(l, "l_shipdate", F.date_sub(days[0], 1), days[1]))
+
+
+def transport_tasks(spark, sf, days=None) -> DataFrame:
     """Order lines as transport tasks of a supplier's truck."""
-    l, s = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
+    l, s = shipped_around(spark, sf, days), table(spark, sf, "supplier")
     start = F.unix_millis("l_shipdate")
     return l.join(s, l.l_suppkey == s.s_suppkey, "left").select(
         line_id().alias("id"), (F.col("l_partkey") % 50).alias("shift_id"), (F.col("l_partkey") % 10).alias("line_id"),
@@ -275,11 +282,11 @@ def transport_tasks(spark, sf) -> DataFrame:
     )
 
 
-def transports(spark, sf) -> DataFrame:
+def transports(spark, sf, days=None) -> DataFrame:
     """Finished transports in the shape of the fact."""
     from saltmarsh.plans.logistics import transport_finish_fact
 
-    return transport_finish_fact(transport_tasks(spark, sf))
+    return transport_finish_fact(transport_tasks(spark, sf, days), days=days)
 
 
 def trucks(spark, sf) -> DataFrame:

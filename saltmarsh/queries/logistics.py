@@ -15,11 +15,16 @@ def _day():
     return a.day(a.SHOP_DAY)
 
 
+def _recent():
+    """The days of the longest horizon; as ranges on raw columns they reach the scans."""
+    return F.date_sub(_day(), 29), _day()
+
+
 def _step(step, codes=lg.CODES):
     """Builder of a step fact; summaries decode only the codes they group by."""
 
-    def run(spark, sf):
-        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step, codes)
+    def run(spark, sf, days=None):
+        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step, codes, days)
 
     return run
 
@@ -77,8 +82,8 @@ def l03(spark, sf):
     return a.transports(spark, sf)
 
 
-def _scans(spark, sf):
-    l, s = a.table(spark, sf, "lineitem"), a.table(spark, sf, "supplier")
+def _scans(spark, sf, days=None):
+    l, s = a.shipped_around(spark, sf, days), a.table(spark, sf, "supplier")
     start = F.unix_millis("l_shipdate")
     return l.join(s, l.l_suppkey == s.s_suppkey, "left").select(
         a.line_id().alias("id"), F.col("l_orderkey").alias("order_id"), (F.col("s_nationkey") + 1000).alias("org_id"),
@@ -275,8 +280,8 @@ oo AS (
   LEFT JOIN organs ON sender_district_id = region_id LEFT JOIN nation ON sender_district_id = n_nationkey GROUP BY ALL)"""
 
 
-def _org_orders(spark, sf):
-    return lg.org_cargo_orders_1d(_step("order", ["cargo_type"])(spark, sf), a.organs(spark, sf), a.places(spark, sf))
+def _org_orders(spark, sf, days=None):
+    return lg.org_cargo_orders_1d(_step("order", ["cargo_type"])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf))
 
 
 @query("l07_org_cargo_orders_1d", with_(PARCELS, ORGANS, ORG_ORDERS) + "SELECT * FROM oo")
@@ -298,7 +303,7 @@ CARGO_KEYS = ["org_id", "org_name", "city_id", "city_name", "cargo_type", "cargo
 
 @query("l07_org_cargo_orders_nd", with_(PARCELS, ORGANS, ORG_ORDERS) + _nd("oo", ", ".join(CARGO_KEYS), COUNT_AMOUNT))
 def l07_nd(spark, sf):
-    return lg.recent_days(_org_orders(spark, sf), CARGO_KEYS, list(COUNT_AMOUNT), _day())
+    return lg.recent_days(_org_orders(spark, sf, _recent()), CARGO_KEYS, list(COUNT_AMOUNT), _day())
 
 
 def _org_step(name: str, district: str, cond: str, amount: bool = True) -> str:
@@ -314,12 +319,12 @@ RECEIVE = _org_step("receive", "sender_district_id", NOT_IN["receive"])
 DELIVER = _org_step("deliver", "receiver_district_id", NOT_IN["deliver"], amount=False)
 
 
-def _receive(spark, sf):
-    return lg.org_step_1d(_step("receive", [])(spark, sf), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
+def _receive(spark, sf, days=None):
+    return lg.org_step_1d(_step("receive", [])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
 
 
-def _deliver(spark, sf):
-    return lg.org_step_1d(_step("deliver", [])(spark, sf), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
+def _deliver(spark, sf, days=None):
+    return lg.org_step_1d(_step("deliver", [])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
 
 
 @query("l08_org_receive_1d", with_(PARCELS, ORGANS, PLACES, RECEIVE) + "SELECT * FROM receive")
@@ -332,7 +337,7 @@ PLACE = ", ".join(lg.PLACE)
 
 @query("l08_org_receive_nd", with_(PARCELS, ORGANS, PLACES, RECEIVE) + _nd("receive", PLACE, COUNT_AMOUNT))
 def l08_receive_nd(spark, sf):
-    return lg.recent_days(_receive(spark, sf), lg.PLACE, list(COUNT_AMOUNT), _day())
+    return lg.recent_days(_receive(spark, sf, _recent()), lg.PLACE, list(COUNT_AMOUNT), _day())
 
 
 DISPATCH = f"""
@@ -340,8 +345,8 @@ dispatch AS (SELECT dt, count(*) AS order_count, CAST(sum(amount) AS DECIMAL(26,
   FROM (SELECT order_id, update_day AS dt, max(amount) AS amount FROM parcels WHERE {NOT_IN["dispatch"]} GROUP BY ALL) GROUP BY 1)"""
 
 
-def _dispatch(spark, sf):
-    return lg.dispatch_1d(_step("dispatch", [])(spark, sf))
+def _dispatch(spark, sf, days=None):
+    return lg.dispatch_1d(_step("dispatch", [])(spark, sf, days))
 
 
 @query("l08_dispatch_1d", with_(PARCELS, DISPATCH) + "SELECT * FROM dispatch")
@@ -351,7 +356,7 @@ def l08_dispatch(spark, sf):
 
 @query("l08_dispatch_nd", with_(PARCELS, DISPATCH) + _nd("dispatch", "", COUNT_AMOUNT))
 def l08_dispatch_nd(spark, sf):
-    return lg.recent_days(_dispatch(spark, sf), [], list(COUNT_AMOUNT), _day())
+    return lg.recent_days(_dispatch(spark, sf, _recent()), [], list(COUNT_AMOUNT), _day())
 
 
 TD = f"""
@@ -375,8 +380,8 @@ tt AS (SELECT org_id, org_name, truck_model_type, truck_model_type_name, dt, cou
        CAST(sum(dist) AS DECIMAL(26,2)) AS trans_finish_distance, CAST(sum(dur) AS BIGINT) AS trans_finish_dur_sec FROM tasks GROUP BY ALL)"""
 
 
-def _truck_daily(spark, sf):
-    return lg.org_truck_transport_1d(a.transports(spark, sf), a.trucks(spark, sf))
+def _truck_daily(spark, sf, days=None):
+    return lg.org_truck_transport_1d(a.transports(spark, sf, days), a.trucks(spark, sf))
 
 
 @query("l09_org_truck_transport_1d", with_(TASKS, TRUCKS) + "SELECT * FROM tt")
@@ -400,7 +405,7 @@ S4 = (TASKS, ORGANS, PLACES, SHIFT_ND)
 
 def _shift_nd(spark, sf):
     return lg.shift_transport_nd(
-        a.transports(spark, sf), a.organs(spark, sf), a.places(spark, sf), a.shift_lines(spark, sf), a.trucks(spark, sf), _day()
+        a.transports(spark, sf, _recent()), a.organs(spark, sf), a.places(spark, sf), a.shift_lines(spark, sf), a.trucks(spark, sf), _day()
     )
 
 
@@ -416,7 +421,7 @@ def l10_deliver(spark, sf):
 
 @query("l10_org_deliver_nd", with_(PARCELS, ORGANS, PLACES, DELIVER) + _nd("deliver", PLACE, {"order_count": "BIGINT"}))
 def l10_deliver_nd(spark, sf):
-    return lg.recent_days(_deliver(spark, sf), lg.PLACE, ["order_count"], _day())
+    return lg.recent_days(_deliver(spark, sf, _recent()), lg.PLACE, ["order_count"], _day())
 
 
 SORT = """
@@ -430,8 +435,9 @@ sorts AS (
   LEFT JOIN organs o ON s.org_id = o.org_id LEFT JOIN places ON region_id = district_id)"""
 
 
-def _sort(spark, sf):
-    return lg.org_sort_1d(l04_sort(spark, sf), a.organs(spark, sf), a.places(spark, sf))
+def _sort(spark, sf, days=None):
+    sorts = lg.bound_fact(_scans(spark, sf, days), "sort_time", "sorter_emp_id", days)
+    return lg.org_sort_1d(sorts, a.organs(spark, sf), a.places(spark, sf))
 
 
 @query("l10_org_sort_1d", with_(ORGANS, PLACES, SORT) + "SELECT * FROM sorts")
@@ -441,7 +447,7 @@ def l10_sort(spark, sf):
 
 @query("l10_org_sort_nd", with_(ORGANS, PLACES, SORT) + _nd("sorts", PLACE, {"sort_count": "BIGINT"}))
 def l10_sort_nd(spark, sf):
-    return lg.recent_days(_sort(spark, sf), lg.PLACE, ["sort_count"], _day())
+    return lg.recent_days(_sort(spark, sf, _recent()), lg.PLACE, ["sort_count"], _day())
 
 
 # -- reports --------------------------------------------------------------------------
@@ -473,7 +479,7 @@ C, M = "BIGINT", "DECIMAL(36,2)"
     "dispatch": ("dispatch", {"dispatch_order_count": ("order_count", C), "dispatch_order_amount": ("order_amount", M)}),
 }, ""))
 def l11(spark, sf):
-    return lg.receive_dispatch_report(_receive(spark, sf), _dispatch(spark, sf), _day())
+    return lg.receive_dispatch_report(_receive(spark, sf, _recent()), _dispatch(spark, sf, _recent()), _day())
 
 
 TRANS = {"trans_finish_count": ("trans_finish_count", C), "trans_finish_distance": ("trans_finish_distance", M), "trans_finish_dur_sec": ("trans_finish_dur_sec", C)}
@@ -482,17 +488,17 @@ ORD = {"order_count": ("order_count", C), "order_amount": ("order_amount", M)}
 
 @query("l12_transport_totals", with_(TASKS, TRUCKS) + _report_sql({"t": ("tt", TRANS)}, ""))
 def l12_transport(spark, sf):
-    return lg.totals_report(_truck_daily(spark, sf), lg.TRANSPORT, _day())
+    return lg.totals_report(_truck_daily(spark, sf, _recent()), lg.TRANSPORT, _day())
 
 
 @query("l12_order_totals", with_(PARCELS, ORGANS, ORG_ORDERS) + _report_sql({"o": ("oo", ORD)}, ""))
 def l12_orders(spark, sf):
-    return lg.totals_report(_org_orders(spark, sf), list(COUNT_AMOUNT), _day())
+    return lg.totals_report(_org_orders(spark, sf, _recent()), list(COUNT_AMOUNT), _day())
 
 
 @query("l12_cargo_type_totals", with_(PARCELS, ORGANS, ORG_ORDERS) + _report_sql({"o": ("oo", ORD)}, "cargo_type, cargo_type_name"))
 def l12_cargo(spark, sf):
-    return lg.totals_report(_org_orders(spark, sf), list(COUNT_AMOUNT), _day(), ["cargo_type", "cargo_type_name"])
+    return lg.totals_report(_org_orders(spark, sf, _recent()), list(COUNT_AMOUNT), _day(), ["cargo_type", "cargo_type_name"])
 
 
 @query("l13_in_transit", with_(PARCELS, DISPATCH, TD) + """
@@ -520,14 +526,14 @@ def _wrap(ctes: str, body: str) -> str:
 @query("l14_city_report", _wrap(with_(PARCELS, ORGANS, PLACES, ORG_ORDERS, TASKS, TRUCKS, CITY_TRANS),
        _report_sql({"o": ("oo", ORD), "t": ("ct", TRANS)}, "city_id, city_name")))
 def l14_city(spark, sf):
-    trans = lg.transports_with_city(_truck_daily(spark, sf), a.organs(spark, sf), a.places(spark, sf))
-    return lg.place_report(_org_orders(spark, sf), trans, ["city_id", "city_name"], _day())
+    trans = lg.transports_with_city(_truck_daily(spark, sf, _recent()), a.organs(spark, sf), a.places(spark, sf))
+    return lg.place_report(_org_orders(spark, sf, _recent()), trans, ["city_id", "city_name"], _day())
 
 
 @query("l14_org_report", _wrap(with_(PARCELS, ORGANS, ORG_ORDERS, TASKS, TRUCKS),
        _report_sql({"o": ("oo", ORD), "t": ("tt", TRANS)}, "org_id, org_name")))
 def l14_org(spark, sf):
-    return lg.place_report(_org_orders(spark, sf), _truck_daily(spark, sf), ["org_id", "org_name"], _day())
+    return lg.place_report(_org_orders(spark, sf, _recent()), _truck_daily(spark, sf, _recent()), ["org_id", "org_name"], _day())
 
 
 @query("l15_shift_report", with_(*S4) + f"""
@@ -579,7 +585,7 @@ REC = {"receive_order_count": ("order_count", C), "receive_order_amount": ("orde
 
 @query("l18_express_totals", with_(*EXPRESS) + _report_sql({"d": ("deliver", DEL), "s": ("sorts", SRT)}, ""))
 def l18(spark, sf):
-    return lg.express_report(_deliver(spark, sf), _sort(spark, sf), None, [], _day())
+    return lg.express_report(_deliver(spark, sf, _recent()), _sort(spark, sf, _recent()), None, [], _day())
 
 
 def _express(level: str):
@@ -588,7 +594,7 @@ def _express(level: str):
     @query(f"l18_express_by_{level}", with_(*EXPRESS) + _report_sql(
         {"d": ("deliver", DEL), "s": ("sorts", SRT), "r": ("receive", REC)}, ", ".join(keys)))
     def run(spark, sf):
-        return lg.express_report(_deliver(spark, sf), _sort(spark, sf), _receive(spark, sf), keys, _day())
+        return lg.express_report(_deliver(spark, sf, _recent()), _sort(spark, sf, _recent()), _receive(spark, sf, _recent()), keys, _day())
 
 
 for _level in ("province", "city", "org"):

@@ -16,6 +16,7 @@ from saltmarsh.queries.fragments import (
     DETAIL, EVENT_DAY, HORIZONS, PAYMENTS, SHOP_DAY, SKU, VIEWS, ratio, with_,
 )
 from saltmarsh.queries.registry import query
+from saltmarsh.session import checkpointed
 
 
 def _shop_day():
@@ -385,14 +386,17 @@ def d04_history(spark, sf):
     return build_history(o, ["user_id"], "d", ["seq"]).drop("seq")
 
 
-@query("d04_history_apply_changes", """
+APPLIED_SQL = """
 WITH chg AS (SELECT o_custkey AS k, arg_max(o_orderpriority, o_orderkey) AS v FROM orders
              WHERE CAST(o_orderdate AS DATE) >= DATE '2001-07-01' GROUP BY 1)
 SELECT c_custkey AS user_id, c_mktsegment AS level, DATE '1995-01-01' AS start_date,
        CASE WHEN k IS NULL THEN DATE '9999-12-31' ELSE DATE '2001-07-30' END AS end_date
 FROM customer LEFT JOIN chg ON c_custkey = k
 UNION ALL SELECT k, v, DATE '2001-07-31', DATE '9999-12-31' FROM chg
-""")
+"""
+
+
+@query("d04_history_apply_changes", APPLIED_SQL)
 def d04_apply(spark, sf):
     base = a.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("level"))
     history = open_history(base, a.day("1995-01-01"))
@@ -401,6 +405,15 @@ def d04_apply(spark, sf):
     return apply_changes(history, changes, ["user_id"], _shop_day())
 
 
+@query("d04_history_applied_twice", APPLIED_SQL)
+def d04_twice(spark, sf):
+    """The last day runs again over its own result, as after a failed job; the table is that of one run."""
+    once = checkpointed(d04_apply(spark, sf))
+    o = a.table(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp"))
+    changes = o.groupBy(F.col("o_custkey").alias("user_id")).agg(F.max_by("o_orderpriority", "o_orderkey").alias("level"))
+    return apply_changes(once, changes, ["user_id"], _shop_day())
+
+
 # -- summaries --------------------------------------------------------------------
 
 AMOUNTS = """CAST(sum(orig) AS DECIMAL(16,2)) AS order_original_amount_1d, CAST(sum(act) AS DECIMAL(16,2)) AS activity_reduce_amount_1d,

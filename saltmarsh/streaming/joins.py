@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saltmarsh.operators.relations import decode
 from saltmarsh.streaming.inputs import row_image
 
 
@@ -41,8 +42,8 @@ def lookup(stream: DataFrame, dimension: DataFrame, on: str, key: str, columns:
 
 
 def comment_facts(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Comments with the appraisal decoded."""
-    return lookup(comments, dictionary, "appraise", "dic_code", {"appraise_name": "dic_name"})
+    """Comments with the appraisal decoded, without moving them to their appraisal code."""
+    return decode(comments, dictionary, "appraise", "appraise_name", missing="N/A")
 
 
 def route_by_config(batch: DataFrame, config: DataFrame) -> DataFrame:
