@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 # WGS-84 ellipsoid and the mean earth radius in metres.
 SEMI_MAJOR = 6378137.0
@@ -61,10 +61,74 @@ def ellipsoid_metres(lat1, lon1, lat2, lon2, tolerance: float = 1e-12, rounds: i
     return np.where(open_rows, np.nan, metres)
 
 
-def _distances(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
-    return pd.Series(ellipsoid_metres(lat1, lon1, lat2, lon2))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def ellipsoid_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column, tolerance: float = 1e-12, rounds: int = 100) -> Column:
+    """Ellipsoidal metres between two points, native columns; NaN where it does not converge, null for null points.
+
+    The inverse geodesic as a fixed point: each round of the aggregation takes
+    the longitude difference one step on, rounds after the last move are idle.
+    """
+    a, f = SEMI_MAJOR, FLATTENING
+    b = (1 - f) * a
+
+    def reduced(lat: Column) -> Column:
+        return F.atan(F.tan(F.radians(lat)) * (1 - f))
+
+    span = F.radians(lon2 - lon1) + math.pi
+    # the short way round, so a track across the date line stays short
+    start = F.struct(
+        F.sin(reduced(lat1)).alias("su1"), F.cos(reduced(lat1)).alias("cu1"), F.sin(reduced(lat2)).alias("su2"), F.cos(reduced(lat2)).alias("cu2"),
+        (span - F.floor(span / (2 * math.pi)) * (2 * math.pi) - math.pi).alias("span"),
+    )
+
+    def solved(p: Column) -> Column:
+        def step(lam: Column) -> Column:
+            across = p["cu1"] * p["su2"] - p["su1"] * p["cu2"] * F.cos(lam)
+            return _let(F.struct(
+                F.hypot(p["cu2"] * F.sin(lam), across).alias("sin_s"), (p["su1"] * p["su2"] + p["cu1"] * p["cu2"] * F.cos(lam)).alias("cos_s"),
+                (p["cu1"] * p["cu2"] * F.sin(lam)).alias("turn"), lam.alias("lam"),
+            ), angles)
+
+        def angles(q: Column) -> Column:
+            sin_a = F.when(q["sin_s"] == 0, 0.0).otherwise(F.try_divide(q["turn"], q["sin_s"]))
+            return _let(F.struct(
+                q["sin_s"].alias("sin_s"), q["cos_s"].alias("cos_s"), q["lam"].alias("lam"), F.atan2(q["sin_s"], q["cos_s"]).alias("sigma"),
+                sin_a.alias("sin_a"), (1 - sin_a * sin_a).alias("cos2a"),
+            ), middle)
+
+        def middle(q: Column) -> Column:
+            cos2m = F.when(q["cos2a"] == 0, 0.0).otherwise(q["cos_s"] - F.try_divide(2 * p["su1"] * p["su2"], q["cos2a"]))
+            return _let(F.struct(
+                *[q[n].alias(n) for n in ("sin_s", "cos_s", "lam", "sigma", "sin_a", "cos2a")], cos2m.alias("cos2m"),
+                (q["cos2a"] * (4 + f * (4 - 3 * q["cos2a"])) * (f / 16)).alias("c"),
+            ), moved)
+
+        def moved(q: Column) -> Column:
+            bend = q["cos2m"] + q["c"] * q["cos_s"] * (2 * q["cos2m"] * q["cos2m"] - 1)
+            nxt = p["span"] + (1 - q["c"]) * f * q["sin_a"] * (q["sigma"] + q["c"] * q["sin_s"] * bend)
+            return F.struct(
+                nxt.alias("lam"), (F.abs(nxt - q["lam"]) < tolerance).alias("done"),
+                *[q[n].alias(n) for n in ("sin_s", "cos_s", "sigma", "cos2a", "cos2m")],
+            )
+
+        zero = F.lit(0.0)
+        first = F.struct(p["span"].alias("lam"), F.lit(False).alias("done"), *[zero.alias(n) for n in ("sin_s", "cos_s", "sigma", "cos2a", "cos2m")])
+        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), first, lambda acc, _: F.when(acc["done"], acc).otherwise(step(acc["lam"])))
 
+    def metres(q: Column) -> Column:
+        k2 = q["cos2a"] * ((a * a - b * b) / (b * b))
+        return _let(F.struct(
+            (1 + k2 / 16384 * (4096 + k2 * (-768 + k2 * (320 - 175 * k2)))).alias("big_a"),
+            (k2 / 1024 * (256 + k2 * (-128 + k2 * (74 - 47 * k2)))).alias("big_b"), (q["cos2m"] * q["cos2m"]).alias("m2"),
+        ), lambda w: _let(
+            q["cos_s"] * (2 * w["m2"] - 1) - w["big_b"] / 6 * q["cos2m"] * (4 * q["sin_s"] * q["sin_s"] - 3) * (4 * w["m2"] - 3),
+            lambda inner: w["big_a"] * b * (q["sigma"] - w["big_b"] * q["sin_s"] * (q["cos2m"] + w["big_b"] / 4 * inner)),
+        ))
 
-def ellipsoid_distance(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Ellipsoidal metres between two points, computed in Arrow batches."""
-    return F.pandas_udf(_distances, DoubleType())(lat1, lon1, lat2, lon2)
+    length = _let(start, lambda p: _let(solved(p), lambda q: F.when(~q["done"], F.lit(float("nan"))).when(q["sin_s"] == 0, 0.0).otherwise(metres(q))))
+    known = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
+    return F.when(known, length)

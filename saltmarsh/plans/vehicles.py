@@ -28,7 +28,7 @@ def track_distance(
 ) -> DataFrame:
     """Metres driven per vehicle and day: sum over consecutive points.
 
-    ``exact`` uses the ellipsoid in Arrow batches, otherwise native haversine.
+    ``exact`` uses the ellipsoid, otherwise the sphere.
     """
     day = F.to_date(ts)
     dated = points.withColumn("dt", day)

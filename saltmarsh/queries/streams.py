@@ -78,6 +78,60 @@ def change_routes(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("stream_change_places", with_(CHG) + """
+, p AS (SELECT k, CASE WHEN tab = 'mystery' THEN 'unrouted' WHEN tab = 'order_detail' THEN 'order_detail' WHEN tab = 'cart_info' THEN 'cart_add'
+    WHEN tab = 'order_info' THEN CASE WHEN s = 'F' THEN 'order_cancel' ELSE 'unused' END WHEN tab = 'payment_info' THEN CASE WHEN s = 'O' THEN 'payment_success' ELSE 'unused' END
+    WHEN tab = 'order_refund_info' THEN 'order_refund' WHEN tab = 'comment_info' THEN 'comment' WHEN tab = 'coupon_use' THEN CASE WHEN s = 'P' THEN 'coupon_use' ELSE 'coupon_get' END
+    WHEN tab = 'user_info' THEN CASE WHEN op IN ('c', 'r') THEN 'user_register' ELSE 'unused' END END AS route
+  FROM chg UNION ALL
+  SELECT o_orderkey, 'dirty' FROM orders WHERE o_orderkey % 50 = 0)
+SELECT route, k FROM p
+""")
+def change_places(spark, sf):
+    """Each change of the stream in exactly one folder, broken and unknown ones included; read back by record."""
+    folder = shared_folder(spark, "places")
+    parsed = inputs.change_rows(changes_from(_stream(spark, sf, "orders")))
+    rows = parsed.withColumn("route", routes.change_route([])).select("route", "value")
+    _finish(routes.route_records(rows, "route", f"{folder}/out", f"{folder}/cp"))
+    back = spark.read.schema("value string, route string").parquet(f"{folder}/out")
+    key = F.coalesce(F.get_json_object("value", "$.after.id"), F.get_json_object("value", "$.before.id"), F.regexp_extract("value", r"^\{broken (\d+)$", 1))
+    return back.select("route", key.cast("bigint").alias("k"))
+
+
+def _shop_changes(events: DataFrame) -> DataFrame:
+    """Events as changes of the raw shop logs; every 40th is broken, every 37th of another table."""
+    e, i = F.col("event_type"), F.col("event_id")
+    table = F.when(i % 37 == 0, "stock_log").when(e == "view", "user_visit_log").when(e == "click", "page_click_log").when(e == "error", "search_log") \
+        .when(e == "purchase", "order_pay_log").when(i % 2 == 0, "crowd_attribute_log").otherwise("product_interaction_log")
+    fields = ["log_id", "visit_time", "interact_time", "pay_time", "search_time", "click_time", "update_time", "visitor_id", "buyer_id"]
+    times = [F.unix_millis("ts") + n for n in range(6)]
+    values = [i, *times, F.concat(F.lit("v"), F.col("user_id")), F.concat(F.lit("b"), F.col("user_id"))]
+    image = F.create_map(*[x for n, v in zip(fields, values) for x in (F.lit(n), v.cast("string"))])
+    op = F.when(i % 10 == 0, "d").when(i % 10 < 4, "u").when(i % 10 == 9, "x").otherwise("c")
+    record = F.struct(
+        op.alias("op"), F.when(op == "d", image).alias("before"), F.when(op != "d", image).alias("after"),
+        F.create_map(F.lit("db"), F.lit("shop"), F.lit("table"), table).alias("source"), F.unix_millis("ts").alias("ts_ms"),
+    )
+    return events.select(F.when(i % 40 == 0, F.concat(F.lit("{broken "), i)).otherwise(F.to_json(record)).alias("value"))
+
+
+@query("t16_shop_log_routes", """
+SELECT route, event_id, CASE WHEN known THEN CAST(event_id AS VARCHAR) END AS log_id, CASE WHEN known THEN (CASE WHEN route = 'order_pay_log' THEN 'b' ELSE 'v' END) || CAST(user_id AS VARCHAR) END AS visitor_id,
+  CASE WHEN known THEN epoch_us(ts) // 1000 + CASE route WHEN 'user_visit_log' THEN 0 WHEN 'product_interaction_log' THEN 1 WHEN 'order_pay_log' THEN 2 WHEN 'search_log' THEN 3 WHEN 'page_click_log' THEN 4 ELSE 5 END END AS log_time
+FROM (SELECT *, route NOT IN ('dirty', 'unrouted') AS known FROM (SELECT *, CASE WHEN event_id % 40 = 0 THEN 'dirty' WHEN event_id % 37 = 0 THEN 'unrouted' WHEN event_id % 10 = 9 THEN 'dirty'
+  WHEN event_type = 'view' THEN 'user_visit_log' WHEN event_type = 'click' THEN 'page_click_log' WHEN event_type = 'error' THEN 'search_log' WHEN event_type = 'purchase' THEN 'order_pay_log'
+  WHEN event_id % 2 = 0 THEN 'crowd_attribute_log' ELSE 'product_interaction_log' END AS route FROM events))
+""")
+def t16_routes(spark, sf):
+    """Raw shop logs streamed into one folder per log, with dirty and unrouted records beside them; the routes add up to the input."""
+    folder = shared_folder(spark, "shop")
+    rows = routes.shop_log_rows(inputs.change_rows(_shop_changes(_stream(spark, sf, "events"))))
+    _finish(routes.route_records(rows, "route", f"{folder}/out", f"{folder}/cp"))
+    back = spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    key = F.coalesce(F.get_json_object("value", "$.after.log_id"), F.get_json_object("value", "$.before.log_id"), F.regexp_extract("value", r"^\{broken (\d+)$", 1))
+    return back.select("route", key.cast("bigint").alias("event_id"), F.get_json_object("row", "$.log_id").alias("log_id"), "visitor_id", "log_time")
+
+
 @query("stream_log_routes", """
 SELECT 'page' AS route, count(*) AS n FROM events WHERE event_id % 40 <> 0 AND event_type IN ('view', 'click')
 UNION ALL SELECT 'display', 3 * count(*) FROM events WHERE event_id % 40 <> 0 AND event_type = 'view'

@@ -393,7 +393,32 @@ def t23(spark, sf):
     return vehicles.track_distance(_track(spark, sf), "vehicle", "ts", "lat", "lon", "event_id", exact=False)
 
 
-@query("t23_track_ellipsoid")
+# The legs of the track with their distance: the longitude difference is moved to its fixed point, leg by leg.
+LEGS = """
+WITH RECURSIVE fx AS (SELECT 6378137.0::DOUBLE AS ra, 1 / 298.257223563::DOUBLE AS f),
+pts AS (SELECT user_id AS vehicle, CAST(ts AS DATE) AS dt, 30.0::DOUBLE + (event_id % 100) / 1000::DOUBLE AS lat, 120.0::DOUBLE + (event_id % 77) / 1000::DOUBLE AS lon, ts, event_id FROM events),
+nx AS (SELECT *, lead(lat) OVER w AS lat2, lead(lon) OVER w AS lon2 FROM pts WINDOW w AS (PARTITION BY vehicle, dt ORDER BY ts, event_id)),
+pr AS (SELECT DISTINCT lat, lon, lat2, lon2 FROM nx WHERE lat2 IS NOT NULL),
+u AS (SELECT pr.*, f, ra, atan((1 - f) * tan(radians(lat))) AS u1, atan((1 - f) * tan(radians(lat2))) AS u2, radians(lon2 - lon) AS span FROM pr, fx),
+it AS (
+  SELECT lat, lon, lat2, lon2, f, ra, u1, u2, span, span AS lam, 0 AS n, 1e9::DOUBLE AS move, 0.0::DOUBLE AS ss, 0.0::DOUBLE AS cs, 0.0::DOUBLE AS sg, 0.0::DOUBLE AS ca, 0.0::DOUBLE AS cm FROM u
+  UNION ALL
+  SELECT lat, lon, lat2, lon2, f, ra, u1, u2, span, nl, n + 1, abs(nl - lam), ss, cs, sg, ca, cm FROM (
+    SELECT *, span + (1 - c) * f * sa * (sg + c * ss * (cm + c * cs * (2 * cm * cm - 1))) AS nl FROM (
+      SELECT *, f / 16 * ca * (4 + f * (4 - 3 * ca)) AS c, CASE WHEN ca = 0 THEN 0 ELSE cs - 2 * sin(u1) * sin(u2) / ca END AS cm FROM (
+        SELECT *, atan2(ss, cs) AS sg, 1 - sa * sa AS ca FROM (
+          SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa FROM (
+            SELECT lat, lon, lat2, lon2, f, ra, u1, u2, span, lam, n, move, sqrt(power(cos(u2) * sin(lam), 2) + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+              sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it WHERE n < 100 AND move >= 1e-12)))))),
+done AS (SELECT *, ca * (1 / power(1 - f, 2) - 1) AS k FROM it WHERE move < 1e-12),
+ab AS (SELECT *, 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS fa, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS fb FROM done),
+legs AS (SELECT lat, lon, lat2, lon2, CASE WHEN ss = 0 THEN 0 ELSE (1 - f) * ra * fa * (sg - fb * ss * (cm + fb / 4 * (cs * (2 * cm * cm - 1) - fb / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) END AS metres FROM ab)
+"""
+
+
+@query("t23_track_ellipsoid", LEGS + """
+SELECT vehicle, dt, count(*) AS points, round(coalesce(sum(metres), 0), 1) AS metres FROM nx LEFT JOIN legs USING (lat, lon, lat2, lon2) GROUP BY 1, 2
+""")
 def t23_exact(spark, sf):
     return vehicles.track_distance(_track(spark, sf), "vehicle", "ts", "lat", "lon", "event_id")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from saltmarsh.operators.ranking import first_per_key
 from saltmarsh.operators.sequences import ordered_columns
+from saltmarsh.streaming.inputs import AVAILABLE_NOW
 from saltmarsh.streaming.merge import write_batch
 
 
@@ -42,7 +43,7 @@ def newer_only(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], ts: s
     return marked.filter(F.col("_seen").isNull() | (F.col(ts) > F.col("_seen"))).drop("_seen")
 
 
-def first_rows_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
+def first_rows_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:
     """Exact, for keys that may come back at any time: each micro-batch writes its first row per key.
 
     The rows of a key are reduced before the shuffle, and nothing is read back
@@ -51,7 +52,7 @@ def first_rows_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[
     place = [F.col(c) for c in order]
     return (
         df.writeStream.foreachBatch(lambda batch, i: write_batch(first_per_key(batch, keys, place), i, path))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 

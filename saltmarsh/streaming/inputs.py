@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from saltmarsh.functions.documents import CHANGE_RECORD, parse_records
 
+# default trigger of the sinks; {"processingTime": "10 seconds"} keeps a query running
+AVAILABLE_NOW = {"availableNow": True}
+
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, group: str, offset: str = "earliest", rows_per_trigger: int | None = None) -> DataFrame:
     """Topic as a string ``value`` column; null payloads are dropped.

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.operators.relations import decode
-from saltmarsh.streaming.inputs import row_image
+from saltmarsh.streaming.inputs import AVAILABLE_NOW, row_image
 
 
 def interval_join_stream(
@@ -73,11 +73,11 @@ def current_config(config_changes: DataFrame) -> DataFrame:
     )
 
 
-def dimension_sync(changes: DataFrame, read_config: Callable[[], DataFrame], apply: Callable[[DataFrame, int], None], checkpoint: str):
+def dimension_sync(changes: DataFrame, read_config: Callable[[], DataFrame], apply: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping = AVAILABLE_NOW):
     """Route changes by a configuration that is read anew for every micro-batch."""
     return (
         changes.writeStream.foreachBatch(lambda batch, i: apply(route_by_config(batch, read_config()), i))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

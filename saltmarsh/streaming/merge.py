@@ -9,7 +9,7 @@ contains, not what the target holds; :func:`fold_rows` and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from saltmarsh.operators.ranking import top_n_rows
 from saltmarsh.streaming import versions
+from saltmarsh.streaming.inputs import AVAILABLE_NOW
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -29,13 +30,13 @@ def keep_latest_batch(batch: DataFrame, keys: Sequence[str], seq: str) -> DataFr
     return batch.groupBy(*[F.col(k).alias("_k" + k) for k in keys]).agg(F.max_by(box, F.col(seq)).alias("_r")).select("_r.*")
 
 
-def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, output_mode: str = "update") -> StreamingQuery:
+def upsert_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, output_mode: str = "update", trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:
     """Start a query whose result rows replace earlier rows of the same key."""
     return (
         df.writeStream.outputMode(output_mode)
         .foreachBatch(lambda batch, i: write_batch(keep_latest_batch(batch, keys, seq), i, path))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -79,11 +80,11 @@ def cart_partial_rows(changes: DataFrame) -> DataFrame:
     )
 
 
-def partial_update_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str) -> StreamingQuery:
+def partial_update_stream(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str], seq: str, trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(lambda batch, i: write_batch(_with_times(batch, keys, seq), i, path))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -124,7 +125,7 @@ def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], se
     now.write.mode("overwrite").parquet(f"{target}/batch_id=-1")
 
 
-def ranked_stream(df: DataFrame, path: str, checkpoint: str, window: Sequence[str], keys: Sequence[str]) -> StreamingQuery:
+def ranked_stream(df: DataFrame, path: str, checkpoint: str, window: Sequence[str], keys: Sequence[str], trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:
     """Windowed sums in update mode, kept per (window, key) for ranking on read.
 
     A window may change over several micro-batches, so the rank is taken over
@@ -134,7 +135,7 @@ def ranked_stream(df: DataFrame, path: str, checkpoint: str, window: Sequence[st
         df.writeStream.outputMode("update")
         .foreachBatch(lambda batch, i: write_batch(batch, i, path))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -170,13 +171,13 @@ def jdbc_sink(df: DataFrame, url: str, table: str, properties: dict[str, str], c
     )
 
 
-def json_lines_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> StreamingQuery:
+def json_lines_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:
     """JSON-lines files for a bulk load; a replayed batch overwrites its own files."""
     return (
         df.writeStream.outputMode(output_mode)
         .foreachBatch(lambda batch, i: batch.write.mode("overwrite").json(f"{path}/batch_id={i}"))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 

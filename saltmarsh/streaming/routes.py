@@ -7,19 +7,22 @@ routes of a batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.functions.documents import LOG_RECORD, parse_records
-from saltmarsh.streaming.inputs import row_image
+from saltmarsh.streaming.inputs import AVAILABLE_NOW, row_image
 
 Router = dict[str, Callable[[DataFrame], DataFrame]]
 
 
 def parse_logs(df: DataFrame, column: str = "value") -> DataFrame:
-    return parse_records(df, column, LOG_RECORD)
+    """Log records; ``is_dirty`` marks broken JSON and records without the ``common`` part."""
+    rows = parse_records(df, column, LOG_RECORD)
+    return rows.withColumn("is_dirty", F.col("is_dirty") | (F.col(column).isNotNull() & F.col("rec.common").isNull()))
 
 
 def _good(logs: DataFrame) -> DataFrame:
@@ -93,64 +96,71 @@ LOG_ROUTES: Router = {
 }
 
 
-def _fact(table: str, columns: dict[str, str], cond: Callable[[], Column] | None = None, inserts_only: bool = False):
+@dataclass(frozen=True)
+class ChangeFact:
     """Projection of one source table: new column -> "field:type"."""
 
-    def build(changes: DataFrame) -> DataFrame:
-        rows = changes.filter(~F.col("is_dirty") & (F.col("table") == table)).withColumn("_row", row_image())
-        if cond is not None:
-            rows = rows.filter(cond())
-        if inserts_only:
-            rows = rows.filter(F.col("op").isin("c", "r"))
+    table: str
+    columns: Mapping[str, str]
+    condition: Callable[[], Column] | None = None
+    inserts_only: bool = False
+
+    def matches(self) -> Column:
+        out = ~F.col("is_dirty") & (F.col("table") == self.table)
+        if self.condition is not None:
+            out &= self.condition()
+        if self.inserts_only:
+            out &= F.col("op").isin("c", "r")
+        return out
+
+    def __call__(self, changes: DataFrame) -> DataFrame:
         out = []
-        for new, spec in columns.items():
+        for new, spec in self.columns.items():
             field, _, kind = spec.partition(":")
-            value = F.col("_row")[field]
+            value = row_image()[field]
             out.append((value.try_cast(kind) if kind else value).alias(new))
-        return rows.select(*out, F.col("ts_ms").alias("ts"))
-
-    return build
+        return changes.filter(self.matches()).select(*out, F.col("ts_ms").alias("ts"))
 
 
 def _equals(field: str, code: str) -> Callable[[], Column]:
-    return lambda: F.col("_row")[field] == code
+    return lambda: row_image()[field] == code
 
 
 MONEY = "decimal(16,2)"
 
 # Source tables, status codes and fields of the change facts.
 CHANGE_ROUTES: Router = {
-    "order_detail": _fact("order_detail", {
+    "order_detail": ChangeFact("order_detail", {
         "id": "id", "order_id": "order_id", "user_id": "user_id", "sku_id": "sku_id", "sku_name": "sku_name",
         "sku_num": "sku_num:int", "split_original_amount": f"order_price:{MONEY}",
         "split_activity_amount": f"split_activity_amount:{MONEY}",
         "split_coupon_amount": f"split_coupon_amount:{MONEY}",
         "split_total_amount": f"split_total_amount:{MONEY}", "create_time": "create_time:bigint",
     }),
-    "cart_add": _fact("cart_info", {"id": "id", "user_id": "user_id", "sku_id": "sku_id", "sku_num": "sku_num:int"}),
-    "order_cancel": _fact("order_info", {
+    "cart_add": ChangeFact("cart_info", {"id": "id", "user_id": "user_id", "sku_id": "sku_id", "sku_num": "sku_num:int"}),
+    "order_cancel": ChangeFact("order_info", {
         "id": "id", "user_id": "user_id", "cancel_time": "operate_time:bigint",
         "split_total_amount": f"total_amount:{MONEY}",
     }, _equals("order_status", "1003")),
-    "payment_success": _fact("payment_info", {
+    "payment_success": ChangeFact("payment_info", {
         "id": "id", "order_id": "order_id", "user_id": "user_id", "payment_type": "payment_type",
         "callback_time": "callback_time:bigint", "split_payment_amount": f"total_amount:{MONEY}",
     }, _equals("payment_status", "1603")),
-    "order_refund": _fact("order_refund_info", {
+    "order_refund": ChangeFact("order_refund_info", {
         "id": "id", "order_id": "order_id", "user_id": "user_id", "sku_id": "sku_id",
         "refund_num": "refund_num:int", "refund_amount": f"refund_amount:{MONEY}", "create_time": "create_time:bigint",
     }),
-    "comment": _fact("comment_info", {
+    "comment": ChangeFact("comment_info", {
         "id": "id", "user_id": "user_id", "sku_id": "sku_id", "order_id": "order_id", "appraise": "appraise",
         "comment_txt": "comment_txt", "create_time": "create_time:bigint",
     }),
-    "coupon_get": _fact("coupon_use", {
+    "coupon_get": ChangeFact("coupon_use", {
         "id": "id", "user_id": "user_id", "coupon_id": "coupon_id", "get_time": "get_time:bigint",
     }, _equals("coupon_status", "1401")),
-    "coupon_use": _fact("coupon_use", {
+    "coupon_use": ChangeFact("coupon_use", {
         "id": "id", "user_id": "user_id", "coupon_id": "coupon_id", "order_id": "order_id",
     }, _equals("coupon_status", "1402")),
-    "user_register": _fact("user_info", {
+    "user_register": ChangeFact("user_info", {
         "id": "id", "login_name": "login_name", "register_time": "create_time:bigint", "province_id": "province_id",
     }, inserts_only=True),
 }
@@ -165,6 +175,25 @@ def unrouted_changes(changes: DataFrame, dimension_tables: list[str], column: st
     return changes.filter(~F.col("is_dirty") & ~known).select(column)
 
 
+def complete_change_routes(dimension_tables: list[str]) -> Router:
+    """The fact routes with the channels ``dirty`` and ``unrouted`` beside them."""
+    return {**CHANGE_ROUTES, "dirty": dirty, "unrouted": lambda rows: unrouted_changes(rows, dimension_tables)}
+
+
+def change_route(dimension_tables: list[str]) -> Column:
+    """The one place of a change.
+
+    ``dirty``, the name of its fact, ``dimension``, ``unused`` (a fact table's
+    record that no fact takes) or ``unrouted``; a null record is ``unrouted``.
+    """
+    out = F.when(F.col("is_dirty"), "dirty")
+    for name, fact in CHANGE_ROUTES.items():
+        out = out.when(fact.matches(), name)
+    if dimension_tables:
+        out = out.when(F.col("table").isin(*dimension_tables), "dimension")
+    return out.when(F.col("table").isin(*FACT_TABLES), "unused").otherwise("unrouted")
+
+
 def cart_add_delta(changes: DataFrame) -> DataFrame:
     """Added quantity: the snapshot value, or the increase of an update."""
     after = F.col("after")["sku_num"].try_cast("int")
@@ -195,6 +224,40 @@ def shop_log(changes: DataFrame, table: str, columns: dict[str, str]) -> DataFra
     return rows.select(*[F.col("_row")[c].try_cast(kind).alias(c) for c, kind in columns.items()], "op", "ts_ms")
 
 
+def shop_log_route() -> Column:
+    """Name of the raw shop log of a change, else ``dirty`` or ``unrouted``.
+
+    A record of a shop log without a row image (an unknown operation) is dirty.
+    """
+    known = F.col("table").isin(*SHOP_LOGS)
+    broken = F.col("is_dirty") | (known & ~F.coalesce(F.col("op").isin("c", "r", "u", "d") & row_image().isNotNull(), F.lit(False)))
+    return F.when(broken, "dirty").when(known, F.col("table")).otherwise("unrouted")
+
+
+def shop_log_rows(changes: DataFrame, column: str = "value") -> DataFrame:
+    """Every change with its route and, for shop logs, the row as JSON, its visitor and its time."""
+    def field(at: int) -> Column:
+        names = F.create_map(*[F.lit(x) for table, fields in SHOP_LOGS.items() for x in (table, fields[at])])
+        return F.when(F.col("route").isin(*SHOP_LOGS), F.try_element_at(row_image(), F.try_element_at(names, F.col("route"))))
+
+    rows = changes.withColumn("route", shop_log_route())
+    image = F.when(F.col("route").isin(*SHOP_LOGS), F.to_json(row_image()))
+    return rows.select("route", column, "op", image.alias("row"), field(1).alias("visitor_id"), field(0).try_cast("bigint").alias("log_time"))
+
+
+def route_records(rows: DataFrame, route: Column | str, path: str, checkpoint: str, kind: str = "parquet", trigger: Mapping = AVAILABLE_NOW):
+    """Start one query that writes each record to exactly one folder ``path/route=<name>``.
+
+    The file sink commits a micro-batch as a whole, so a replay changes nothing.
+    Read the folder back with its schema: routes that got no record have no folder.
+    """
+    return (
+        rows.withColumn("route", route if isinstance(route, Column) else F.col(route))
+        .writeStream.format(kind).partitionBy("route").option("path", path)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def write_routes(batch: DataFrame, batch_id: int, routes: Router, path: str, kind: str = "json") -> None:
     """Write every route of one micro-batch below ``path/<route>/batch_id=<n>``.
 
@@ -208,11 +271,11 @@ def write_routes(batch: DataFrame, batch_id: int, routes: Router, path: str, kin
         batch.unpersist()
 
 
-def route_stream(parsed: DataFrame, routes: Router, path: str, checkpoint: str, kind: str = "json"):
+def route_stream(parsed: DataFrame, routes: Router, path: str, checkpoint: str, kind: str = "json", trigger: Mapping = AVAILABLE_NOW):
     """Start one query that writes all routes of a parsed stream."""
     return (
         parsed.writeStream.foreachBatch(lambda b, i: write_routes(b, i, routes, path, kind))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from saltmarsh.operators.sequences import ordered_columns
+from saltmarsh.streaming.inputs import AVAILABLE_NOW
 
 NO_TIMEOUT = GroupStateTimeout.NoTimeout
 
@@ -308,7 +309,7 @@ def run_until_idle(df: DataFrame, path: str, checkpoint: str, idle_ms: int, inte
 
 def first_state_stream(
     df: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str], kept: Column,
-    flag: Callable[[Column], Column], name: str,
+    flag: Callable[[Column], Column], name: str, trigger: Mapping = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Flag rows by the first value of their key, without a Python group per key.
 
@@ -336,7 +337,7 @@ def first_state_stream(
             batch.unpersist()
 
     return (
-        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
@@ -368,7 +369,8 @@ def first_seen_table(df: DataFrame, path: str, checkpoint: str, visitor: str, or
 
 
 def newer_only_table(
-    df: DataFrame, path: str, checkpoint: str, key: str, arrival: Sequence[str], ts: str, slice_by: Column
+    df: DataFrame, path: str, checkpoint: str, key: str, arrival: Sequence[str], ts: str, slice_by: Column,
+    trigger: Mapping = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """Latest-only filter with the greatest time per key in a state table.
 
@@ -393,5 +395,5 @@ def newer_only_table(
             batch.unpersist()
 
     return (
-        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )

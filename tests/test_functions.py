@@ -114,3 +114,18 @@ def test_ellipsoid_known_lengths():
 
 def test_ellipsoid_does_not_converge_for_antipodes():
     assert np.isnan(geo.ellipsoid_metres([0.0], [0.0], [0.3], [179.9])[0])
+
+
+def test_native_ellipsoid_equals_arrays(spark):
+    rng = np.random.default_rng(7)
+    lat, lon = rng.uniform(-90, 90, (2, 300)), rng.uniform(-180, 180, (2, 300))
+    lat[1, :100], lon[1, :100] = lat[0, :100] + 0.001, lon[0, :100] - 0.002
+    points = [*zip(lat[0], lon[0], lat[1], lon[1]), (0.0, 0.0, 0.3, 179.9), (10.0, 20.0, 10.0, 20.0), (0.0, 179.5, 0.0, -179.5), (90.0, 0.0, -90.0, 0.0), (0.0, 0.0, 0.0, 180.0)]
+    points = [tuple(float(x) for x in p) for p in points]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)] + [(len(points), None, 1.0, 2.0, 3.0)], "i int, a double, b double, c double, d double")
+    got = [r[0] for r in df.select("i", geo.ellipsoid_distance(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("m")).orderBy("i").select("m").collect()]
+    assert got[-1] is None
+    want = geo.ellipsoid_metres(*zip(*points))
+    assert np.isnan(want[300]) and want[301] == 0.0
+    # both stop once a step is below 1e-12 radians, some micrometres on the ground
+    assert np.allclose(np.array(got[:-1], dtype="float64"), want, atol=1e-4, rtol=0, equal_nan=True)

@@ -200,6 +200,56 @@ def test_change_routes(spark):
     assert [r[0] for r in rows(merge.cart_partial_rows(parsed), "id")] == ["1", "2", "3", "4", None]
 
 
+def test_each_change_has_one_place(spark, folder, tmp_path):
+    lines = [*CHANGES, change("coupon_use", "u", {"id": "z", "coupon_status": "1403"}), None]
+    f = folder("value string").add(*[{"value": c} for c in lines[:7]]).add(*[{"value": c} for c in lines[7:]])
+    parsed = inputs.change_rows(f.stream()).withColumn("route", routes.change_route(["base_dic"])).select("route", "value")
+    out = str(tmp_path / "places")
+    routes.route_records(parsed, "route", out, str(tmp_path / "cp")).awaitTermination()
+    back = spark.read.schema("value string, route string").parquet(out)
+    assert rows(back.groupBy("route").count(), "route", "count") == sorted(
+        [("cart_add", 6), ("dimension", 1), ("dirty", 1), ("order_cancel", 1), ("unrouted", 2), ("unused", 3), ("user_register", 1)]
+    )
+    # the route of a record is the fact that takes it
+    batch = inputs.change_rows(spark.createDataFrame([(c,) for c in lines], "value string")).withColumn("route", routes.change_route([]))
+    for name, fact in routes.CHANGE_ROUTES.items():
+        assert fact(batch).count() == batch.filter(F.col("route") == name).count()
+    complete = routes.complete_change_routes(["base_dic"])
+    assert complete["dirty"](batch).count() == 1 and complete["unrouted"](batch).count() == 2
+
+
+def test_log_records_without_common_are_dirty(spark):
+    lines = ['{"page": {"page_id": "p"}, "ts": 1}', '{"common": null, "ts": 2}', '{"common": {"mid": "m"}, "page": {"page_id": "p"}, "ts": 3}', None]
+    logs = routes.parse_logs(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert [r[0] for r in rows(routes.dirty(logs), "value")] == [lines[1], lines[0]]
+    assert rows(routes.page_log(logs), "mid", "ts") == [("m", 3)]
+
+
+def test_shop_logs_have_one_place(spark):
+    lines = [
+        change("order_pay_log", "d", None, {"buyer_id": "b", "pay_time": "5"}), change("search_log", "c", {"visitor_id": "v", "search_time": "x"}),
+        change("search_log", "c"), change("page_click_log", "q", {"visitor_id": "v"}), change("stock_log", "c", {"id": "1"}), "{broken", None,
+    ]
+    got = routes.shop_log_rows(inputs.change_rows(spark.createDataFrame([(x,) for x in lines], "value string")))
+    assert rows(got, "route", "visitor_id", "log_time") == sorted([
+        ("order_pay_log", "b", 5), ("search_log", "v", None), ("dirty", None, None), ("dirty", None, None), ("dirty", None, None),
+        ("unrouted", None, None), ("unrouted", None, None),
+    ], key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_trigger_is_a_choice(spark, folder, tmp_path):
+    f = folder("value string").add({"value": "a"})
+    running = routes.route_records(f.stream(), F.lit("all"), str(tmp_path / "o"), str(tmp_path / "cp"), trigger={"processingTime": "200 milliseconds"})
+    try:
+        running.processAllAvailable()
+        f.add({"value": "b"})
+        running.processAllAvailable()
+        assert running.isActive
+    finally:
+        running.stop()
+    assert rows(spark.read.parquet(str(tmp_path / "o")), "value") == [("a",), ("b",)]
+
+
 def test_config_routing_follows_config_changes(spark):
     parsed = inputs.change_rows(spark.createDataFrame([(c,) for c in CHANGES], "value string")).filter("not is_dirty")
     configs = spark.createDataFrame([
