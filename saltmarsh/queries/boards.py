@@ -389,6 +389,125 @@ def w10(spark, sf):
     return out.withColumn("related_hot_product_ids", F.array_join("related_hot_product_ids", ","))
 
 
+# -- the same day on order lines: the parts, orders and buyers of the tables as they are ----
+
+
+def _lines(spark, sf):
+    l, o = a.table(spark, sf, "lineitem"), a.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return l.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+
+
+def _line_visits(spark, sf):
+    rows = _lines(spark, sf).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("visit_time"),
+        F.concat(F.lit("src"), F.col("l_linenumber") % 4).alias("visit_source"),
+    )
+    sources = a.table(spark, sf, "region").select(
+        F.concat(F.lit("src"), F.col("r_regionkey")).alias("source_name"), F.lower("r_name").alias("source_type")
+    ).filter(F.col("source_name") != "src3")
+    return b.visit_detail(rows, _catalogue(spark, sf), sources)
+
+
+def _line_sales(spark, sf):
+    rows = _lines(spark, sf).filter(F.col("l_returnflag") != "R").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("sku_id"),
+        F.col("o_custkey").alias("user_id"), F.col("l_extendedprice").cast("decimal(16,2)").alias("pay_amount"),
+        F.col("l_quantity").cast("bigint").alias("pay_num"), F.col("l_shipdate").alias("pay_time"),
+    ).join(_catalogue(spark, sf).select("product_id", "category_id"), "product_id", "left")
+    return b.sale_detail(rows, _categories(spark, sf))
+
+
+def _line_searches(spark, sf):
+    rows = _lines(spark, sf).filter(F.col("l_linenumber") < 4).select(
+        F.col("o_custkey").alias("user_id"), F.concat(F.lit(" from "), F.col("l_suppkey"), F.lit(" ")).alias("search_word"),
+        F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("search_time"),
+    )
+    return b.search_detail(rows, _catalogue(spark, sf), _categories(spark, sf))
+
+
+LINE_VISITS = """
+vis AS (
+  SELECT user_id, product_id, p_type AS category_id, visit_time, md5(s.source_name) AS source_id, s.source_name, s.source_type, 60 AS stay_time, CAST(visit_time AS DATE) AS dt
+  FROM (SELECT o_custkey AS user_id, l_partkey AS product_id, l_shipdate AS visit_time, min('src' || CAST(l_linenumber % 4 AS VARCHAR)) AS src
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3)
+  JOIN part ON product_id = p_partkey
+  LEFT JOIN (SELECT 'src' || CAST(r_regionkey AS VARCHAR) AS source_name, lower(r_name) AS source_type FROM region WHERE r_regionkey <> 3) s ON src = s.source_name
+)"""
+LINE_SALES = """
+sal AS (
+  SELECT order_id, product_id, sku_id, user_id, pay_amount, pay_num, pay_time, p_type AS category_id, lower(p_type) AS category_name, CAST(pay_time AS DATE) AS dt
+  FROM (SELECT *, row_number() OVER (PARTITION BY order_id, sku_id ORDER BY pay_time, pay_amount, product_id) AS rn
+    FROM (SELECT l_orderkey AS order_id, l_partkey AS product_id, l_partkey * 10 + l_linenumber AS sku_id, o_custkey AS user_id,
+          CAST(l_extendedprice AS DECIMAL(16,2)) AS pay_amount, CAST(l_quantity AS BIGINT) AS pay_num, l_shipdate AS pay_time
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R')
+    WHERE pay_amount > 0 AND pay_num > 0)
+  LEFT JOIN part ON product_id = p_partkey WHERE rn = 1
+)"""
+LINE_SEARCHES = """
+sea AS (
+  SELECT user_id, search_word, product_id, search_time, p_type AS category_id, lower(p_type) AS category_name, CAST(search_time AS DATE) AS dt
+  FROM (SELECT o_custkey AS user_id, 'from ' || CAST(l_suppkey AS VARCHAR) AS search_word, l_shipdate AS search_time, min(l_partkey) AS product_id
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber < 4 GROUP BY 1, 2, 3) JOIN part ON product_id = p_partkey
+)"""
+LINE_VISIT_SUMMARY = """
+vs AS (SELECT x.product_id, x.category_id, source_visitors, total_visitor_num, total_visit_num, coalesce(pay_user_num, 0) AS pay_user_num,
+  round(CAST(coalesce(pay_user_num, 0) AS DOUBLE) * 100.0 / total_visitor_num, 2) AS pay_conversion_rate
+  FROM (SELECT product_id, category_id, count(DISTINCT user_id) AS total_visitor_num, count(*) AS total_visit_num FROM vis GROUP BY 1, 2) x
+  JOIN (SELECT product_id, string_agg(s || '=' || CAST(u AS VARCHAR), ',' ORDER BY s) AS source_visitors FROM (
+      SELECT product_id, coalesce(source_name, 'unknown') AS s, count(DISTINCT user_id) AS u FROM vis GROUP BY 1, 2) GROUP BY 1) m ON x.product_id = m.product_id
+  LEFT JOIN (SELECT product_id, count(DISTINCT user_id) AS pay_user_num FROM sal GROUP BY 1) p ON x.product_id = p.product_id)"""
+
+
+def _source_text(summary):
+    entries = F.transform(F.map_entries("source_visitor_map"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return summary.withColumn("source_visitors", F.array_join(F.array_sort(entries), ",")).drop("source_visitor_map")
+
+
+@query("w05_line_visit_detail", with_(LINE_VISITS) + "SELECT * FROM vis")
+def w05_line_visit(spark, sf):
+    return _line_visits(spark, sf)
+
+
+@query("w05_line_sale_detail", with_(LINE_SALES) + "SELECT * FROM sal")
+def w05_line_sale(spark, sf):
+    return _line_sales(spark, sf)
+
+
+@query("w05_line_search_detail", with_(LINE_SEARCHES) + "SELECT * FROM sea")
+def w05_line_search(spark, sf):
+    return _line_searches(spark, sf)
+
+
+@query("w06_line_product_sales", with_(LINE_SALES, SALE_SUMMARY) + "SELECT * FROM ss")
+def w06_line_sale(spark, sf):
+    return b.product_sale_summary(_line_sales(spark, sf), _catalogue(spark, sf))
+
+
+@query("w06_line_product_visits", with_(LINE_VISITS, LINE_SALES, LINE_VISIT_SUMMARY) + "SELECT * FROM vs")
+def w06_line_visit(spark, sf):
+    """Visitors of several sources count once per product."""
+    return _source_text(b.product_visit_summary(_line_visits(spark, sf), _line_sales(spark, sf)))
+
+
+@query("w06_line_search_words", with_(LINE_SEARCHES, WORDS) + "SELECT * FROM ws")
+def w06_line_words(spark, sf):
+    return b.search_word_summary(_line_searches(spark, sf))
+
+
+@query("w08_line_category_ranking", with_(LINE_SALES, SALE_SUMMARY) + """
+, c AS (SELECT category_id, category_name, CAST(sum(total_sales_amount) AS DECIMAL(20,2)) AS total_sales_amount, CAST(sum(total_sales_num) AS BIGINT) AS total_sales_num FROM ss GROUP BY 1, 2)
+SELECT *, round(CAST(total_sales_amount AS DOUBLE) / CAST((SELECT sum(total_sales_amount) FROM c) AS DOUBLE) * 100, 2) AS sales_contribution,
+  row_number() OVER (ORDER BY total_sales_amount DESC, category_id) AS sales_rank FROM c
+""")
+def w08_line(spark, sf):
+    return b.category_ranking(w06_line_sale(spark, sf))
+
+
+@query("w09_line_hot_products", with_(LINE_VISITS, LINE_SALES, SALE_SUMMARY, LINE_VISIT_SUMMARY, HOT) + "SELECT * FROM hot")
+def w09_line(spark, sf):
+    return b.hot_products(w06_line_sale(spark, sf), b.product_visit_summary(_line_visits(spark, sf), _line_sales(spark, sf)))
+
+
 # -- scorecards ---------------------------------------------------------------------------
 
 

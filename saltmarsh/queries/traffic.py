@@ -683,6 +683,30 @@ def t14_lines(spark, sf):
     return out.select("order_id", "sku_id", "spending_pow", *[profile.band_column(f, b) for f in _ORDER_F for b in _B])
 
 
+LINE_FULL_PROFILE = LINE_PROFILE.replace(" FROM lineitem", f""", ['iOS', 'Android', 'Other'][l_orderkey % 3 + 1] AS judge_os, {_sql_list(SEARCH)}[l_orderkey % 5 + 1] AS cat FROM lineitem""")
+_LINE_SUMS = ", ".join(
+    "CAST(" + " + ".join(f"CASE WHEN {FACTOR_COLUMNS[f]} IS NULL THEN 0 ELSE {_points_sql([f], i)} END" for f in FACTOR_COLUMNS) + f" AS DOUBLE) AS {n}"
+    for i, n in enumerate(_SUM_NAMES)
+)
+
+
+@query("t15_line_best_band", with_(LINE_FULL_PROFILE, *_ALL_W) + f"""
+SELECT order_id, {', '.join(_SUM_NAMES)}, {_BEST} AS best_band, greatest({', '.join(_SUM_NAMES)}) AS best_score FROM (SELECT order_id, {_LINE_SUMS} FROM prof {_JOINS})
+""")
+def t15_lines(spark, sf):
+    """Full score of order lines with their own part, so the join grows with both tables."""
+    k, w = F.col("l_orderkey"), profile.weight_table(spark)
+    lines = a.table(spark, sf, "lineitem").select(
+        (k * 10 + F.col("l_linenumber")).alias("order_id"), F.col("l_partkey").alias("sku_id"),
+        F.timestamp_seconds(F.unix_timestamp(a.day("2001-01-01").cast("timestamp")) + (k % 24) * 3600).alias("pay_time"),
+        (F.col("l_extendedprice") / 100).cast("decimal(16,2)").alias("total_amount"),
+        F.concat(_pick(["iOS", "Android", "Other"], k % 3), F.lit(",x")).alias("os"), F.concat(F.lit("item"), k % 5).alias("search_item"),
+    )
+    rows = profile.order_scores(lines, w, _sku_names(spark, sf))
+    out = profile.total_scores(profile.device_search_scores(rows, w, _search_names(spark, sf)))
+    return out.select("order_id", *_SUM_NAMES, "best_band", "best_score")
+
+
 def _scored(spark, sf):
     w = profile.weight_table(spark)
     rows = profile.order_scores(_order_rows(spark, sf), w, _sku_names(spark, sf))

@@ -177,3 +177,15 @@ def test_sku_names_cover_the_whole_part_table(spark, tmp_path):
         F.lit(1.0).alias("p_retailprice"),
     ).write.parquet(str(tmp_path / "part.parquet"))
     assert traffic._sku_names(spark, str(tmp_path)).count() == 1000
+
+
+def test_visitor_of_two_sources_counts_once(spark):
+    visits = spark.createDataFrame(
+        [(1, 7, "c", "a"), (1, 7, "c", "b"), (1, 7, "c", "b"), (2, 7, "c", "b"), (3, 7, "c", None), (None, 7, "c", "a"), (1, 8, "c", "a")],
+        "user_id int, product_id int, category_id string, source_name string",
+    )
+    sales = spark.createDataFrame([(7, 1), (7, 1), (7, None), (9, 4)], "product_id int, user_id int")
+    got = {r["product_id"]: r for r in boards.product_visit_summary(visits, sales).collect()}
+    assert got[7]["source_visitor_map"] == {"a": 2, "b": 2, "unknown": 1}
+    assert [got[7][c] for c in ("total_visitor_num", "total_visit_num", "pay_user_num", "pay_conversion_rate")] == [4, 6, 1, 25.0]
+    assert [got[8][c] for c in ("total_visitor_num", "total_visit_num", "pay_user_num", "pay_conversion_rate")] == [1, 1, 0, 0.0]
