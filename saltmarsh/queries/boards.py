@@ -449,6 +449,13 @@ sea AS (
   FROM (SELECT o_custkey AS user_id, 'from ' || CAST(l_suppkey AS VARCHAR) AS search_word, l_shipdate AS search_time, min(l_partkey) AS product_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber < 4 GROUP BY 1, 2, 3) JOIN part ON product_id = p_partkey
 )"""
+# the mean price rounded half up in whole numbers, as ties are common with lines of two decimals
+LINE_SALE_SUMMARY = """
+ss AS (SELECT product_id, product_name, category_id, category_name, total_sales_amount, total_sales_num, total_order_num,
+    CAST((CAST(total_sales_amount * 100 AS BIGINT) * 200 + n) // (2 * n) AS DOUBLE) / 10000 AS avg_price
+  FROM (SELECT product_id, p_name AS product_name, category_id, category_name, CAST(sum(pay_amount) AS DECIMAL(26,2)) AS total_sales_amount,
+      CAST(sum(pay_num) AS BIGINT) AS total_sales_num, count(DISTINCT order_id) AS total_order_num, count(*) AS n
+    FROM sal JOIN part ON product_id = p_partkey GROUP BY 1, 2, 3, 4))"""
 LINE_VISIT_SUMMARY = """
 vs AS (SELECT x.product_id, x.category_id, source_visitors, total_visitor_num, total_visit_num, coalesce(pay_user_num, 0) AS pay_user_num,
   round(CAST(coalesce(pay_user_num, 0) AS DOUBLE) * 100.0 / total_visitor_num, 2) AS pay_conversion_rate
@@ -478,7 +485,7 @@ def w05_line_search(spark, sf):
     return _line_searches(spark, sf)
 
 
-@query("w06_line_product_sales", with_(LINE_SALES, SALE_SUMMARY) + "SELECT * FROM ss")
+@query("w06_line_product_sales", with_(LINE_SALES, LINE_SALE_SUMMARY) + "SELECT * FROM ss")
 def w06_line_sale(spark, sf):
     return b.product_sale_summary(_line_sales(spark, sf), _catalogue(spark, sf))
 
@@ -494,7 +501,7 @@ def w06_line_words(spark, sf):
     return b.search_word_summary(_line_searches(spark, sf))
 
 
-@query("w08_line_category_ranking", with_(LINE_SALES, SALE_SUMMARY) + """
+@query("w08_line_category_ranking", with_(LINE_SALES, LINE_SALE_SUMMARY) + """
 , c AS (SELECT category_id, category_name, CAST(sum(total_sales_amount) AS DECIMAL(20,2)) AS total_sales_amount, CAST(sum(total_sales_num) AS BIGINT) AS total_sales_num FROM ss GROUP BY 1, 2)
 SELECT *, round(CAST(total_sales_amount AS DOUBLE) / CAST((SELECT sum(total_sales_amount) FROM c) AS DOUBLE) * 100, 2) AS sales_contribution,
   row_number() OVER (ORDER BY total_sales_amount DESC, category_id) AS sales_rank FROM c
@@ -503,7 +510,7 @@ def w08_line(spark, sf):
     return b.category_ranking(w06_line_sale(spark, sf))
 
 
-@query("w09_line_hot_products", with_(LINE_VISITS, LINE_SALES, SALE_SUMMARY, LINE_VISIT_SUMMARY, HOT) + "SELECT * FROM hot")
+@query("w09_line_hot_products", with_(LINE_VISITS, LINE_SALES, LINE_SALE_SUMMARY, LINE_VISIT_SUMMARY, HOT) + "SELECT * FROM hot")
 def w09_line(spark, sf):
     return b.hot_products(w06_line_sale(spark, sf), b.product_visit_summary(_line_visits(spark, sf), _line_sales(spark, sf)))
 
