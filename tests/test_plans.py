@@ -189,3 +189,13 @@ def test_visitor_of_two_sources_counts_once(spark):
     assert got[7]["source_visitor_map"] == {"a": 2, "b": 2, "unknown": 1}
     assert [got[7][c] for c in ("total_visitor_num", "total_visit_num", "pay_user_num", "pay_conversion_rate")] == [4, 6, 1, 25.0]
     assert [got[8][c] for c in ("total_visitor_num", "total_visit_num", "pay_user_num", "pay_conversion_rate")] == [1, 1, 0, 0.0]
+
+
+def test_mean_price_rounds_ties_up(spark):
+    # 1080543.63 / 24 and 744885.82 / 16 end in a five at the fifth place
+    lines = [(1, 0, "1080543.63")] + [(1, i, "0.00") for i in range(1, 24)] + [(2, 0, "744885.82")] + [(2, i, "0.00") for i in range(1, 16)]
+    sales = spark.createDataFrame(lines, "product_id int, order_id int, amount string").select(
+        "product_id", "order_id", F.lit("c").alias("category_id"), F.lit("c").alias("category_name"), F.col("amount").cast("decimal(16,2)").alias("pay_amount"), F.lit(1).alias("pay_num")
+    )
+    names = spark.createDataFrame([(1, "a"), (2, "b")], "product_id int, product_name string")
+    assert rows(boards.product_sale_summary(sales, names), "product_id", "avg_price") == [(1, 45022.6513), (2, 46555.3638)]
