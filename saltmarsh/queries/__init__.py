@@ -6,7 +6,7 @@ from importlib import import_module
 
 from saltmarsh.queries.registry import ENTRIES, Entry
 
-MODULES = ["retail", "logistics", "boards", "traffic", "relational", "streams"]
+MODULES = ["retail", "logistics", "boards", "traffic", "relational", "streams", "stores"]
 
 
 def all_entries() -> dict[str, Entry]:

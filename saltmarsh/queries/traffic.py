@@ -358,6 +358,23 @@ def stm15_latest(spark, sf):
     return state.latest_profile(a.events(spark, sf), "user_id", "ts", ["event_type"])
 
 
+@query("stm15_profile_lists", """
+WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events),
+sight AS (SELECT user_id, 't' AS tag, event_type AS v, min(ts) AS first FROM e WHERE event_type IS NOT NULL GROUP BY 1, 3
+  UNION ALL SELECT user_id, 'k', CAST(CAST(k AS INTEGER) % 5 AS VARCHAR), min(ts) FROM e WHERE k IS NOT NULL GROUP BY 1, 3),
+lists AS (SELECT e.event_id, string_agg(CASE WHEN tag = 't' THEN v END, ',' ORDER BY v) AS event_type_list, string_agg(CASE WHEN tag = 'k' THEN v END, ',' ORDER BY v) AS rest_list
+  FROM e JOIN sight s ON s.user_id = e.user_id AND s.first <= e.ts GROUP BY 1)
+SELECT e.event_id, e.user_id, row_number() OVER (PARTITION BY e.user_id ORDER BY ts, e.event_id) AS pv, event_type_list, rest_list
+FROM e LEFT JOIN lists ON lists.event_id = e.event_id
+""")
+def stm15_lists(spark, sf):
+    """The profile with its growing sets, as a batch over the stored rows."""
+    rest = (F.get_json_object("props", "$.k").cast("int") % 5).alias("rest")
+    rows = a.events(spark, sf).select("event_id", "user_id", "ts", "event_type", rest)
+    out = state.running_profile_lists(rows, "user_id", ["ts", "event_id"], "ts", ["event_type", "rest"], F.date_trunc("day", "ts"))
+    return out.select("event_id", "user_id", "pv", "event_type_list", "rest_list")
+
+
 @query("t22_snapshot_rows", with_(CHG) + "SELECT id, op FROM chg WHERE op = 'r'")
 def t22(spark, sf):
     return vehicles.snapshot_rows(_parsed(spark, sf).filter(~F.col("is_dirty"))).select(F.col("after")["id"].alias("id"), "op")
@@ -695,6 +712,10 @@ SELECT order_id, {', '.join(_SUM_NAMES)}, {_BEST} AS best_band, greatest({', '.j
 """)
 def t15_lines(spark, sf):
     """Full score of order lines with their own part, so the join grows with both tables."""
+    return _line_totals(spark, sf).select("order_id", *_SUM_NAMES, "best_band", "best_score")
+
+
+def _line_totals(spark, sf):
     k, w = F.col("l_orderkey"), profile.weight_table(spark)
     lines = a.table(spark, sf, "lineitem").select(
         (k * 10 + F.col("l_linenumber")).alias("order_id"), F.col("l_partkey").alias("sku_id"),
@@ -703,8 +724,25 @@ def t15_lines(spark, sf):
         F.concat(_pick(["iOS", "Android", "Other"], k % 3), F.lit(",x")).alias("os"), F.concat(F.lit("item"), k % 5).alias("search_item"),
     )
     rows = profile.order_scores(lines, w, _sku_names(spark, sf))
-    out = profile.total_scores(profile.device_search_scores(rows, w, _search_names(spark, sf)))
-    return out.select("order_id", *_SUM_NAMES, "best_band", "best_score")
+    return profile.total_scores(profile.device_search_scores(rows, w, _search_names(spark, sf)))
+
+
+@query("t15_line_label_documents", with_(LINE_FULL_PROFILE, *_ALL_W) + f"""
+SELECT order_id, {_BEST} AS best_band, CAST(sum_18_24 AS DOUBLE) AS first_band, spending_pow FROM (SELECT order_id, spending_pow, {_LINE_SUMS} FROM prof {_JOINS})
+""")
+def t15_line_documents(spark, sf):
+    """The nested result document of each order line, read back field by field."""
+    return _read_labels(_line_totals(spark, sf))
+
+
+def _read_labels(scored):
+    docs = profile.label_document(scored.withColumn("uid", F.col("order_id")))
+    calc = "$.user_calculate_label"
+    return docs.select(
+        F.col("uid").alias("order_id"), F.get_json_object("label", f"{calc}.calculate_age.best_band").alias("best_band"),
+        F.get_json_object("label", f"{calc}.computer_age_info.18-24").cast("double").alias("first_band"),
+        F.get_json_object("label", f"{calc}.spending_pow").alias("spending_pow"),
+    )
 
 
 def _scored(spark, sf):
@@ -725,13 +763,7 @@ SELECT order_id, {_BEST} AS best_band, CAST(sum_18_24 AS DOUBLE) AS first_band,
 """)
 def t15_documents(spark, sf):
     """The nested result document, read back field by field."""
-    docs = profile.label_document(_scored(spark, sf).withColumn("uid", F.col("order_id")))
-    calc = "$.user_calculate_label"
-    return docs.select(
-        F.col("uid").alias("order_id"), F.get_json_object("label", f"{calc}.calculate_age.best_band").alias("best_band"),
-        F.get_json_object("label", f"{calc}.computer_age_info.18-24").cast("double").alias("first_band"),
-        F.get_json_object("label", f"{calc}.spending_pow").alias("spending_pow"),
-    )
+    return _read_labels(_scored(spark, sf))
 
 
 @query("t15_base_labels", """

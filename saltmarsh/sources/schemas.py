@@ -15,25 +15,38 @@ FROM_DATABASE = {
     "timestamp": T.TimestampType(), "time": T.StringType(), "year": T.IntegerType(), "char": T.StringType(),
     "varchar": T.StringType(), "tinytext": T.StringType(), "text": T.StringType(), "mediumtext": T.StringType(),
     "longtext": T.StringType(), "json": T.StringType(), "enum": T.StringType(), "set": T.StringType(),
-    "blob": T.BinaryType(), "longblob": T.BinaryType(), "binary": T.BinaryType(), "varbinary": T.BinaryType(),
+    "blob": T.BinaryType(), "longblob": T.BinaryType(), "mediumblob": T.BinaryType(), "tinyblob": T.BinaryType(),
+    "binary": T.BinaryType(), "varbinary": T.BinaryType(),
 }
 
+# Unsigned database type -> the Spark type that holds its range.
+FROM_UNSIGNED = {"tinyint": T.ShortType(), "smallint": T.IntegerType(), "int": T.LongType(), "integer": T.LongType()}
+
 # Spark type -> database type.
 TO_DATABASE = {
     T.ByteType: "TINYINT", T.ShortType: "SMALLINT", T.IntegerType: "INT", T.LongType: "BIGINT",
     T.FloatType: "FLOAT", T.DoubleType: "DOUBLE", T.BooleanType: "TINYINT(1)", T.DateType: "DATE",
-    T.TimestampType: "DATETIME", T.StringType: "VARCHAR(255)", T.BinaryType: "BLOB",
+    T.TimestampType: "DATETIME", T.StringType: "LONGTEXT", T.BinaryType: "LONGBLOB",
 }
+KEY_TEXT = "VARCHAR(255)"  # an index needs a bounded text
 
 
 def spark_type(database_type: str) -> T.DataType:
-    """Spark type of a database column type such as ``decimal(10,2)``; unknown types are text."""
+    """Spark type of a database column type such as ``decimal(10,2)``; unknown types are text.
+
+    ``tinyint(1)`` is a flag, and unsigned whole numbers take the next wider type.
+    """
     name = database_type.strip().lower()
     number = re.fullmatch(r"(?:decimal|numeric)\s*(?:\((\d+)\s*(?:,\s*(\d+))?\))?(?: unsigned)?", name)
     if number:
         return T.DecimalType(int(number.group(1) or 10), int(number.group(2) or 0))
+    if re.match(r"tinyint\s*\(1\)", name):
+        return T.BooleanType()
     base = re.match(r"[a-z]+", name)
-    return FROM_DATABASE.get(base.group(0) if base else "", T.StringType())
+    word = base.group(0) if base else ""
+    if "unsigned" in name and word in FROM_UNSIGNED:
+        return FROM_UNSIGNED[word]
+    return FROM_DATABASE.get(word, T.StringType())
 
 
 def database_type(kind: T.DataType) -> str:
@@ -66,12 +79,22 @@ def external_table_ddl(
     )
 
 
+def day_table_ddl(table: str, schema: T.StructType, location: str, kind: str = "parquet", partition: str = "dt") -> str:
+    """CREATE TABLE text of a day-partitioned table in Spark's own catalogue; the partition column comes last."""
+    body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != partition)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({body}, `{partition}` string) USING {kind} PARTITIONED BY (`{partition}`) LOCATION '{location}'"
+
+
 def database_ddl(table: str, schema: T.StructType, primary_key: str | None = "id") -> str:
-    """CREATE TABLE text for an export target; a repeated column name is written once."""
+    """CREATE TABLE text for an export target; a repeated column name is written once.
+
+    Texts are unbounded; only a text that is the primary key has a length.
+    """
     seen: dict[str, T.DataType] = {}
     for f in schema.fields:
         seen.setdefault(f.name, f.dataType)
-    lines = [f"  `{name}` {database_type(kind)}" for name, kind in seen.items()]
+    keyed = {primary_key} if isinstance(seen.get(primary_key or ""), T.StringType) else set()
+    lines = [f"  `{name}` {KEY_TEXT if name in keyed else database_type(kind)}" for name, kind in seen.items()]
     if primary_key and primary_key in seen:
         lines.append(f"  PRIMARY KEY (`{primary_key}`)")
     return f"CREATE TABLE IF NOT EXISTS `{table}` (\n" + ",\n".join(lines) + "\n)"

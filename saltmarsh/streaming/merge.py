@@ -9,13 +9,14 @@ contains, not what the target holds; :func:`fold_rows` and
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from saltmarsh.operators.ranking import top_n_rows
+from saltmarsh.sources.sinks import execute_jdbc
 from saltmarsh.streaming import versions
 from saltmarsh.streaming.inputs import AVAILABLE_NOW
 
@@ -161,14 +162,23 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key: st
     )
 
 
-def jdbc_sink(df: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str, output_mode: str = "append") -> StreamingQuery:
-    """Window results appended to a database table, one write per micro-batch."""
-    return (
-        df.writeStream.outputMode(output_mode)
-        .foreachBatch(lambda batch, i: batch.write.jdbc(url, table, mode="append", properties=properties))
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def replace_batch(batch: DataFrame, batch_id: int, delete: Callable[[str], None], append: Callable[[DataFrame], None], table: str) -> None:
+    """Append one micro-batch with its id, after the rows of an earlier try of the same batch were deleted."""
+    delete(f"DELETE FROM `{table}` WHERE `batch_id` = {batch_id}")
+    append(batch.withColumn("batch_id", F.lit(batch_id)))
+
+
+def jdbc_sink(
+    df: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str, output_mode: str = "append", trigger: Mapping = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Window results appended to a database table that has a ``batch_id``; a replayed batch replaces its own rows."""
+    def write(batch: DataFrame, i: int) -> None:
+        replace_batch(
+            batch, i, lambda text: execute_jdbc(batch.sparkSession, url, [text], properties),
+            lambda rows: rows.write.jdbc(url, table, mode="append", properties=properties), table,
+        )
+
+    return df.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def json_lines_sink(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", trigger: Mapping = AVAILABLE_NOW) -> StreamingQuery:

@@ -157,21 +157,33 @@ def newer_only_stream(df: DataFrame, key: str, arrival: str, ts: str, ttl_ms: in
 # -- running profile ----------------------------------------------------------------
 
 
+def _first_sights(df: DataFrame, user: str, at: Column, fields: Sequence[str]) -> DataFrame:
+    """``_u``, ``_tag`` (a field), ``_f`` (a value as text) and ``_first``: where each user first shows each value.
+
+    All fields are told in one pass over the rows and combined before the shuffle.
+    """
+    told = F.explode(F.array(*[F.struct(F.lit(f).alias("tag"), F.col(f).cast("string").alias("f")) for f in fields]))
+    return (
+        df.select(F.col(user).alias("_u"), at.alias("_at"), told.alias("_t")).filter("_t.f IS NOT NULL")
+        .groupBy("_u", F.col("_t.tag").alias("_tag"), F.col("_t.f").alias("_f")).agg(F.min("_at").alias("_first"))
+    )
+
+
 def running_profile(df: DataFrame, user: str, order: Sequence[str], fields: Sequence[str], slice_by: Column) -> DataFrame:
     """Page-view counter and number of distinct values so far per field.
 
     A value counts from its first row on, so the growing size of a set is the
-    running sum of "first row of this value" marks; the sets themselves are not
-    copied into every row.
+    running sum of first sights; the sets themselves are not copied into every
+    row.  The first sights of all fields are counted per user and place, and
+    meet the rows in one join.
     """
-    marked = df.withColumn("_at", F.struct(*order))
-    for f in fields:
-        first = marked.groupBy(F.col(user).alias("_u"), F.col(f).alias("_f")).agg(F.min("_at").alias("_first"))
-        same = F.col(user).eqNullSafe(F.col("_u")) & F.col(f).eqNullSafe(F.col("_f"))
-        is_first = F.col(f).isNotNull() & (F.col("_at") == F.col("_first"))
-        marked = marked.join(first, same).drop("_u", "_f").withColumn(
-            f"_new_{f}", F.when(is_first, 1).otherwise(0)
-        ).drop("_first")
+    sights = _first_sights(df, user, F.struct(*order), fields).groupBy("_u", "_first").agg(
+        *[F.count(F.when(F.col("_tag") == f, 1)).alias(f"_new_{f}") for f in fields]
+    )
+    same = F.col(user).eqNullSafe(F.col("_u")) & (F.struct(*order).eqNullSafe(F.col("_first")))
+    marked = df.join(sights, same, "left").select(
+        *[df[c] for c in df.columns], *[F.coalesce(f"_new_{f}", F.lit(0)).alias(f"_new_{f}") for f in fields]
+    )
     counted = ordered_columns(
         marked, [user], order, slice_by, row_number="pv", running_sum={f"{f}_count": f"_new_{f}" for f in fields}
     )
@@ -179,20 +191,14 @@ def running_profile(df: DataFrame, user: str, order: Sequence[str], fields: Sequ
 
 
 def latest_profile(df: DataFrame, user: str, ts: str, fields: Sequence[str]) -> DataFrame:
-    """Final state of the profile: views, last time and the value list per field.
+    """Final state of the profile: views, last time and the value list per field, in one pass.
 
-    Meant for fields with few distinct values (device, channel, system); values
-    are made distinct before they are listed.
+    Meant for fields with few distinct values (device, channel, system): the
+    sets are combined before the shuffle.  A list without a value is null.
     """
-    base = df.groupBy(user).agg(F.count(F.lit(1)).alias("pv"), F.max(ts).alias("last_ts"))
-    out = base
-    for f in fields:
-        lists = (
-            df.filter(F.col(f).isNotNull()).select(F.col(user).alias("_u"), F.col(f).cast("string").alias("_f")).distinct()
-            .groupBy("_u").agg(F.array_join(F.sort_array(F.collect_list("_f")), ",").alias(f"{f}_list"))
-        )
-        out = out.join(lists, F.col(user) == F.col("_u"), "left").drop("_u")
-    return out
+    sets = [F.collect_set(F.col(f).cast("string")) for f in fields]
+    lists = [F.when(F.size(s) > 0, F.array_join(F.sort_array(s), ",")).alias(f"{f}_list") for s, f in zip(sets, fields)]
+    return df.groupBy(user).agg(F.count(F.lit(1)).alias("pv"), F.max(ts).alias("last_ts"), *lists)
 
 
 def running_profile_lists(df: DataFrame, user: str, order: Sequence[str], ts: str, fields: Sequence[str], slice_by: Column) -> DataFrame:
@@ -200,17 +206,19 @@ def running_profile_lists(df: DataFrame, user: str, order: Sequence[str], ts: st
 
     The order is that of the rows, not of their arrival.  A value counts from
     the time of its first sight on; a list without a value is null.  Meant for
-    fields with few distinct values: each user has one row with the first sights.
+    fields with few distinct values: each user has one row with the first sights
+    of all fields.
     """
     out = ordered_columns(df, [user], order, slice_by, row_number="pv")
-    for f in fields:
-        sights = df.filter(F.col(f).isNotNull()).groupBy(F.col(user).alias("_u"), F.col(f).cast("string").alias("_f")).agg(F.min(ts).alias("_first"))
-        lists = sights.groupBy("_u").agg(F.sort_array(F.collect_list(F.struct("_f", "_first"))).alias("_sights"))
-        seen = F.transform(F.filter("_sights", lambda s: s["_first"] <= F.col(ts)), lambda s: s["_f"])
-        out = out.join(lists, F.col(user).eqNullSafe(F.col("_u")), "left").withColumn(
-            f"{f}_list", F.when(F.size(seen) > 0, F.array_join(seen, ","))
-        ).drop("_u", "_sights")
-    return out
+    lists = _first_sights(df, user, F.col(ts), fields).groupBy("_u").agg(
+        *[F.sort_array(F.collect_list(F.when(F.col("_tag") == f, F.struct("_f", "_first")))).alias(f"_s_{f}") for f in fields]
+    )
+
+    def seen(f: str) -> Column:
+        values = F.transform(F.filter(f"_s_{f}", lambda s: s["_first"] <= F.col(ts)), lambda s: s["_f"])
+        return F.when(F.size(values) > 0, F.array_join(values, ",")).alias(f"{f}_list")
+
+    return out.join(lists, F.col(user).eqNullSafe(F.col("_u")), "left").select(*out.columns, *map(seen, fields))
 
 
 def running_profile_stream(df: DataFrame, user: str, ts: str, fields: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saltmarsh.sources import schemas, sinks, tables
+from saltmarsh.streaming import merge
 from tests.conftest import rows
 
 
@@ -78,3 +79,32 @@ def test_day_buckets(spark, tmp_path):
     sinks.write_day_buckets(df, str(tmp_path / "b"), "t")
     got = spark.read.json(str(tmp_path / "b"))
     assert rows(got, "id", F.col("day").cast("string")) == [(1, "20240101"), (2, "20240101"), (3, "error_bucket"), (4, "error_bucket")]
+
+
+def test_wider_types_and_unbounded_texts():
+    assert schemas.spark_type("tinyint(1)") == T.BooleanType() and schemas.spark_type("tinyint(4)") == T.ByteType()
+    assert schemas.spark_type("int(10) unsigned") == T.LongType() and schemas.spark_type("tinyint(3) unsigned") == T.ShortType()
+    assert schemas.spark_type("mediumblob") == T.BinaryType() == schemas.spark_type("TINYBLOB")
+    text = schemas.database_ddl("t", schemas.schema_from_catalog([("id", "varchar(20)"), ("body", "text")]))
+    assert "`id` VARCHAR(255)" in text and "`body` LONGTEXT" in text
+
+
+def test_a_report_row_without_a_day_is_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="has no day"):
+        sinks.keep_history(spark, str(tmp_path / "r"), spark.createDataFrame([(1, "20240101"), (2, None)], "v int, dt string"))
+
+
+def test_a_replayed_batch_replaces_its_own_rows(spark):
+    table = {}
+
+    def delete(text):
+        assert text == "DELETE FROM `t` WHERE `batch_id` = 7"
+        table.pop(7, None)
+
+    def append(rows_):
+        for r in rows_.collect():
+            table.setdefault(r.batch_id, []).append(r.v)
+
+    for _ in range(2):
+        merge.replace_batch(spark.createDataFrame([(1,), (2,)], "v int"), 7, delete, append, "t")
+    assert {k: sorted(v) for k, v in table.items()} == {7: [1, 2]}
