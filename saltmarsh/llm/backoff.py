@@ -111,20 +111,31 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
             yield out()
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        at: int | None = None  # rows come bucket by bucket, so one bucket is held at a time
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            return _rows([(at, _planes(keys), counts.astype("<i8").tobytes())])
+
         for batch in batches:
             for i in range(batch.num_rows):
                 bucket = batch.column("bucket")[i].as_py()
-                parts = tables.setdefault(bucket, [])
-                parts.append((_unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")))
-                if len(parts) > 16:
-                    tables[bucket] = [_merge(*map(np.concatenate, zip(*parts)))]
-        for bucket, parts in tables.items():
-            keys, counts = _merge(*map(np.concatenate, zip(*parts)))
-            yield _rows([(bucket, _planes(keys), counts.astype("<i8").tobytes())])
+                full = sum(len(k) for k, _ in waiting) > max(len(keys) // 2, 1 << 16)
+                if waiting and (full or bucket != at):
+                    keys, counts = _merge(*map(np.concatenate, zip((keys, counts), *waiting)))
+                    waiting.clear()
+                if at is not None and bucket != at:
+                    yield out()
+                    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+                at = bucket
+                waiting.append((_unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")))
+        if at is not None:
+            keys, counts = _merge(*map(np.concatenate, zip((keys, counts), *waiting)))
+            yield out()
 
     schema = "bucket int, keys binary, counts binary"
-    return plain.select("text").mapInArrow(count, schema).repartition(partitions, "bucket").mapInArrow(total, schema)
+    return plain.select("text").mapInArrow(count, schema).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(total, schema)
 
 
 def token_counts(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
