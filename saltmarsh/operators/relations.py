@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 LARGEST_CODE_TABLE = 100_000
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by ``keys`` over all of ``spark.sql.shuffle.partitions``, which adaptive execution leaves apart.
+
+    It merges other partitions up to 64 MB of packed shuffle data; the sorts and
+    groups of a task over such rows hold twenty to thirty times as much memory.
+    For inputs of a join or an aggregation on ``keys``, which then needs no other shuffle of them.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def code_names(dictionary: DataFrame, code_column: str, name_column: str, largest: int = LARGEST_CODE_TABLE) -> Column:
     """A code table as one map from text codes to names: a scalar sub-query, evaluated once and held by every task.
 

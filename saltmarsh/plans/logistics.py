@@ -12,7 +12,7 @@ from saltmarsh.functions import text
 from saltmarsh.functions.dates import OPEN_END, epoch_day, in_days, millis_to_text
 from saltmarsh.operators.history import open_history
 from saltmarsh.operators.horizons import HORIZONS, horizon_sums, unfold
-from saltmarsh.operators.relations import align, climb, decode, net_balance
+from saltmarsh.operators.relations import align, climb, dealt, decode, net_balance
 
 # Order states that a step excludes ("not") or requires ("in").
 STEP_STATES = {
@@ -49,13 +49,15 @@ def _within(df: DataFrame, column: str, days: Days | None) -> DataFrame:
 
 
 def order_step_fact(
-    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str, codes: Sequence[str] = CODES, days: Days | None = None
+    cargo: DataFrame, orders: DataFrame, dictionary: DataFrame, step: str, codes: Sequence[str] = CODES, days: Days | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Cargo lines of orders that have reached a step, masked and with ``codes`` decoded.
 
     The first step ("order") is dated by the order time, the others by the last
     update.  The status filter runs before the join; with ``days``, a range on
-    the raw time column of the step does, too, and prunes its scan.
+    the raw time column of the step does, too, and prunes its scan.  With
+    ``spread`` the lines are dealt by order for a summary that groups them by it.
     """
     mode, states = STEP_STATES[step]
     rows = _alive(orders)
@@ -81,6 +83,7 @@ def order_step_fact(
         *[c for c in CARGO_COLUMNS if c in cargo.columns],
         F.date_format(F.col("create_time").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("order_time"),
     )
+    lines = dealt(lines, "order_id") if spread else lines
     out = lines.join(info, F.col("order_id") == F.col("_oid"), "inner").drop("_oid")
     for code in codes:
         if code in out.columns:

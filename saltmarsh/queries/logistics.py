@@ -20,11 +20,11 @@ def _recent():
     return F.date_sub(_day(), 29), _day()
 
 
-def _step(step, codes=lg.CODES):
-    """Builder of a step fact; summaries decode only the codes they group by."""
+def _step(step, codes=lg.CODES, spread=False):
+    """Builder of a step fact; summaries decode only the codes they group by and have the lines dealt by order."""
 
     def run(spark, sf, days=None):
-        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step, codes, days)
+        return lg.order_step_fact(a.cargo(spark, sf), a.parcel_orders(spark, sf), a.parcel_dictionary(spark, sf), step, codes, days, spread)
 
     return run
 
@@ -281,7 +281,7 @@ oo AS (
 
 
 def _org_orders(spark, sf, days=None):
-    return lg.org_cargo_orders_1d(_step("order", ["cargo_type"])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf))
+    return lg.org_cargo_orders_1d(_step("order", ["cargo_type"], True)(spark, sf, days), a.organs(spark, sf), a.places(spark, sf))
 
 
 @query("l07_org_cargo_orders_1d", with_(PARCELS, ORGANS, ORG_ORDERS) + "SELECT * FROM oo")
@@ -320,11 +320,11 @@ DELIVER = _org_step("deliver", "receiver_district_id", NOT_IN["deliver"], amount
 
 
 def _receive(spark, sf, days=None):
-    return lg.org_step_1d(_step("receive", [])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
+    return lg.org_step_1d(_step("receive", [], True)(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "sender_district_id")
 
 
 def _deliver(spark, sf, days=None):
-    return lg.org_step_1d(_step("deliver", [])(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
+    return lg.org_step_1d(_step("deliver", [], True)(spark, sf, days), a.organs(spark, sf), a.places(spark, sf), "receiver_district_id", with_amount=False)
 
 
 @query("l08_org_receive_1d", with_(PARCELS, ORGANS, PLACES, RECEIVE) + "SELECT * FROM receive")
@@ -346,7 +346,7 @@ dispatch AS (SELECT dt, count(*) AS order_count, CAST(sum(amount) AS DECIMAL(26,
 
 
 def _dispatch(spark, sf, days=None):
-    return lg.dispatch_1d(_step("dispatch", [])(spark, sf, days))
+    return lg.dispatch_1d(_step("dispatch", [], True)(spark, sf, days))
 
 
 @query("l08_dispatch_1d", with_(PARCELS, DISPATCH) + "SELECT * FROM dispatch")
@@ -372,7 +372,7 @@ def l08_dispatch_td(spark, sf):
 
 @query("l08_bound_finish_td", with_(PARCELS, DISPATCH, TD) + "SELECT * FROM btd")
 def l08_bound_td(spark, sf):
-    return lg.step_to_date(_step("bound_finish", [])(spark, sf))
+    return lg.step_to_date(_step("bound_finish", [], True)(spark, sf))
 
 
 TRUCKS = """

@@ -279,3 +279,13 @@ def test_report_days_reach_the_scan(spark, name, column):
     plan = made.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     scans = [line for line in plan.split("PushedFilters: ")[1:] if column in line.split("]")[0]]
     assert scans and any(f"GreaterThanOrEqual({column},2001-07-0" in s and f"LessThan({column},2001-08-01" in s for s in scans)
+
+
+def kept_partitions(df) -> bool:
+    return "REPARTITION_BY_NUM" in df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["l07_org_cargo_orders_1d", "l08_org_receive_1d", "l08_dispatch_1d", "l08_bound_finish_td", "l10_org_deliver_1d"])
+def test_parcel_summaries_keep_their_partitions(spark, name):
+    """Before, adaptive execution merged the partitions in which lines are joined and grouped by order."""
+    assert kept_partitions(all_entries()[name].run(spark, "/root/testdata/sf0.001"))
