@@ -9,7 +9,7 @@ from saltmarsh.functions.dates import OPEN_END
 from saltmarsh.functions.documents import LOG_RECORD, parse_records
 from saltmarsh.functions.numbers import money
 from saltmarsh.operators.ranking import first_per_key
-from saltmarsh.operators.relations import decode
+from saltmarsh.operators.relations import dealt, decode
 
 ORDER_FINISHED = "1004"
 PAY_TYPE_PARENT = "11"
@@ -45,9 +45,13 @@ def _amounts() -> list[Column]:
 
 def order_detail_fact(
     order_detail: DataFrame, order_info: DataFrame,
-    activity: DataFrame | None = None, coupon: DataFrame | None = None,
+    activity: DataFrame | None = None, coupon: DataFrame | None = None, spread: bool = False,
 ) -> DataFrame:
-    """Order lines with buyer, province, activity and coupon."""
+    """Order lines with buyer, province, activity and coupon.
+
+    With ``spread`` the lines are dealt by order for a summary that groups them.
+    """
+    order_detail = dealt(order_detail, "order_id") if spread else order_detail
     info = order_info.select(F.col("id").alias("_oid"), "user_id", "province_id")
     joined = order_detail.join(info, F.col("order_id") == F.col("_oid"), "left").drop("_oid")
     joined = _with_promotions(joined, activity, coupon)
@@ -62,9 +66,10 @@ def order_detail_fact(
 
 def paid_detail_fact(
     order_detail: DataFrame, payment: DataFrame, order_info: DataFrame, dictionary: DataFrame,
-    activity: DataFrame | None = None, coupon: DataFrame | None = None,
+    activity: DataFrame | None = None, coupon: DataFrame | None = None, spread: bool = False,
 ) -> DataFrame:
-    """Lines of paid orders with the payment type decoded."""
+    """Lines of paid orders with the payment type decoded; with ``spread`` dealt by order for a summary that groups them."""
+    order_detail = dealt(order_detail, "order_id") if spread else order_detail
     pay = payment.select(F.col("order_id").alias("_po"), "user_id", "payment_type", "callback_time")
     info = order_info.select(F.col("id").alias("_oid"), "province_id")
     joined = (

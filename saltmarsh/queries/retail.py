@@ -28,7 +28,13 @@ def _event_day():
 
 
 def _detail(spark, sf):
-    return facts.order_detail_fact(a.order_detail(spark, sf), a.order_info(spark, sf))
+    return facts.order_detail_fact(a.order_detail(spark, sf), a.order_info(spark, sf), spread=True)
+
+
+def _paid_detail(spark, sf, spread=False):
+    return facts.paid_detail_fact(
+        a.order_detail(spark, sf), a.payments(spark, sf), a.order_info(spark, sf), a.dictionary(spark, sf), spread=spread
+    )
 
 
 def _sku_daily(spark, sf):
@@ -75,9 +81,7 @@ FROM detail d JOIN payments p ON d.order_id = p.order_id
 LEFT JOIN (SELECT DISTINCT substr(o_orderpriority, 1, 1) AS c, o_orderpriority AS n FROM orders) dic ON p.payment_type = dic.c
 """)
 def f03(spark, sf):
-    return facts.paid_detail_fact(
-        a.order_detail(spark, sf), a.payments(spark, sf), a.order_info(spark, sf), a.dictionary(spark, sf)
-    )
+    return _paid_detail(spark, sf)
 
 
 FLOW = """
@@ -506,7 +510,7 @@ SELECT CAST(p.callback_time AS DATE) AS dt, p.user_id, count(DISTINCT p.order_id
 FROM detail d JOIN payments p ON d.order_id = p.order_id GROUP BY 1, 2
 """)
 def s08(spark, sf):
-    return sums.user_payment_1d(f03(spark, sf))
+    return sums.user_payment_1d(_paid_detail(spark, sf, spread=True))
 
 
 USER_SKU_DAILY = f"""

@@ -289,3 +289,9 @@ def kept_partitions(df) -> bool:
 def test_parcel_summaries_keep_their_partitions(spark, name):
     """Before, adaptive execution merged the partitions in which lines are joined and grouped by order."""
     assert kept_partitions(all_entries()[name].run(spark, "/root/testdata/sf0.001"))
+
+
+@pytest.mark.parametrize("name", ["s01_province_order_1d", "s06_user_order_1d", "s07_user_order_td", "s08_user_payment_1d", "s09_user_sku_order_1d"])
+def test_order_summaries_keep_their_partitions(spark, name):
+    """Before, adaptive execution merged the partitions in which lines are joined and grouped by order."""
+    assert kept_partitions(all_entries()[name].run(spark, "/root/testdata/sf0.001"))
