@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saltmarsh.operators.relations import decode
+from saltmarsh.operators.relations import code_names, decode
 from saltmarsh.streaming.inputs import AVAILABLE_NOW, row_image
 
 
@@ -50,13 +50,15 @@ def route_by_config(batch: DataFrame, config: DataFrame) -> DataFrame:
     """Changes of configured tables with target table, row key column and column list.
 
     ``config`` has source_table, sink_table, sink_row_key, sink_columns (comma list).
+    It is looked up, not joined: the changes of a table stay where they are,
+    however many they are.  More than ``LARGEST_CODE_TABLE`` tables are an error.
     """
-    side = config.select(
-        F.col("source_table").alias("_t"), "sink_table", "sink_row_key", F.split("sink_columns", ",").alias("_cols")
-    )
+    target = F.struct("sink_table", "sink_row_key", F.split("sink_columns", ",").alias("_cols"))
+    targets = config.groupBy("source_table").agg(F.collect_list(target).alias("_targets"))
+    found = F.try_element_at(code_names(targets, "source_table", "_targets"), F.col("table"))
     wanted = F.map_filter(F.col("row"), lambda k, v: F.array_contains(F.col("_cols"), k))
     return (
-        batch.join(side, F.col("table") == F.col("_t"), "inner")
+        batch.select("*", F.inline(found).alias("sink_table", "sink_row_key", "_cols"))
         .withColumn("row", F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after")))
         .withColumn("key_value", F.try_element_at(F.col("row"), F.col("sink_row_key")))
         .select("sink_table", "op", "ts_ms", "key_value", F.md5("key_value").alias("row_key"), wanted.alias("row"))

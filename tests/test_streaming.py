@@ -264,6 +264,24 @@ def test_config_routing_follows_config_changes(spark):
     assert got == [("dim_cart", {"id": "1", "sku_num": "3"})]
 
 
+def test_routing_by_config_moves_no_change(spark):
+    """Before, all changes of a table were sorted in the one task of its name."""
+    kind = "table string, op string, ts_ms long, before map<string,string>, after map<string,string>"
+    changes = spark.createDataFrame([
+        ("a", "c", 1, None, {"id": "1", "x": "y"}), ("a", "d", 2, {"id": "2"}, None), ("b", "c", 3, None, {"id": "3"}), (None, "c", 4, None, {"id": "4"}),
+    ], kind)
+    config = spark.createDataFrame(
+        [("a", "dim_a", "id", "id"), ("a", "dim_b", "x", "id,x"), ("a", "dim_b", "x", "id,x"), (None, "dim_n", "id", "id"), ("c", "dim_c", "id", "id")],
+        "source_table string, sink_table string, sink_row_key string, sink_columns string",
+    )
+    routed = joins.route_by_config(changes, config)
+    plan = spark._jvm.PythonSQLUtils.explainString(routed._jdf.queryExecution(), "simple")
+    assert "Join" not in plan.split("Subquery")[0]
+    got = sorted((r["sink_table"], r["ts_ms"], r["key_value"] or "", tuple(sorted(r["row"].items()))) for r in routed.collect())
+    both = [("dim_b", 1, "y", (("id", "1"), ("x", "y"))), ("dim_b", 2, "", (("id", "2"),))]
+    assert got == sorted([("dim_a", 1, "1", (("id", "1"),)), ("dim_a", 2, "2", (("id", "2"),)), *both, *both])
+
+
 def test_routes_are_written_once_per_batch(spark, folder, tmp_path):
     f = folder("value string").add(*[{"value": c} for c in CHANGES[:6]]).add(*[{"value": c} for c in CHANGES[6:]])
     out = str(tmp_path / "routed")
