@@ -295,3 +295,9 @@ def test_parcel_summaries_keep_their_partitions(spark, name):
 def test_order_summaries_keep_their_partitions(spark, name):
     """Before, adaptive execution merged the partitions in which lines are joined and grouped by order."""
     assert kept_partitions(all_entries()[name].run(spark, "/root/testdata/sf0.001"))
+
+
+@pytest.mark.parametrize("name", ["w06_product_sale_summary", "w06_line_product_sales"])
+def test_sale_summaries_keep_their_partitions(spark, name):
+    """Before, orders were counted in the merged partitions that also sort the sales."""
+    assert kept_partitions(all_entries()[name].run(spark, "/root/testdata/sf0.001"))
