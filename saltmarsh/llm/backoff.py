@@ -39,14 +39,26 @@ FLUSH_GRAMS = 1 << 19
 SLICE_BYTES = 1 << 20
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers as all first bytes, then all second bytes and so on as far as any number has one; before them the count of these."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :raw[0]] = planes.T
+    return out.view(np.uint64).ravel()
+
+
 def _planes(x: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences, all first bytes, then all second bytes and so on; this packs well."""
-    return np.ascontiguousarray(np.diff(x, prepend=x.dtype.type(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted 64-bit numbers as packed differences."""
+    return _packed(np.diff(x, prepend=x.dtype.type(0)))
 
 
 def _unplanes(raw: bytes) -> np.ndarray:
-    bytes_ = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T)
-    return np.cumsum(bytes_.view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_unpacked(raw), dtype=np.uint64)
 
 
 def _grams(batch: pa.RecordBatch, tokenizer: str, size: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +111,7 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
         held, held_counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def out() -> pa.RecordBatch:
-            return _rows([(b, _planes(held[at]), held_counts[at].astype("<i8").tobytes()) for b, at in _by_bucket(held, buckets)])
+            return _rows([(b, _planes(held[at]), _packed(held_counts[at])) for b, at in _by_bucket(held, buckets)])
 
         for part in slices(batches, rows=4096, size=SLICE_BYTES):
             keys, _, _ = _grams(part, tokenizer, size, order)
@@ -116,7 +128,7 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> pa.RecordBatch:
-            return _rows([(at, _planes(keys), counts.astype("<i8").tobytes())])
+            return _rows([(at, _planes(keys), _packed(counts))])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -129,7 +141,7 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
                     yield out()
                     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 at = bucket
-                waiting.append((_unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")))
+                waiting.append((_unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)))
         if at is not None:
             keys, counts = _merge(*map(np.concatenate, zip((keys, counts), *waiting)))
             yield out()
@@ -146,7 +158,7 @@ def token_counts(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
         base = np.uint64(size + 1)
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                keys, counts = _unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)
                 np.add.at(context, (keys // base % base).astype(np.int64), counts)
                 np.add.at(token, (keys % base).astype(np.int64), counts)
         seen = np.flatnonzero(context + token)
@@ -172,7 +184,7 @@ def _pair_scores(table: DataFrame, size: int, numbers, min_count: int) -> DataFr
     def value(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                raw, counts = batch.column("keys")[i].as_py(), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                raw, counts = batch.column("keys")[i].as_py(), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)
                 found = _pair_value(_unplanes(raw), counts, size, numbers.value, min_count)
                 yield _rows([(batch.column("bucket")[i].as_py(), raw, found.tobytes() + (counts < min_count).tobytes())])
 
@@ -191,7 +203,7 @@ def _triple_scores(table: DataFrame, size: int, numbers, min_count: int, backoff
         base = np.uint64(size + 1)
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                keys, counts = _unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)
                 for first, pair in ((True, keys // base), (False, keys % (base * base))):
                     pair, n = _merge(pair, counts)
                     yield pa.RecordBatch.from_arrays(
@@ -208,7 +220,7 @@ def _triple_scores(table: DataFrame, size: int, numbers, min_count: int, backoff
         base = np.uint64(size + 1)
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, counts = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                keys, counts = _unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)
                 first = counts >= min_count
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(first), pa.array(np.where(first, keys // base, keys % (base * base)).astype(np.int64)),
@@ -248,7 +260,7 @@ def heavy_scores(counts: DataFrame, scored: DataFrame, least: int) -> tuple[np.n
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, n = _unplanes(batch.column("keys")[i].as_py()), np.frombuffer(batch.column("counts")[i].as_py(), "<i8")
+                keys, n = _unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([keys[n >= least].tobytes()], pa.binary())], names=["keys"])
 
     # at most HEAVY keys in all
@@ -283,6 +295,7 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
         raise ValueError(f"order {order} is neither 2 nor 3")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions *= 2  # half of the shuffled rows of a task otherwise, as a task gets all of them in one Arrow batch
     buckets = 2 * partitions
     size = encoder(tokenizer).library.get_vocab_size()
     plain = texts(docs)

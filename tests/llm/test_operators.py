@@ -263,6 +263,19 @@ def test_backoff(docs, empty, library):
     assert backoff.score(empty, vocabulary_path("word_bpe_49k.json")).count() == 0
 
 
+def test_backoff_sends_counts_in_few_bytes(docs):
+    """Before, each count and each n-gram took eight bytes of an Arrow batch, whatever their size."""
+    path = vocabulary_path(queries.WORDS)
+    size = backoff.encoder(path).library.get_vocab_size()
+    found = backoff.gram_counts(backoff.texts(docs), path, size, 3, 4, 2).collect()
+    for row in found:
+        assert len(row["counts"]) <= 2 * len(backoff._unplanes(row["keys"])) + 1  # none is above 65535
+    for numbers in ([], [0, 0], [1, 255], [256, 3], [2**64 - 1, 0]):
+        x = np.array(numbers, np.uint64)
+        assert backoff._unpacked(backoff._packed(x)).tolist() == numbers
+        assert backoff._unplanes(backoff._planes(np.sort(x))).tolist() == sorted(numbers)
+
+
 @pytest.mark.parametrize("heavy", [1, 1 << 21])
 def test_backoff_counts_longer_contexts(spark, library, monkeypatch, tmp_path, heavy):
     """The registered query has triples, backing off to pairs and then to tokens, by either way of meeting the table."""
