@@ -6,14 +6,17 @@ non-deterministic transducer reads bytes down a trie of tokens and may start a
 new token wherever the finished one fits the one before.  All its runs over
 the bytes read so far are carried at once as one state; what all runs agree on
 is emitted, which needs no more lookahead than one token is long.  States and
-steps are made when first met and kept up to a bound.
+steps are made when first met and kept up to a bound, also within one piece.
+A worker holds some 250 MB of them and of the memo, whatever the texts are.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +25,10 @@ from pyspark.sql import DataFrame
 
 from saltmarsh.llm.common import slices, texts, worker_cache
 
-STATES = 300_000
-MEMO_PARTS = 450_000
+STEPS = 650_000  # each with its share of the states takes about 250 bytes
+FITS = 300_000
+MEMO_BYTES = 48 << 20  # of one generation
+SLOT_BYTES = 80  # of a dictionary, for one entry
 LONG_PART = 200
 
 
@@ -46,25 +51,31 @@ class Transducer:
                     self.child.append({})
                     self.ends.append(-1)
             self.ends[node] = rank
-        self.fit: dict[tuple[int, int], bool] = {}
+        self.fit: dict[int, bool] = {}  # by tokens, the one before in the upper bits
+        self.merges: dict[int, tuple[list[int], list[bytes], list[bytes]] | None] = {}
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
         self._restart()
 
     def _restart(self) -> None:
-        start = ((), -1, 0)  # tokens not yet emitted, last token, trie node
-        self.states = [(start,)]
+        """States: their runs by trie node, each as node, number of tokens held back, these, and the last token."""
+        self.states = [struct.pack("3i", 0, 0, -1)]
         self.number = {self.states[0]: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # by 256 * state + byte
-        self.final: list[tuple[int, ...]] = [()]
+        self.steps.clear()
 
-    def _merged(self, parts: list[bytes]) -> list[bytes]:
-        """BPE of a few bytes: the neighbours of least rank are joined first, from the left."""
+    def _merges(self, token: bytes) -> tuple[list[int], list[bytes], list[bytes]] | None:
+        """Ranks of the merges that make a token of its bytes, and its first and last part before each and after all; None if others come first.
+
+        The neighbours of least rank are joined first, from the left.
+        """
         rank = self.ranks.get
         none = 1 << 60
+        parts = [token[i:i + 1] for i in range(len(token))]
         ranked = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
+        made, first, last = [], [parts[0]], [parts[-1]]
         while ranked:
             least = min(ranked)
             if least == none:
-                break
+                return None
             i = ranked.index(least)
             parts[i] += parts.pop(i + 1)
             del ranked[i]
@@ -72,50 +83,91 @@ class Transducer:
                 ranked[i - 1] = rank(parts[i - 1] + parts[i], none)
             if i < len(ranked):
                 ranked[i] = rank(parts[i] + parts[i + 1], none)
-        return parts
+            made.append(least)
+            first.append(parts[0])
+            last.append(parts[-1])
+        made.append(none)
+        return made, first, last
 
     def _fits(self, before: int, after: int) -> bool:
-        """Whether ``after`` may follow ``before``; -1 stands for the start of a piece."""
-        known = self.fit.get((before, after))
+        """Whether ``after`` may follow ``before``; -1 stands for the start of a piece.
+
+        The merges within both tokens are replayed in their common order; the
+        parts at the border must not be joined in between or at the end.
+        """
+        pair = before << 32 | after
+        known = self.fit.get(pair)
         if known is None:
-            first, second = self.token.get(before, b""), self.token[after]
-            raw = first + second
-            if first and raw in self.ranks:
-                known = False  # these two would be joined
-            else:
-                known = self._merged([raw[i:i + 1] for i in range(len(raw))]) == ([first, second] if first else [second])
-            if len(self.fit) > 400_000:
+            for token in (before, after):
+                if token not in self.merges:
+                    self.merges[token] = self._merges(self.token[token]) if token >= 0 else ([1 << 60], [b""], [b""])
+            left, right = self.merges[before], self.merges[after]
+            known = left is not None and right is not None
+            if known and before >= 0:
+                (a_ranks, _, a_last), (b_ranks, b_first, _) = left, right
+                i = j = 0
+                while True:
+                    a, b = a_ranks[i], b_ranks[j]
+                    across = self.ranks.get(a_last[i] + b_first[j])
+                    if across is not None and across < a and across <= b:
+                        known = False
+                        break
+                    if a <= b:
+                        i += 1
+                        if i == len(a_ranks):  # both are whole
+                            break
+                    else:
+                        j += 1
+            if len(self.fit) >= FITS:
                 self.fit.clear()
-            self.fit[before, after] = known
+            self.fit[pair] = known
         return known
 
+    def _runs(self, state: int) -> tuple[int, ...]:
+        raw = self.states[state]
+        return struct.unpack(f"{len(raw) // 4}i", raw)
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after one more byte, and the tokens that are certain now."""
-        runs, final = [], None
-        for held, last, node in self.states[state]:
-            below = self.child[node].get(byte)
-            if below is None:
-                continue
-            token = self.ends[below]
-            if token >= 0 and final is None and self._fits(last, token):
-                final = (*held, token)
-                runs.append((final, token, 0))
-            if self.child[below]:
-                runs.append((held, last, below))
-        first, shared = runs[0][0], 0
-        for shared, token in enumerate(first):
-            if any(len(held) <= shared or held[shared] != token for held, _, _ in runs):
-                break
+        here = self._runs(state)
+        if len(self.steps) >= STEPS:  # only the state that the piece is in goes on; its step is made again when next met
+            self._restart()
+            state = -1
+        child, runs, final, at, end = self.child, [], None, 0, len(here)
+        while at < end:
+            until = at + 2 + here[at + 1]
+            below = child[here[at]].get(byte)
+            if below is not None:
+                token = self.ends[below]
+                if token >= 0 and final is None and self._fits(here[until], token):
+                    final = (*here[at + 2:until], token)
+                    runs.append((0, final, token))
+                if child[below]:
+                    runs.append((below, here[at + 2:until], here[until]))
+            at = until + 1
+        if len(runs) == 1:
+            (node, sure, last), = runs
+            made = struct.pack("3i", node, 0, last)
         else:
-            shared = len(first)
-        sure = first[:shared]
-        made = tuple(sorted((held[shared:], last, node) for held, last, node in runs)) if shared or len(runs) > 1 else tuple(runs)
+            held = [run[1] for run in runs]
+            sure, most, shared = min(held), max(held), 0
+            for token, other in zip(sure, most):
+                if token != other:
+                    break
+                shared += 1
+            sure = sure[:shared]
+            flat: list[int] = []
+            for node, held, last in sorted(runs):
+                held = held[shared:]
+                flat += (node, len(held), *held, last)
+            made = struct.pack(f"{len(flat)}i", *flat)
         target = self.number.get(made)
         if target is None:
             target = self.number[made] = len(self.states)
             self.states.append(made)
-            self.final.append(final[shared:] if final is not None else ())
-        self.steps[256 * state + byte] = found = (target, sure)
+        found = (target, sure)
+        if state >= 0:
+            self.steps[256 * state + byte] = found
         return found
 
     def encode(self, piece: bytes) -> list[int]:
@@ -123,65 +175,94 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > STATES:
-            self._restart()
         out: list[int] = []
         state, steps = 0, self.steps
         for byte in piece:
             state, sure = steps.get(256 * state + byte) or self._step(state, byte)
             if sure:
                 out += sure
-        out += self.final[state]
+        runs = self._runs(state)
+        if runs[0] == 0:  # the run that has just ended a token
+            out += runs[2:2 + runs[1]]
         return out
 
 
+class Memo:
+    """Ids of strings or of their bytes, bounded in bytes: a full young generation becomes the old one, whose entries come back when met again."""
+
+    def __init__(self) -> None:
+        self.young: dict[str | bytes, bytes] = {}
+        self.old: dict[str | bytes, bytes] = {}
+        self.held = 0
+
+    def get(self, key: str | bytes) -> bytes | None:
+        raw = self.young.get(key)
+        if raw is None:
+            raw = self.old.get(key)
+            if raw is not None:
+                self.keep(key, raw)
+        return raw
+
+    def keep(self, key: str | bytes, raw: bytes) -> None:
+        if len(key) >= LONG_PART:
+            return
+        size = getsizeof(key) + getsizeof(raw) + SLOT_BYTES
+        if self.held + size > MEMO_BYTES:
+            self.young, self.old, self.held = {}, self.young, 0
+        self.young[key] = raw
+        self.held += size
+
+
 class TextEncoder:
     """Ids of whole texts: cut by the pattern, each piece encoded by the transducer.
 
     Between two single spaces a text is cut alike wherever it stands, so these
-    parts are looked up in a bounded memo first.
+    parts, without the space before them, are looked up in a bounded memo first.
+    It serves pieces that begin with a space as well; other pieces have their bytes for a key.
     """
 
     def __init__(self, ranks_path: str, pattern: str) -> None:
         self.transducer = Transducer(load_ranks(ranks_path))
         self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.piece: dict[str, list[int]] = {}
+        self.memo = Memo()
 
-    def _tokens(self, text: str) -> bytes:
-        out: list[int] = []
-        for piece in self.pieces(text):
-            ids = self.piece.get(piece)
-            if ids is None:
-                ids = self.transducer.encode(piece.encode())
-                if len(piece) < LONG_PART:
-                    if len(self.piece) > MEMO_PARTS:
-                        self.piece.clear()
-                    self.piece[piece] = ids
-            out += ids
-        return np.array(out, "<u4").tobytes()
+    def _encoded(self, piece: str) -> bytes:
+        ids = self.transducer.encode(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _tokens(self, pieces: list[str]) -> bytes:
+        out = []
+        for piece in pieces:
+            key = piece[1:] if piece[0] == " " else piece.encode()
+            raw = self.memo.get(key)
+            if raw is None:
+                raw = self._encoded(piece)
+                self.memo.keep(key, raw)
+            out.append(raw)
+        return b"".join(out)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a part and the space before it."""
+        raw = self.memo.get(part)
+        if raw is None:
+            pieces = self.pieces(" " + part)
+            raw = self._tokens(pieces) if len(pieces) > 1 else self._encoded(pieces[0])
+            self.memo.keep(part, raw)
+        return raw
 
     def encode(self, values: Iterable[str | None]) -> list[np.ndarray]:
         out = []
         for value in values:
             value = value or ""
             if not value or value[0] == " " or value[-1] == " " or "  " in value:
-                out.append(np.frombuffer(self._tokens(value), "<u4"))
+                out.append(np.frombuffer(self._tokens(self.pieces(value)), "<u4"))
                 continue
-            if len(self.young) > MEMO_PARTS:
-                self.young, self.old = {}, self.young
             parts = (" " + value).split(" ")[1:]
-            first = self._tokens(parts[0])
-            found = list(map(self.young.get, parts[1:]))
-            if None in found:
-                for i, raw in enumerate(found):
-                    if raw is None:
-                        part = parts[i + 1]
-                        raw = self.young.get(part) or self.old.get(part) or self._tokens(" " + part)
-                        if len(part) < LONG_PART:
-                            self.young[part] = raw
-                        found[i] = raw
+            first = self._tokens(self.pieces(parts[0]))
+            found = list(map(self.memo.young.get, parts[1:]))
+            for i, raw in enumerate(found):
+                if raw is None:
+                    found[i] = self._part(parts[i + 1])
             out.append(np.frombuffer(first + b"".join(found), "<u4"))
         return out
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import sys
 
 import duckdb
 import numpy as np
@@ -362,6 +363,28 @@ def test_byte_bpe(docs, empty):
     assert transducer.round_trip(empty, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_byte_bpe_worker_memory_is_bounded(monkeypatch):
+    import public_tokenizers
+    import tiktoken
+
+    path = vocabulary_path("byte_bpe_multi_50k.tiktoken")
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=transducer.load_ranks(path), special_tokens={})
+    random = np.random.default_rng(10)
+    texts = [" ".join("".join(map(chr, random.integers(97, 123, random.integers(1, 9)))) for _ in range(40_000))]  # hardly a word twice
+    texts += ["".join(map(chr, random.integers(0x4E00, 0x9FA5, 20_000))), "a \n b \n\nc  \nd   e's \n" * 50, texts[0]]  # one piece without an end, white space
+    encoder = transducer.TextEncoder(path, public_tokenizers.PATTERN)
+    found = [x.tolist() for x in encoder.encode(texts)]
+    assert found == [reference.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(transducer, "STEPS", 5_000)
+    monkeypatch.setattr(transducer, "MEMO_BYTES", 1 << 20)
+    monkeypatch.setattr(transducer, "FITS", 1_000)
+    small = transducer.TextEncoder(path, public_tokenizers.PATTERN)
+    assert [x.tolist() for x in small.encode(texts)] == found
+    assert len(small.transducer.steps) <= 5_000 and len(small.transducer.states) <= 5_001 and len(small.transducer.fit) <= 1_000
+    held = [sys.getsizeof(k) + sys.getsizeof(v) for part in (small.memo.young, small.memo.old) for k, v in part.items()]
+    assert sum(held) < 2 << 20 and len(small.memo.young) + len(small.memo.old) < 20_000
+
+
 def test_stream_decoder_waits_for_whole_characters():
     token = {i: bytes([i]) for i in range(256)}
     stream, text, out = transducer.StreamDecoder(token), "aé漢🙂z".encode(), []
