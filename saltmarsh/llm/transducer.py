@@ -7,7 +7,7 @@ new token wherever the finished one fits the one before.  All its runs over
 the bytes read so far are carried at once as one state; what all runs agree on
 is emitted, which needs no more lookahead than one token is long.  States and
 steps are made when first met and kept up to a bound, also within one piece.
-A worker holds some 250 MB of them and of the memo, whatever the texts are.
+With the memo a worker held up to 370 MB of them over 132,000 documents.
 """
 
 from __future__ import annotations
