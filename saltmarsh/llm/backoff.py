@@ -10,8 +10,11 @@ joins the pair it ends in, a frequent one the pair it starts with.  Then the
 n-grams of all documents are dealt by the same hash and meet the table there;
 partial sums of log scores go back to their documents.
 
+The texts are encoded once: their token ids are written to the shared folder,
+and both the counting and the scoring step read them there.
 N-grams travel as sorted arrays, one row per slice of documents and hash bucket,
-so a frequent n-gram is one entry per slice in the counting step.  The most
+so a frequent n-gram is one entry per slice in the counting step.  Slices grow
+with the number of buckets, up to ``MOST_HELD`` n-grams, so that rows stay long.  The most
 frequent ones, at most ``HEAVY`` whatever the corpus, are known to all tasks and
 are not sent in the scoring step.  Both steps stream over their rows: memory
 holds the distinct n-grams of one bucket, never the rows of a frequent one.
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saltmarsh.llm.common import mixed, slices, texts
@@ -35,8 +38,11 @@ from saltmarsh.session import stored
 BACKOFF = 0.4
 MIN_COUNT = 2
 HEAVY = 1 << 21
-FLUSH_GRAMS = 1 << 19
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 4096
+SLICE_GRAMS = 1 << 18
+OWNER_BITS = 14  # documents whose n-grams are sent together are numbered in so many bits
+LEAST_HELD, MOST_HELD, ROW_GRAMS = 1 << 19, 1 << 21, 2048
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -61,50 +67,115 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(raw), dtype=np.uint64)
 
 
-def _grams(batch: pa.RecordBatch, tokenizer: str, size: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of the n-grams of all texts in a row, the text each belongs to, and the number of tokens per text.
+def _id_type(size: int) -> np.dtype:
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
+
+
+def token_ids(plain: DataFrame, tokenizer: str, size: int) -> DataFrame:
+    """The token ids of each text, as numbers of two bytes if the vocabulary allows, else of four."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _id_type(size)
+        for part in slices(batches, rows=SLICE_ROWS, size=SLICE_BYTES):
+            ids, before = encoder(tokenizer).encode(part.column("text").to_pylist())
+            buffers = [None, pa.py_buffer((before * kind.itemsize).astype(np.int64)), pa.py_buffer(ids.astype(kind))]
+            column = pa.Array.from_buffers(pa.large_binary(), part.num_rows, buffers).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), column], names=["doc_id", "ids"])
+
+    return plain.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary")
+
+
+def _grams(batches: Iterator[pa.RecordBatch], size: int, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """Slices of the batches: keys of the n-grams of all texts in a row, the number of tokens per text, and the rows.
 
     There is one n-gram per token, the token and the ``order - 1`` before it, as digits of a number of base
     ``size + 1``.  ``size`` is the number of tokens; before the first token the context is the number ``size`` itself.
     """
-    ids, before = encoder(tokenizer).encode(batch.column("text").to_pylist())
-    lengths = np.diff(before)
-    base = np.uint64(size + 1)
-    ids = ids.astype(np.uint64)
-    place = np.arange(len(ids)) - np.repeat(before[:-1], lengths)
-    keys = np.zeros(len(ids), np.uint64)
-    for back in range(order - 1, -1, -1):
-        token = np.full(len(ids), size, np.uint64)
-        token[back:] = ids[:len(ids) - back]
-        token[place < back] = size
-        keys = keys * base + token
-    return keys, np.repeat(np.arange(len(lengths)), lengths), lengths
+    base, kind = np.uint64(size + 1), _id_type(size)
+    for batch in batches:
+        column = batch.column("ids").cast(pa.large_binary())
+        before = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        every = np.frombuffer(column.buffers()[2] or b"", np.uint8)[:before[-1]].view(kind)
+        before = before // kind.itemsize
+        start = 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(before, before[start] + SLICE_GRAMS, "right")) - 1
+            stop = min(max(stop, start + 1), start + SLICE_ROWS, batch.num_rows)
+            ids, lengths = every[before[start]:before[stop]].astype(np.uint64), np.diff(before[start:stop + 1])
+            place = np.arange(len(ids)) - np.repeat(before[start:stop] - before[start], lengths)
+            keys = np.zeros(len(ids), np.uint64)
+            for back in range(order - 1, -1, -1):
+                token = np.full(len(ids), size, np.uint64)
+                token[back:] = ids[:len(ids) - back]
+                token[place < back] = size
+                keys = keys * base + token
+            yield keys, lengths, batch.slice(start, stop - start)
+            start = stop
+
+
+def _held(buckets: int) -> int:
+    """N-grams that a task gathers before it sends them, about ``ROW_GRAMS`` to each bucket, within bounds of memory."""
+    return min(max(LEAST_HELD, ROW_GRAMS * buckets), MOST_HELD)
 
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Positions of the keys of each bucket, in their order."""
-    which = (mixed(keys) % np.uint64(buckets)).astype(np.int64)
+    which = (mixed(keys) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    which = which.astype(np.uint16 if buckets <= 1 << 16 else np.int64)  # numpy sorts 16-bit numbers by radix
     order = np.argsort(which, kind="stable")
-    cuts = np.searchsorted(which[order], np.arange(buckets + 1))
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=buckets))])
     for bucket in range(buckets):
         if cuts[bucket + 1] > cuts[bucket]:
             yield bucket, order[cuts[bucket]:cuts[bucket + 1]]
 
 
+def _by_key(keys: np.ndarray, owner: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys below ``top`` and their owners, sorted by both: as one number each, which sorts much faster, wherever 64 bits hold it."""
+    if top <= 1 << (64 - OWNER_BITS):
+        both = keys << np.uint64(OWNER_BITS) | owner.astype(np.uint64)
+        both.sort()
+        return both >> np.uint64(OWNER_BITS), (both & np.uint64((1 << OWNER_BITS) - 1)).astype(np.uint16)
+    by_key = np.lexsort((owner, keys))
+    return keys[by_key], owner[by_key].astype(np.uint16)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys start."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
 def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their counts; fast on sorted runs one after the other."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    starts = _starts(keys)
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and how often each occurs."""
+    keys = np.sort(keys)  # without places, which is much faster than the sort of ``_merge`` on keys in no order
+    starts = _starts(keys)
+    return keys[starts], np.diff(starts, append=len(keys))
+
+
 def _rows(items: list[tuple]) -> pa.RecordBatch:
     bucket, keys, counts = zip(*items)
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["bucket", "keys", "counts"])
 
 
+def _dealt(rows: DataFrame, partitions: int, bucket: str | Column = "bucket") -> DataFrame:
+    """Buckets are hash values already: dealt by turns, each partition gets as many of them."""
+    return rows.repartitionById(partitions, F.pmod(bucket, F.lit(partitions)))
+
+
 def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets: int, partitions: int) -> DataFrame:
+    """The count table of texts."""
+    return id_counts(token_ids(plain, tokenizer, size), size, order, buckets, partitions)
+
+
+def id_counts(ids: DataFrame, size: int, order: int, buckets: int, partitions: int) -> DataFrame:
     """The count table: one row per bucket with its distinct n-grams, sorted, and their counts over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +184,9 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
         def out() -> pa.RecordBatch:
             return _rows([(b, _planes(held[at]), _packed(held_counts[at])) for b, at in _by_bucket(held, buckets)])
 
-        for part in slices(batches, rows=4096, size=SLICE_BYTES):
-            keys, _, _ = _grams(part, tokenizer, size, order)
-            held, held_counts = _merge(np.concatenate([held, keys]), np.concatenate([held_counts, np.ones(len(keys), np.int64)]))
-            if len(held) > FLUSH_GRAMS:
+        for grams, _, _ in _grams(batches, size, order):
+            held, held_counts = _merge(*map(np.concatenate, zip((held, held_counts), _counted(grams))))
+            if len(held) > _held(buckets):
                 yield out()
                 held, held_counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if len(held):
@@ -126,6 +196,7 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
         at: int | None = None  # rows come bucket by bucket, so one bucket is held at a time
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
 
         def out() -> pa.RecordBatch:
             return _rows([(at, _planes(keys), _packed(counts))])
@@ -133,21 +204,22 @@ def gram_counts(plain: DataFrame, tokenizer: str, size: int, order: int, buckets
         for batch in batches:
             for i in range(batch.num_rows):
                 bucket = batch.column("bucket")[i].as_py()
-                full = sum(len(k) for k, _ in waiting) > max(len(keys) // 2, 1 << 16)
-                if waiting and (full or bucket != at):
+                if waiting and (n > max(len(keys) // 2, 1 << 16) or bucket != at):
                     keys, counts = _merge(*map(np.concatenate, zip((keys, counts), *waiting)))
                     waiting.clear()
+                    n = 0
                 if at is not None and bucket != at:
                     yield out()
                     keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
                 at = bucket
                 waiting.append((_unplanes(batch.column("keys")[i].as_py()), _unpacked(batch.column("counts")[i].as_py()).view(np.int64)))
+                n += len(waiting[-1][0])
         if at is not None:
             keys, counts = _merge(*map(np.concatenate, zip((keys, counts), *waiting)))
             yield out()
 
     schema = "bucket int, keys binary, counts binary"
-    return plain.select("text").mapInArrow(count, schema).repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(total, schema)
+    return _dealt(ids.select("ids").mapInArrow(count, schema), partitions).sortWithinPartitions("bucket").mapInArrow(total, schema)
 
 
 def token_counts(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -250,8 +322,8 @@ def _triple_scores(table: DataFrame, size: int, numbers, min_count: int, backoff
     known = sums.mapInArrow(lower, "first boolean, pair long, part double")
     rows = table.mapInArrow(triples, "first boolean, pair long, bucket int, key long, n long").join(known, ["first", "pair"])
     value = F.when(F.col("first"), F.ln("n") + F.col("part")).otherwise(F.col("part"))
-    dealt = rows.select("bucket", "key", value.alias("value"), "first").repartition(partitions, "bucket").sortWithinPartitions("bucket", "key")
-    return dealt.mapInArrow(pack, "bucket int, keys binary, counts binary").withColumnRenamed("counts", "scores")
+    dealt = _dealt(rows.select("bucket", "key", value.alias("value"), "first"), partitions)
+    return dealt.sortWithinPartitions("bucket", "key").mapInArrow(pack, "bucket int, keys binary, counts binary").withColumnRenamed("counts", "scores")
 
 
 def heavy_scores(counts: DataFrame, scored: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -295,11 +367,10 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
         raise ValueError(f"order {order} is neither 2 nor 3")
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions *= 2  # half of the shuffled rows of a task otherwise, as a task gets all of them in one Arrow batch
     buckets = 2 * partitions
     size = encoder(tokenizer).library.get_vocab_size()
-    plain = texts(docs)
-    counts = stored(gram_counts(plain, tokenizer, size, order, buckets, partitions), "gram-counts")
+    ids = stored(token_ids(texts(docs), tokenizer, size), "gram-ids", "zstd")
+    counts = stored(id_counts(ids, size, order, buckets, partitions), "gram-counts")
     context, token = token_counts(counts, size)
     total = int(token.sum())
     log_context = np.log(np.maximum(context, 1))
@@ -314,28 +385,38 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_value, known_missed = heavy.value
-        for part in slices(batches, rows=4096, size=SLICE_BYTES):
-            keys, owner, lengths = _grams(part, tokenizer, size, order)
+        waiting: list[tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]] = []
+
+        def out() -> pa.RecordBatch:
+            lengths = np.concatenate([n for _, n, _, _ in waiting])
+            owner = np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)
+            keys, owner = _by_key(np.concatenate([k for k, _, _, _ in waiting]), owner, (size + 1) ** order)
             sums, missed = np.zeros(len(lengths)), np.zeros(len(lengths), np.int64)
             if len(known):
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)  # fast, as the keys are sorted
                 here = known[at] == keys
                 sums += np.bincount(owner[here], known_value[at[here]], len(lengths))
                 missed += np.bincount(owner[here], known_missed[at[here]], len(lengths)).astype(np.int64)
                 keys, owner = keys[~here], owner[~here]
-            by_key = np.lexsort((owner, keys))
-            keys, owner = keys[by_key], owner[by_key].astype(np.uint16)
-            slice_id = part.column("row")[0].as_py()
+            slice_id = waiting[0][3][0].as_py()
+            doc_id = pa.concat_arrays([d for _, _, d, _ in waiting])
             rows = [(b, slice_id, _planes(keys[at]), owner[at].tobytes()) for b, at in _by_bucket(keys, buckets)]
             # The documents themselves, with their number of tokens and the sums of their most frequent n-grams.
-            rows.append((-1, slice_id, np.array(part.column("doc_id").fill_null(0), "<i8").tobytes() +
-                         np.array(part.column("doc_id").is_null()).astype("u1").tobytes(),
+            rows.append((-1, slice_id, np.array(doc_id.fill_null(0), "<i8").tobytes() + np.array(doc_id.is_null()).astype("u1").tobytes(),
                          lengths.astype("<i8").tobytes() + sums.astype("<f8").tobytes() + missed.astype("<i8").tobytes()))
-            bucket, ids, keys_, owners = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket, pa.int32()), pa.array(ids, pa.int64()), pa.array(keys_, pa.binary()), pa.array(owners, pa.binary())],
+            bucket, slice_ids, keys_, owners = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket, pa.int32()), pa.array(slice_ids, pa.int64()), pa.array(keys_, pa.binary()), pa.array(owners, pa.binary())],
                 names=["bucket", "slice", "keys", "values"])
 
+        for keys, lengths, part in _grams(batches, size, order):
+            waiting.append((keys, lengths, part.column("doc_id"), part.column("row")))
+            if sum(len(k) for k, _, _, _ in waiting) > _held(buckets) or sum(len(n) for _, n, _, _ in waiting) > (1 << OWNER_BITS) - SLICE_ROWS:
+                yield out()
+                waiting.clear()
+        if waiting:
+            yield out()
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, value, missing = None, None, None
         for batch in batches:
@@ -350,10 +431,9 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
                 else:
                     at = np.searchsorted(here, _unplanes(raw))
                     owner = np.frombuffer(values, np.uint16)
-                    docs_here = np.unique(owner)
-                    place = np.searchsorted(docs_here, owner)
-                    sums = np.bincount(place, value[at], len(docs_here))
-                    missed = np.bincount(place, missing[at], len(docs_here)).astype("<i8")
+                    docs_here = np.flatnonzero(np.bincount(owner)).astype(np.uint16)
+                    sums = np.bincount(owner, value[at])[docs_here]
+                    missed = np.bincount(owner, missing[at])[docs_here].astype("<i8")
                     out.append((slice_id, docs_here.tobytes(), sums.astype("<f8").tobytes(), missed.tobytes()))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -375,12 +455,12 @@ def score(docs: DataFrame, tokenizer: str, backoff: float = BACKOFF, min_count:
         return pd.DataFrame({"doc_id": ids, "n_tokens": lengths, "n_backed_off": missed, "log_prob": total})
 
     tables = table.select("bucket", F.lit(None).cast("long").alias("slice"), "keys", F.col("scores").alias("values"))
-    exploded = plain.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+    exploded = ids.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
         explode, "bucket int, slice long, keys binary, values binary")
     met = (
-        tables.unionByName(exploded).withColumn("deal", F.when(F.col("bucket") < 0, F.hash("slice")).otherwise(F.col("bucket")))
-        .repartition(partitions, "deal").sortWithinPartitions("bucket", F.col("slice").asc_nulls_first())
-        .drop("deal").mapInArrow(meet, "slice long, docs binary, sums binary, missed binary")
+        _dealt(tables.unionByName(exploded), partitions, F.when(F.col("bucket") < 0, F.hash("slice")).otherwise(F.col("bucket")))
+        .sortWithinPartitions("bucket", F.col("slice").asc_nulls_first())
+        .mapInArrow(meet, "slice long, docs binary, sums binary, missed binary")
     )
     found = met.groupBy("slice").applyInPandas(gather, "doc_id long, n_tokens long, n_backed_off long, log_prob double")
     return found.select(

@@ -79,7 +79,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4()}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """The frame written once as a table in the shared folder and read from there.
 
     The shuffle files of the write go when it has ended, as nothing reads them again.
@@ -89,7 +89,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(folder)
+        df.write.parquet(folder, compression=codec)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)

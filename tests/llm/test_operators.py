@@ -277,6 +277,54 @@ def test_backoff_sends_counts_in_few_bytes(docs):
         assert backoff._unplanes(backoff._planes(np.sort(x))).tolist() == sorted(numbers)
 
 
+def test_backoff_encodes_each_text_once(docs, capsys):
+    """Before, the scoring step encoded all texts again; now both steps read ids written once."""
+    backoff.score(docs, vocabulary_path(queries.WORDS)).explain()
+    assert "ids#" in (plan := capsys.readouterr().out) and "text#" not in plan
+
+
+def test_backoff_deals_buckets_evenly(spark):
+    """Before, the partition of a bucket was a hash of its number, so some had several buckets and others none."""
+    rows = spark.createDataFrame([(b,) for b in range(20)], "bucket int")
+    found = collections.Counter(r[0] for r in backoff._dealt(rows, 10).select(F.spark_partition_id()).collect())
+    assert sorted(found.values()) == [2] * 10
+
+
+def test_backoff_rows_stay_long():
+    """Before, a slice was as long with 12,000 buckets as with 200, so the rows of both steps grew faster than the input."""
+    assert [backoff._held(b) for b in (1, 512, 1 << 20)] == [backoff.LEAST_HELD, 512 * backoff.ROW_GRAMS, backoff.MOST_HELD]
+
+
+@pytest.mark.parametrize("slice_grams", [1, 5, 1 << 18])
+def test_backoff_grams_of_any_slice(monkeypatch, slice_grams):
+    """Slices of stored ids, also of batches that do not start at their buffers' start, give the n-grams of whole texts."""
+    monkeypatch.setattr(backoff, "SLICE_GRAMS", slice_grams)
+    texts = [[3, 1, 2], [], [0], [4] * 9, [], [2, 3]]
+    for size in (5, 1 << 17):
+        whole = pa.RecordBatch.from_arrays([pa.array([np.array(t, backoff._id_type(size)).tobytes() for t in texts], pa.binary())], names=["ids"])
+        for first in (0, 2):
+            expected = [size * (size + 1) ** 2 + size * (size + 1) + t if k == 0 else (size if k == 1 else text[k - 2]) * (size + 1) ** 2 + text[k - 1] * (size + 1) + t
+                        for text in texts[first:] for k, t in enumerate(text)]
+            parts = list(backoff._grams(iter([whole.slice(first), whole.slice(6)]), size, 3))
+            assert np.concatenate([k for k, _, _ in parts]).tolist() == expected
+            assert np.concatenate([n for _, n, _ in parts]).tolist() == [len(t) for t in texts[first:]]
+            assert sum(p.num_rows for _, _, p in parts) == 6 - first
+
+
+@pytest.mark.parametrize("top", [50_000**3, 1 << 64])
+def test_backoff_sorts_by_key_and_document(top):
+    """Where both fit in one number and where they do not; buckets keep that order, counts are those of each key."""
+    random = np.random.default_rng(3)
+    keys, owner = random.integers(0, 300, 5000).astype(np.uint64) * np.uint64(50_000**3 // 300), random.integers(0, 1 << backoff.OWNER_BITS, 5000)
+    found = list(zip(*(x.tolist() for x in backoff._by_key(keys, owner, top))))
+    assert found == sorted(zip(keys.tolist(), owner.tolist()))
+    for buckets in (1, 7, 1 << 17):
+        places = [at for _, at in backoff._by_bucket(keys, buckets)]
+        assert all((np.diff(at) > 0).all() for at in places) and sorted(np.concatenate(places).tolist()) == list(range(5000))
+        assert sum(len(np.unique(keys[at])) for at in places) == len(np.unique(keys))
+    assert dict(zip(*(x.tolist() for x in backoff._counted(keys)))) == collections.Counter(keys.tolist())
+
+
 @pytest.mark.parametrize("heavy", [1, 1 << 21])
 def test_backoff_counts_longer_contexts(spark, library, monkeypatch, tmp_path, heavy):
     """The registered query has triples, backing off to pairs and then to tokens, by either way of meeting the table."""
